@@ -778,3 +778,282 @@ def v02_raster(spark, d):
 def v03_raster_facet(spark, d):
     """100 x 100 raster per vendor; limits shared by all facets."""
     return visagg.raster(si.trips(spark, d), "fare_amount", "trip_distance", 100, facet="vendor_id")
+
+
+# ---------------------------------------------------------------- V04 / V05 / V06 / V07
+@register(
+    "v04_tiles",
+    W(si.TRIPS_SQL)
+    + ", rd AS (SELECT fare_amount AS x, trip_distance AS y FROM trips WHERE fare_amount IS NOT NULL AND trip_distance IS NOT NULL), "
+    "rs AS (SELECT min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y FROM rd), "
+    "rc AS (SELECT CAST(CASE WHEN rs.max_x - rs.min_x = 0 THEN 0 ELSE floor((x - rs.min_x) / (rs.max_x - rs.min_x) * 500 + 0.5) END AS BIGINT) AS res_x, "
+    "CAST(CASE WHEN rs.max_y - rs.min_y = 0 THEN 0 ELSE floor((y - rs.min_y) / (rs.max_y - rs.min_y) * 500 + 0.5) END AS BIGINT) AS res_y FROM rd, rs), "
+    "cells AS (SELECT res_x, res_y, count(*) AS freq FROM rc GROUP BY res_x, res_y) "
+    f"SELECT res_x, res_y, freq, {r4('floor(freq / (SELECT max(freq) FROM cells) * 100 + 0.5) / 100')} AS alpha FROM cells",
+)
+def v04_tiles(spark, d):
+    """500-cell tiles of fare against distance with relative frequency."""
+    return visagg.tiles(si.trips(spark, d), "fare_amount", "trip_distance", 500)
+
+
+@register(
+    "v05_boxbin",
+    W(si.TRIPS_SQL)
+    + ", rd AS (SELECT fare_amount AS x, trip_distance AS y, total_amount AS c FROM trips WHERE fare_amount IS NOT NULL AND trip_distance IS NOT NULL), "
+    "rs AS (SELECT min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, max(c) AS max_c FROM rd), "
+    "rc AS (SELECT CAST(CASE WHEN rs.max_x - rs.min_x = 0 THEN 0 ELSE floor((x - rs.min_x) / (rs.max_x - rs.min_x) * 100 + 0.5) END AS BIGINT) AS res_x, "
+    "CAST(CASE WHEN rs.max_y - rs.min_y = 0 THEN 0 ELSE floor((y - rs.min_y) / (rs.max_y - rs.min_y) * 100 + 0.5) END AS BIGINT) AS res_y, c FROM rd, rs) "
+    f"SELECT res_x, res_y, {r4('floor(avg(c) / (SELECT max_c FROM rs) * 100 + 0.5) / 100')} AS res_color FROM rc GROUP BY res_x, res_y",
+)
+def v05_boxbin(spark, d):
+    """100-cell raster coloured by mean total over the largest total."""
+    return visagg.boxbin(si.trips(spark, d), "fare_amount", "trip_distance", color="total_amount", resolution=100)
+
+
+@register(
+    "v06_quick_hist",
+    W(si.TRIPS_SQL)
+    + ", hd AS (SELECT CAST(tip_amount AS DOUBLE) AS x FROM trips WHERE tip_amount IS NOT NULL), "
+    "hw AS (SELECT max(x) / 29 AS w FROM hd) "
+    f"SELECT {i8('CASE WHEN hw.w = 0 THEN 0 ELSE floor(x / hw.w + 0.5) END')} AS bucket, {r4('max(x)')} AS top, {r4('min(x)')} AS bottom, "
+    "count(*) AS count FROM hd, hw GROUP BY 1",
+)
+def v06_quick_hist(spark, d):
+    """Quick histogram of tip: 30 breaks from 0 to max, observed top / bottom per bucket."""
+    return visagg.quick_histogram(si.trips(spark, d), "tip_amount", 30)
+
+
+@register(
+    "v07_point_freq",
+    W(si.FLIGHTS_SQL) + f"SELECT {r4('depdelay')} AS x, {r4('arrdelay')} AS y, count(*) AS n FROM flights GROUP BY depdelay, arrdelay",
+)
+def v07_point_freq(spark, d):
+    """Exact (x, y, n) point counts of the two delays."""
+    return visagg.point_frequency(si.flights(spark, d), "depdelay", "arrdelay")
+
+
+# ---------------------------------------------------------------- V11
+@register(
+    "v11_top_dest",
+    W(si.TRIPS_SQL)
+    + ", m AS (SELECT pickup_gid, dropoff_gid, count(*) AS n, avg(trip_distance) AS mean_distance, avg(fare_amount) AS mean_fare, "
+    "avg(tip_amount) AS mean_tip, avg(total_amount) AS mean_total, avg(passenger_count) AS mean_passengers, "
+    "avg((floor(epoch(dropoff_datetime)) - floor(epoch(pickup_datetime))) / 86400.0) AS mean_days, "
+    "avg(tip_amount) / avg(fare_amount) AS tip_pct FROM trips GROUP BY pickup_gid, dropoff_gid) "
+    f"SELECT {i8('pickup_gid')} AS pickup_gid, {i8('dropoff_gid')} AS dropoff_gid, n, {r4('mean_distance')} AS mean_distance, "
+    f"{r4('mean_fare')} AS mean_fare, {r4('mean_tip')} AS mean_tip, {r4('mean_total')} AS mean_total, {r4('mean_passengers')} AS mean_passengers, "
+    f"{r4('mean_days')} AS mean_days, {r4('tip_pct')} AS tip_pct, {i8('rk')} AS rank FROM ("
+    "SELECT *, rank() OVER (PARTITION BY pickup_gid ORDER BY n DESC) AS rk FROM m) WHERE rk <= 5",
+)
+def v11_top_dest(spark, d):
+    """Top five destinations of every origin by trips, eight measures, ties kept."""
+    from lodestar.plans import jobs
+
+    return jobs.top_destinations(si.trips(spark, d), k=5)
+
+
+# ---------------------------------------------------------------- V12
+@register(
+    "v12_enrich",
+    W(si.TRIPS_SQL, si.NYCT_SQL)
+    + f"SELECT {i8('t.order_id')} AS order_id, {ts_text('t.pickup_datetime')} AS pickup_datetime, {i8('t.pickup_gid')} AS pickup_gid, "
+    f"p.boroname AS pickup_boro, p.ntaname AS pickup_nta, {ts_text('t.dropoff_datetime')} AS dropoff_datetime, {i8('t.dropoff_gid')} AS dropoff_gid, "
+    "q.boroname AS dropoff_boro, q.ntaname AS dropoff_nta, CASE t.cab_type_id WHEN 'A' THEN 'yellow' WHEN 'R' THEN 'green' END AS cab_type, "
+    f"t.vendor_id, {i8('t.passenger_count')} AS passenger_count, {r4('t.trip_distance')} AS trip_distance, "
+    "CASE WHEN lower(trim(t.payment_type)) IN ('1-urgent', '2-high') THEN 'credit' WHEN lower(trim(t.payment_type)) IN ('3-medium') THEN 'cash' ELSE 'unk' END AS pay_type, "
+    f"{r4('t.fare_amount')} AS fare_amount, {r4('t.tip_amount')} AS tip_amount, {r4('t.total_amount - t.fare_amount - t.tip_amount')} AS other_amount, "
+    f"{r4('t.total_amount')} AS total_amount, {i8('floor(epoch(t.dropoff_datetime)) - floor(epoch(t.pickup_datetime))')} AS trip_seconds, "
+    f"{i8('year(t.pickup_datetime)')} AS pickup_year "
+    "FROM trips t LEFT JOIN nyct p ON t.pickup_gid = p.gid LEFT JOIN nyct q ON t.dropoff_gid = q.gid "
+    "WHERE t.pickup_gid IS NOT NULL AND t.dropoff_gid IS NOT NULL AND t.fare_amount IS NOT NULL AND t.cab_type_id IN ('A', 'R')",
+)
+def v12_enrich(spark, d):
+    """Trip enrichment with decoded codes and two role joins, 20 columns."""
+    from lodestar.plans import jobs
+
+    return jobs.trip_enrichment(si.trips(spark, d), si.nyct(spark, d))
+
+
+# ---------------------------------------------------------------- V14 / V15
+_GAIN_SQL = (
+    ", g AS (SELECT f.*, a.description, f.depdelay - f.arrdelay AS gain FROM flights f LEFT JOIN airlines a ON f.uniquecarrier = a.code "
+    "WHERE f.depdelay IS NOT NULL AND f.arrdelay IS NOT NULL AND f.depdelay > 5 AND f.depdelay < 45 AND f.year BETWEEN 1996 AND 2000) "
+)
+
+
+@register(
+    "v14_gain_data",
+    W(si.FLIGHTS_SQL, si.AIRLINES_SQL)
+    + _GAIN_SQL
+    + f"SELECT {i8('year')} AS year, uniquecarrier, description, {i8('tailnum')} AS tailnum, {r4('depdelay')} AS depdelay, "
+    f"{r4('arrdelay')} AS arrdelay, {r4('gain')} AS gain FROM g",
+)
+def v14_gain_data(spark, d):
+    """Model table: null and range filters, year range, carrier join, gain."""
+    from lodestar.plans import jobs
+
+    g = jobs.gain_model_data(si.flights(spark, d), si.airlines(spark, d), (5, 45), (1996, 2000))
+    return g.select("year", "uniquecarrier", "description", "tailnum", "depdelay", "arrdelay", "gain")
+
+
+@register(
+    "v15_carrier_summary",
+    W(si.FLIGHTS_SQL, si.AIRLINES_SQL)
+    + _GAIN_SQL
+    + f"SELECT uniquecarrier, count(*) AS n, {r4('avg(depdelay)')} AS mean_depdelay, {r4('avg(arrdelay)')} AS mean_arrdelay, "
+    f"{r4('avg(gain)')} AS mean_gain, min(description) AS description FROM g GROUP BY uniquecarrier",
+)
+def v15_carrier_summary(spark, d):
+    """Per-carrier delay and gain summary sorted by gain."""
+    from lodestar.plans import jobs
+
+    return jobs.carrier_summary(jobs.gain_model_data(si.flights(spark, d), si.airlines(spark, d), (5, 45), (1996, 2000)))
+
+
+# ---------------------------------------------------------------- V17
+def _gc_sql(n: int) -> str:
+    f = f"(step / {float(n + 1)})"
+    a = f"CASE WHEN dd = 0 THEN 1.0 - {f} ELSE sin((1.0 - {f}) * dd) / sin(dd) END"
+    b = f"CASE WHEN dd = 0 THEN {f} ELSE sin({f} * dd) / sin(dd) END"
+    x = f"(({a}) * cos(p1) * cos(l1) + ({b}) * cos(p2) * cos(l2))"
+    y = f"(({a}) * cos(p1) * sin(l1) + ({b}) * cos(p2) * sin(l2))"
+    z = f"(({a}) * sin(p1) + ({b}) * sin(p2))"
+    return (
+        ", r AS (SELECT origin, dest FROM flights GROUP BY origin, dest HAVING count(*) > 100), "
+        "e AS (SELECT r.origin, r.dest, radians(o.lat) AS p1, radians(o.lon) AS l1, radians(t.lat) AS p2, radians(t.lon) AS l2 "
+        "FROM r JOIN airports o ON r.origin = o.faa JOIN airports t ON r.dest = t.faa), "
+        "h AS (SELECT *, 2.0 * asin(sqrt(least(pow(sin((p2 - p1) / 2), 2) + cos(p1) * cos(p2) * pow(sin((l2 - l1) / 2), 2), 1.0))) AS dd FROM e), "
+        f"s AS (SELECT h.*, unnest(range(0, {n + 2})) AS step FROM h) "
+        f"SELECT {i8('origin')} AS origin, {i8('dest')} AS dest, {i8('step')} AS step, "
+        f"{r4(f'degrees(atan2({z}, sqrt({x} * {x} + {y} * {y})))')} AS lat, {r4(f'degrees(atan2({y}, {x}))')} AS lon FROM s"
+    )
+
+
+@register("v17_great_circle", W(si.FLIGHTS_SQL, si.AIRPORTS_SQL) + _gc_sql(10))
+def v17_great_circle(spark, d):
+    """Great-circle paths (10 inner points) of every route with over 100 flights."""
+    from lodestar.plans import jobs
+
+    return jobs.great_circle_routes(si.flights(spark, d), si.airports(spark, d), 100, 10)
+
+
+# ---------------------------------------------------------------- V18
+@register(
+    "v18_carrier_network",
+    W(si.FLIGHTS_SQL, si.AIRPORTS_SQL)
+    + ", r AS (SELECT origin, dest, count(*) AS n FROM flights WHERE year = 1997 GROUP BY origin, dest HAVING count(*) > 15) "
+    f"SELECT {i8('r.origin')} AS origin, {i8('r.dest')} AS dest, r.n, {i8('floor(r.n / (SELECT max(n) FROM r) * 100 + 0.5)')} AS colour, "
+    f"{r4('o.lat')} AS lat1, {r4('o.lon')} AS lon1, {r4('t.lat')} AS lat2, {r4('t.lon')} AS lon2 "
+    "FROM r JOIN airports o ON r.origin = o.faa JOIN airports t ON r.dest = t.faa",
+)
+def v18_carrier_network(spark, d):
+    """Busy routes of 1997 with a colour index and end coordinates."""
+    from lodestar.plans import jobs
+
+    return jobs.carrier_network(si.flights(spark, d), si.airports(spark, d), 1997, 15)
+
+
+# ---------------------------------------------------------------- V19
+@register(
+    "v19_tail_profile",
+    W(si.FLIGHTS_SQL)
+    + f"SELECT {i8('tailnum')} AS tailnum, count(*) AS n, {r4('avg(distance)')} AS dist, {r4('avg(arrdelay)')} AS delay, "
+    f"{r4('avg(depdelay)')} AS depdelay FROM flights GROUP BY tailnum HAVING count(*) > 20 AND avg(distance) < 950",
+)
+def v19_tail_profile(spark, d):
+    """Aircraft with over 20 flights and mean distance under 950."""
+    from lodestar.plans import jobs
+
+    return jobs.tail_profile(si.flights(spark, d), 20, 950)
+
+
+# ---------------------------------------------------------------- V20
+@register(
+    "v20_top_names",
+    W(si.BABYNAMES_SQL)
+    + ", y AS (SELECT sex, name, sum(n) AS total FROM babynames WHERE year = 1998 GROUP BY sex, name), "
+    "top AS (SELECT sex, name FROM (SELECT *, rank() OVER (PARTITION BY sex ORDER BY total DESC) AS rk FROM y) WHERE rk <= 4) "
+    f"SELECT {i8('b.year')} AS year, b.sex, b.name, {r4('sum(b.n)')} AS total FROM babynames b "
+    "WHERE EXISTS (SELECT 1 FROM top t WHERE t.sex = b.sex AND t.name = b.name) GROUP BY b.year, b.sex, b.name",
+)
+def v20_top_names(spark, d):
+    """Top four names per sex in 1998 and their totals in every year."""
+    from lodestar.plans import jobs
+
+    return jobs.top_names_trend(si.babynames(spark, d), 1998, 4)
+
+
+# ---------------------------------------------------------------- V21
+@register(
+    "v21_shared_names",
+    W(si.BABYNAMES_SQL)
+    + f"SELECT name, female, male, {i8('mean_year')} AS mean_year FROM ("
+    f"SELECT name, {r4("sum(CASE WHEN sex = 'F' THEN n ELSE 0 END)")} AS female, {r4("sum(CASE WHEN sex = 'M' THEN n ELSE 0 END)")} AS male, "
+    "floor(sum(year * n) / sum(n) + 0.5) AS mean_year FROM babynames GROUP BY name) WHERE female > 5000 AND male > 5000",
+)
+def v21_shared_names(spark, d):
+    """Names used by both sexes above 5000 each, with weighted mean year."""
+    from lodestar.plans import jobs
+
+    return jobs.shared_names(si.babynames(spark, d), 5000)
+
+
+# ---------------------------------------------------------------- V22
+@register(
+    "v22_births_by_year",
+    W(si.BABYNAMES_SQL)
+    + f"SELECT {i8('year')} AS year, {r4("sum(CASE WHEN sex = 'F' THEN n / 1000000.0 ELSE 0 END)")} AS F, "
+    f"{r4("sum(CASE WHEN sex = 'M' THEN n / 1000000.0 ELSE 0 END)")} AS M FROM babynames GROUP BY year",
+)
+def v22_births_by_year(spark, d):
+    """Counts by year and sex in millions."""
+    from lodestar.plans import jobs
+
+    return jobs.births_by_year(si.babynames(spark, d))
+
+
+# ---------------------------------------------------------------- V23
+FLAGS = ["Exit", "Guard"]
+VERSIONS = ["v0.0", "v0.1", "v0.2", "v0.3"]
+
+
+@register(
+    "v23_daily_series",
+    W(si.TOR_SQL)
+    + ", r AS (SELECT date, platform, flag, regexp_replace(version, '^0', 'v0') AS version, relays FROM tor WHERE date >= DATE '2024-01-05') "
+    f"SELECT {day_text('date')} AS date, {r4('sum(relays)')} AS total, "
+    + ", ".join(f"{r4(f'sum(CASE WHEN platform = {chr(39)}{p}{chr(39)} THEN relays END)')} AS {p}" for p in PLATFORMS)
+    + ", "
+    + ", ".join(f"{r4(f'sum(CASE WHEN flag = {chr(39)}{x}{chr(39)} THEN relays END)')} AS flag_{x}" for x in FLAGS)
+    + ", "
+    + ", ".join(
+        f"{r4(f'sum(CASE WHEN version = {chr(39)}{v}{chr(39)} THEN relays END)')} AS version_{v.replace('.', '_')}" for v in VERSIONS
+    )
+    + " FROM r GROUP BY date",
+)
+def v23_daily_series(spark, d):
+    """Daily relay totals, by platform, by flag and by version from 2024-01-05, one scan."""
+    from lodestar.plans import jobs
+
+    return jobs.daily_series(si.tor_servers(spark, d), "2024-01-05", PLATFORMS, FLAGS, VERSIONS)
+
+
+# ---------------------------------------------------------------- V25 / V26
+@register("v25_trips_by_year", W(si.TRIPS_SQL) + f"SELECT {i8('year(pickup_datetime)')} AS year, count(*) AS n FROM trips GROUP BY 1")
+def v25_trips_by_year(spark, d):
+    """Trips per pickup year."""
+    from lodestar.plans import jobs
+
+    return jobs.trips_by_year(si.trips(spark, d))
+
+
+@register(
+    "v26_param_mean",
+    W(si.TRIPS_SQL)
+    + f"SELECT vendor_id, count(*) AS n, {r4('avg(fare_amount)')} AS mean_fare FROM trips WHERE passenger_count = 3 GROUP BY vendor_id",
+)
+def v26_param_mean(spark, d):
+    """Mean fare per vendor for a passenger count given at run time."""
+    from lodestar.plans import jobs
+
+    return jobs.mean_fare_for(si.trips(spark, d), 3)
