@@ -1057,3 +1057,183 @@ def v26_param_mean(spark, d):
     from lodestar.plans import jobs
 
     return jobs.mean_fare_for(si.trips(spark, d), 3)
+
+
+# ================================================================ models
+def _labelled(spark, d):
+    return si.titanic(spark, d).where(F.col("label").isNotNull())
+
+
+_LABELLED_SQL = ", lab AS (SELECT * FROM titanic WHERE label IS NOT NULL) "
+SPLITS = [0.0, 500.0, 2000.0, 10000.0, float("inf")]
+
+
+@register(
+    "m01_bucketize",
+    f"SELECT {i8('doc_id')} AS doc_id, CASE WHEN n_chars >= 0 AND n_chars < 500 THEN 0.0 WHEN n_chars >= 500 AND n_chars < 2000 THEN 1.0 "
+    "WHEN n_chars >= 2000 AND n_chars < 10000 THEN 2.0 WHEN n_chars >= 10000 THEN 3.0 END AS size_bin FROM documents",
+)
+def m01_bucketize(spark, d):
+    """Document length in left-closed bins with ``Bucketizer``."""
+    from lodestar.ml.features import bucketize
+
+    docs = si.table(spark, d, "documents").select("doc_id", F.col("n_chars").cast("double").alias("n_chars"))
+    return bucketize(docs, "n_chars", SPLITS, "size_bin").select("doc_id", "size_bin")
+
+
+@register(
+    "m02_cut_right",
+    f"SELECT {i8('doc_id')} AS doc_id, CASE WHEN n_chars > 0 AND n_chars <= 500 THEN 0.0 WHEN n_chars > 500 AND n_chars <= 2000 THEN 1.0 "
+    "WHEN n_chars > 2000 AND n_chars <= 10000 THEN 2.0 WHEN n_chars > 10000 THEN 3.0 END AS size_bin FROM documents",
+)
+def m02_cut_right(spark, d):
+    """Document length in right-closed bins, R ``cut`` rule."""
+    docs = si.table(spark, d, "documents")
+    return docs.select("doc_id", verbs.bucket_closed_right(F.col("n_chars"), SPLITS).alias("size_bin"))
+
+
+@register(
+    "m04_simple_ols",
+    W(si.TRIPS_SQL)
+    + f"SELECT {r4('regr_slope(fare_amount, trip_distance)')} AS slope, {r4('regr_intercept(fare_amount, trip_distance)')} AS intercept, "
+    f"{r4('regr_r2(fare_amount, trip_distance)')} AS r2 FROM trips",
+)
+def m04_simple_ols(spark, d):
+    """One-predictor linear regression fitted with Spark ML, checked against the closed form."""
+    from lodestar.ml import models
+
+    t = si.trips(spark, d).select("fare_amount", "trip_distance")
+    m = models.fit_regressor(t, "fare_amount ~ trip_distance", "linear")
+    lr = m.stages[-1]
+    row = [(float(lr.coefficients[0]), float(lr.intercept), float(lr.summary.r2))]
+    return spark.createDataFrame(row, "slope double, intercept double, r2 double")
+
+
+@register("m05_linear_summary", None)
+def m05_linear_summary(spark, d):
+    """Coefficients with standard errors, t and p values, R² and RMSE of the gain model."""
+    from lodestar.ml import models
+
+    g = si.flights(spark, d).withColumn("gain", F.col("depdelay") - F.col("arrdelay"))
+    m = models.fit_regressor(g, "gain ~ distance + depdelay + uniquecarrier", "linear")
+    return models.linear_summary(m, g)
+
+
+def _classifier_metrics(spark, d, kind: str) -> DataFrame:
+    from lodestar.ml import evaluate, models
+
+    lab = _labelled(spark, d)
+    m = models.fit_classifier(lab, "label ~ n_chars + lang + source", kind)
+    scored = models.positive_probability(m.transform(lab))
+    a = evaluate.auc(scored, "score", "label").select("auc")
+    acc = evaluate.accuracy_at(scored, "score", "label", 0.5)
+    return a.withColumn("accuracy", acc.scalar())
+
+
+for _kind, _key in [
+    ("logistic", "m06_logistic"),
+    ("decision_tree", "m07_decision_tree"),
+    ("random_forest", "m08_random_forest"),
+    ("gbt", "m09_gbt"),
+    ("naive_bayes", "m10_naive_bayes"),
+]:
+    register(_key, None)(lambda spark, d, _k=_kind: _classifier_metrics(spark, d, _k))
+
+
+@register("m11_perceptron", None)
+def m11_perceptron(spark, d):
+    """Perceptron whose input layer is the encoded width."""
+    from lodestar.ml import evaluate, models
+
+    lab = _labelled(spark, d)
+    m = models.fit_perceptron(lab, "label ~ n_chars + lang + source", hidden=(15,))
+    scored = models.positive_probability(m.transform(lab))
+    return evaluate.auc(scored, "score", "label")
+
+
+@register("m12_kmeans", None)
+def m12_kmeans(spark, d):
+    """K-means on the embeddings (k = 10), cluster sizes and within-cluster SS."""
+    from lodestar.ml import features, models
+
+    e = features.array_features(si.table(spark, d, "embeddings"), "embedding")
+    km = models.kmeans(e, "features", 10)
+    return models.cluster_stats(km, e, "features").drop("centre")
+
+
+@register(
+    "m15_auc",
+    W(si.TITANIC_SQL)
+    + _LABELLED_SQL
+    + ", rk AS (SELECT label, rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2.0 AS r FROM lab) "
+    f"SELECT {r4('(sum(CASE WHEN label > 0 THEN r ELSE 0 END) - sum(CASE WHEN label > 0 THEN 1 ELSE 0 END) * (sum(CASE WHEN label > 0 THEN 1 ELSE 0 END) + 1) / 2.0) / (sum(CASE WHEN label > 0 THEN 1 ELSE 0 END) * sum(CASE WHEN label > 0 THEN 0 ELSE 1 END))')} AS auc, "
+    f"{i8('sum(CASE WHEN label > 0 THEN 1 ELSE 0 END)')} AS n_pos, {i8('sum(CASE WHEN label > 0 THEN 0 ELSE 1 END)')} AS n_neg FROM rk",
+)
+def m15_auc(spark, d):
+    """AUC of document length as a toxicity score, by the rank-sum identity."""
+    from lodestar.ml import evaluate
+
+    return evaluate.auc(_labelled(spark, d), "n_chars", "label")
+
+
+@register(
+    "m16_accuracy",
+    W(si.TITANIC_SQL) + _LABELLED_SQL
+    + f"SELECT {r4('avg(CASE WHEN (CASE WHEN quality > 0.5 THEN 1 ELSE 0 END) = label THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM lab",
+)
+def m16_accuracy(spark, d):
+    """Accuracy of the quality flag as a toxicity prediction at cut 0.5."""
+    from lodestar.ml import evaluate
+
+    return evaluate.accuracy_at(_labelled(spark, d), "quality", "label", 0.5)
+
+
+@register("m17_importance", None)
+def m17_importance(spark, d):
+    """Named feature importances of a random forest."""
+    from lodestar.ml import models
+
+    lab = _labelled(spark, d)
+    m = models.fit_classifier(lab, "label ~ n_chars + lang + source", "random_forest")
+    return models.feature_importance(m, lab)
+
+
+@register(
+    "m18_lift",
+    W(si.TITANIC_SQL)
+    + _LABELLED_SQL
+    + ", t AS (SELECT label, ntile(10) OVER (ORDER BY n_chars DESC, label) AS bin FROM lab), "
+    "g AS (SELECT bin, sum(CAST(label AS DOUBLE)) AS cnt FROM t GROUP BY bin), "
+    "s AS (SELECT bin, cnt, cnt / (SELECT sum(cnt) FROM g) AS share FROM g) "
+    f"SELECT {i8('bin')} AS bin, {r4('cnt')} AS count, {r4('sum(share) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS prop FROM s",
+)
+def m18_lift(spark, d):
+    """Cumulative gains by decile of a score column."""
+    from lodestar.ml import evaluate
+
+    return evaluate.lift_table(_labelled(spark, d), "n_chars", "label")
+
+
+_M19_SQL = (
+    ", g AS (SELECT year, depdelay, depdelay - arrdelay AS gain FROM flights), "
+    "fit AS (SELECT regr_slope(gain, depdelay) AS b, regr_intercept(gain, depdelay) AS a FROM g WHERE year <= 1998), "
+    "p AS (SELECT CASE WHEN year <= 1998 THEN 'train' ELSE 'valid' END AS data, gain, fit.a + fit.b * depdelay AS pred FROM g, fit), "
+    "t AS (SELECT data, gain, pred, ntile(10) OVER (PARTITION BY data ORDER BY pred DESC, gain) AS decile FROM p) "
+    f"SELECT data, {i8('decile')} AS decile, count(*) AS n, {r4('avg(gain)')} AS mean_actual, {r4('avg(pred)')} AS mean_pred FROM t GROUP BY data, decile"
+)
+
+
+@register("m19_deciles", W(si.FLIGHTS_SQL) + _M19_SQL)
+def m19_deciles(spark, d):
+    """Gain model fitted on years up to 1998; mean actual vs predicted by decile,
+    training years against later years (M19, M21, M14)."""
+    from lodestar.ml import evaluate, models
+
+    g = si.flights(spark, d).select("year", "depdelay", (F.col("depdelay") - F.col("arrdelay")).alias("gain"))
+    train, valid = g.where(F.col("year") <= 1998), g.where(F.col("year") > 1998)
+    m = models.fit_regressor(train, "gain ~ depdelay", "linear")
+    return evaluate.decile_table(
+        {"train": m.transform(train).select("gain", F.col("prediction").alias("pred")),
+         "valid": m.transform(valid).select("gain", F.col("prediction").alias("pred"))},
+        "pred", "gain",
+    )
