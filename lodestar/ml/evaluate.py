@@ -13,7 +13,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.scalar import scalar_of
 from lodestar.operators import rollups, setops, windows
 
 
@@ -96,13 +95,13 @@ def residuals(df: DataFrame, actual: str, prediction: str = "prediction", out_co
 def regression_metrics(df: DataFrame, actual: str, prediction: str = "prediction") -> DataFrame:
     """n, MSE, RMSE, MAE and R² in one pass."""
     err = F.col(actual) - F.col(prediction)
-    mean_y = scalar_of(df, F.avg(actual))
+    # R² = 1 - SSE / SST with SST = n * var_pop(actual): one pass, no second scan for the mean
     return df.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(err * err).alias("mse"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - F.sum(err * err) / F.sum(F.pow(F.col(actual) - mean_y, 2))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.avg(err * err), F.var_pop(actual))).alias("r2"),
     )
 
 

@@ -32,7 +32,7 @@ def histogram(df: DataFrame, x: str | Column, bins: int = 30) -> DataFrame:
     hi = scalar_of(data, F.max("x"))
     w = (hi - lo) / F.lit(bins)
     b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("x") - lo) / w), F.lit(bins - 1)))
-    counts = data.groupBy(b.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = data.withColumn("bin", b.cast("long")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").alias("bin"))
     return (
@@ -59,11 +59,10 @@ def raster(df: DataFrame, x: str | Column, y: str | Column, resolution: int = 30
     min_x, max_x = scalar_of(data, F.min("x")), scalar_of(data, F.max("x"))
     min_y, max_y = scalar_of(data, F.min("y")), scalar_of(data, F.max("y"))
     keys = [] if facet is None else ["g"]
-    cells = data.groupBy(
-        *keys,
-        _scaled(F.col("x"), min_x, max_x - min_x, resolution).alias("res_x"),
-        _scaled(F.col("y"), min_y, max_y - min_y, resolution).alias("res_y"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    cells = data.withColumns({
+        "res_x": _scaled(F.col("x"), min_x, max_x - min_x, resolution),
+        "res_y": _scaled(F.col("y"), min_y, max_y - min_y, resolution),
+    }).groupBy(*keys, "res_x", "res_y").agg(F.count(F.lit(1)).alias("n"))
     return cells.withColumns({"min_x": min_x, "max_x": max_x, "min_y": min_y, "max_y": max_y})
 
 
@@ -86,10 +85,10 @@ def boxbin(df: DataFrame, x: str | Column, y: str | Column, color: str | Column
     data = df.select(*cols).where(F.col("x").isNotNull() & F.col("y").isNotNull())
     min_x, max_x = scalar_of(data, F.min("x")), scalar_of(data, F.max("x"))
     min_y, max_y = scalar_of(data, F.min("y")), scalar_of(data, F.max("y"))
-    grouped = data.groupBy(
-        _scaled(F.col("x"), min_x, max_x - min_x, resolution).alias("res_x"),
-        _scaled(F.col("y"), min_y, max_y - min_y, resolution).alias("res_y"),
-    )
+    grouped = data.withColumns({
+        "res_x": _scaled(F.col("x"), min_x, max_x - min_x, resolution),
+        "res_y": _scaled(F.col("y"), min_y, max_y - min_y, resolution),
+    }).groupBy("res_x", "res_y")
     if color is None:
         cells = grouped.agg(F.count(F.lit(1)).alias("__v"))
         top = scalar_of(cells, F.max("__v"))
@@ -105,7 +104,7 @@ def quick_histogram(df: DataFrame, x: str | Column, breaks: int = 30) -> DataFra
     data = df.select(col_of(x).cast("double").alias("x")).where(F.col("x").isNotNull())
     width = scalar_of(data, F.max("x")) / F.lit(breaks - 1)
     bucket = F.when(width == 0, F.lit(0)).otherwise(round_half_up(F.col("x") / width, 0))
-    return data.groupBy(bucket.alias("bucket")).agg(
+    return data.withColumn("bucket", bucket).groupBy("bucket").agg(
         F.max("x").alias("top"), F.min("x").alias("bottom"), F.count(F.lit(1)).alias("count")
     )
 

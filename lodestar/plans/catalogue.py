@@ -1237,3 +1237,442 @@ def m19_deciles(spark, d):
          "valid": m.transform(valid).select("gain", F.col("prediction").alias("pred"))},
         "pred", "gain",
     )
+
+
+def _gain_table(spark, d):
+    return si.flights(spark, d).select(
+        "year", "uniquecarrier", "distance", "depdelay", "arrdelay", (F.col("depdelay") - F.col("arrdelay")).alias("gain")
+    )
+
+
+@register("m20_residual_hist", None)
+def m20_residual_hist(spark, d):
+    """Residuals of the gain model and their 30-bin histogram."""
+    from lodestar.ml import evaluate, models
+
+    g = _gain_table(spark, d)
+    m = models.fit_regressor(g, "gain ~ depdelay + distance", "linear")
+    res = evaluate.residuals(m.transform(g), "gain")
+    return visagg.histogram(res, "residual", 30)
+
+
+@register("m21_out_of_time", None)
+def m21_out_of_time(spark, d):
+    """Fit on years up to 1998, score later years; metrics per period."""
+    from lodestar.ml import evaluate, models
+
+    g = _gain_table(spark, d)
+    train, later = g.where(F.col("year") <= 1998), g.where(F.col("year") > 1998)
+    m = models.fit_regressor(train, "gain ~ depdelay + distance + uniquecarrier", "linear")
+    return setops.tagged_union(
+        {"train": evaluate.regression_metrics(m.transform(train), "gain"),
+         "later": evaluate.regression_metrics(m.transform(later), "gain")},
+        "period",
+    )
+
+
+@register("m22_glm_gaussian", None)
+def m22_glm_gaussian(spark, d):
+    """Gaussian GLM without penalty; coefficients equal the least-squares fit."""
+    from lodestar.ml import models
+
+    g = _gain_table(spark, d)
+    m = models.fit_regressor(g, "gain ~ depdelay + distance", "glm_gaussian")
+    glm = m.stages[-1]
+    rows = [("(Intercept)", float(glm.intercept))] + [
+        (n, float(c)) for n, c in zip(models.feature_names(m, g), glm.coefficients)
+    ]
+    return spark.createDataFrame(rows, "term string, estimate double")
+
+
+@register("m23_penalty_path", None)
+def m23_penalty_path(spark, d):
+    """Penalty path of a linear model chosen on a held-out part."""
+    from lodestar.ml import search
+
+    _, table = search.penalty_path(_gain_table(spark, d), "gain ~ depdelay + distance + uniquecarrier", [0.0, 0.01, 0.1, 1.0])
+    return table
+
+
+@register("m24_cv_logistic", None)
+def m24_cv_logistic(spark, d):
+    """Binomial GLM with 3-fold cross-validation, mean AUC per penalty."""
+    from lodestar.ml import search
+
+    _, table = search.cross_validated_logistic(_labelled(spark, d), "label ~ n_chars + lang + source", 3)
+    return table
+
+
+@register("m25_pca", None)
+def m25_pca(spark, d):
+    """Principal components of the embeddings, explained variance of the first four."""
+    from lodestar.ml import features, models
+
+    e = features.array_features(si.table(spark, d, "embeddings"), "embedding")
+    _, table = models.pca(e, "features", 4)
+    return table
+
+
+@register("m26_multiclass_forest", None)
+def m26_multiclass_forest(spark, d):
+    """Ten-class random forest (32 bins, depth 5, 20 trees) scored on a held-out part;
+    confusion counts (M26)."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from lodestar.ml import evaluate, features
+
+    e = features.array_features(si.table(spark, d, "embeddings"), "embedding")
+    parts = verbs.hash_split(e, {"train": 0.8, "valid": 0.2}, "vec_id")
+    rf = RandomForestClassifier(labelCol="label", maxBins=32, maxDepth=5, numTrees=20, seed=42)
+    m = rf.fit(parts["train"])
+    return evaluate.confusion(m.transform(parts["valid"]), "label", classes=list(range(10)))
+
+
+@register("m27_one_vs_rest_gbt", None)
+def m27_one_vs_rest_gbt(spark, d):
+    """Ten-class boosted trees as one-vs-rest binary models; accuracy on a held-out part."""
+    from lodestar.ml import features, models
+
+    e = features.array_features(si.table(spark, d, "embeddings"), "embedding").withColumn("label", F.col("label").cast("double"))
+    parts = verbs.hash_split(e, {"train": 0.8, "valid": 0.2}, "vec_id")
+    m = models.one_vs_rest_gbt(parts["train"], "features", "label", step=0.1, col_rate="0.7")
+    scored = m.transform(parts["valid"])
+    return scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+
+@register("m28_grid_search", None)
+def m28_grid_search(spark, d):
+    """Grid of tree settings ranked by validation MSE."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from lodestar.ml import search
+
+    g = _gain_table(spark, d)
+    parts = verbs.hash_split(g.withColumn("k", F.monotonically_increasing_id()), {"train": 0.8, "valid": 0.2}, ["year", "depdelay", "arrdelay", "distance"])
+    return search.grid_search(
+        parts["train"], parts["valid"], "gain ~ depdelay + distance", DecisionTreeRegressor(seed=42),
+        {"maxDepth": [2, 4, 6], "maxBins": [16, 32]},
+    )
+
+
+@register("m29_random_search", None)
+def m29_random_search(spark, d):
+    """Seeded random subset (4 of 12) of a tree grid, ranked by validation MSE."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from lodestar.ml import search
+
+    g = _gain_table(spark, d)
+    parts = verbs.hash_split(g, {"train": 0.8, "valid": 0.2}, ["year", "depdelay", "arrdelay", "distance"])
+    return search.grid_search(
+        parts["train"], parts["valid"], "gain ~ depdelay + distance", DecisionTreeRegressor(seed=42),
+        {"maxDepth": [2, 3, 4, 5], "minInstancesPerNode": [1, 5, 20]}, max_models=4,
+    )
+
+
+@register("m31_model_comparison", None)
+def m31_model_comparison(spark, d):
+    """Train and test MSE of linear, GLM and tree models."""
+    from lodestar.ml import search
+
+    g = _gain_table(spark, d)
+    parts = verbs.hash_split(g, {"train": 0.8, "test": 0.2}, ["year", "depdelay", "arrdelay", "distance"])
+    return search.compare_regressors(parts["train"], parts["test"], "gain ~ depdelay + distance", "gain")
+
+
+@register("m33_compare_classifiers", None)
+def m33_compare_classifiers(spark, d):
+    """All classifiers refitted on a chosen feature set and split; held-out AUC."""
+    from lodestar.ml import search
+
+    return search.compare_classifiers(_labelled(spark, d), "label", ["n_chars", "lang"], key="doc_id", train_frac=0.75)
+
+
+# ================================================================ sampling
+@register("p16_bernoulli_sample", None)
+def p16_bernoulli_sample(spark, d):
+    """Bernoulli 1 % sample of the line items."""
+    return verbs.bernoulli_sample(si.table(spark, d, "lineitem"), 0.01, seed=7)
+
+
+@register("p17_sample_exact", None)
+def p17_sample_exact(spark, d):
+    """Exactly 500 line items chosen by a seeded hash."""
+    return verbs.sample_exact(si.table(spark, d, "lineitem"), 500, seed=7)
+
+
+@register("p18_split", None)
+def p18_split(spark, d):
+    """Seeded 80 / 20 hash split of the orders; part sizes."""
+    parts = verbs.hash_split(si.table(spark, d, "orders"), {"train": 0.8, "test": 0.2}, "o_orderkey", seed=7)
+    return setops.tagged_union({k: rollups.row_count(v) for k, v in parts.items()}, "part")
+
+
+# ================================================================ verbs
+@register(
+    "p01_select_range",
+    f"SELECT {r4('l_quantity')} AS l_quantity, {r4('l_extendedprice')} AS l_extendedprice, {r4('l_discount')} AS l_discount, "
+    f"{r4('l_tax')} AS l_tax, {i8('l_orderkey')} AS l_orderkey FROM lineitem",
+)
+def p01_select_range(spark, d):
+    """``select(l_quantity:l_tax, l_orderkey)``."""
+    return verbs.select_range(si.table(spark, d, "lineitem"), "l_quantity", "l_tax", "l_orderkey")
+
+
+@register(
+    "p02_rename_derive",
+    f"SELECT {i8('o_orderkey')} AS order_id, {r4('o_totalprice')} AS price, {r4('o_totalprice / 1000')} AS price_k, "
+    f"{r4('o_totalprice / 1000 * 2')} AS price_k2, o_orderpriority AS priority FROM orders",
+)
+def p02_rename_derive(spark, d):
+    """Project with rename, drop, rename again and chained derived columns."""
+    o = verbs.select_as(si.table(spark, d, "orders"), {"order_id": "o_orderkey", "price": "o_totalprice", "status": "o_orderstatus", "o_orderpriority": "o_orderpriority"})
+    o = verbs.drop_cols(o, "status")
+    o = verbs.rename(o, {"o_orderpriority": "priority"})
+    return verbs.derive(o, {"price_k": F.col("price") / 1000, "price_k2": "price_k * 2"})
+
+
+@register(
+    "p08_filters",
+    f"SELECT 'and' AS kind, {i8('count(*)')} AS n FROM lineitem WHERE l_discount > 0.05 AND l_tax < 0.02 "
+    f"UNION ALL SELECT 'or', {i8('count(*)')} FROM lineitem WHERE l_quantity = (SELECT min(l_quantity) FROM lineitem) OR l_quantity = (SELECT max(l_quantity) FROM lineitem)",
+)
+def p08_filters(spark, d):
+    """Conjunctive filter and a disjunction against whole-table extremes."""
+    li = si.table(spark, d, "lineitem")
+    both = verbs.where_all(li, F.col("l_discount") > 0.05, "l_tax < 0.02")
+    either = verbs.where_any(
+        li, F.col("l_quantity") == fx.scalar_of(li, F.min("l_quantity")), F.col("l_quantity") == fx.scalar_of(li, F.max("l_quantity"))
+    )
+    return setops.tagged_union({"and": rollups.row_count(both), "or": rollups.row_count(either)}, "kind")
+
+
+@register(
+    "p11_null_filters",
+    W(si.TITANIC_SQL)
+    + f"SELECT 'subset' AS kind, {i8('count(*)')} AS n FROM titanic WHERE quality IS NOT NULL AND label IS NOT NULL "
+    f"UNION ALL SELECT 'any', {i8('count(*)')} FROM titanic WHERE doc_id IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL "
+    "AND n_chars IS NOT NULL AND quality IS NOT NULL AND label IS NOT NULL",
+)
+def p11_null_filters(spark, d):
+    """Rows without NULL in chosen columns, and in any column."""
+    t = si.titanic(spark, d)
+    return setops.tagged_union(
+        {"subset": rollups.row_count(verbs.drop_missing(t, ["quality", "label"])), "any": rollups.row_count(verbs.drop_missing(t))},
+        "kind",
+    )
+
+
+@register("p14_distinct_sorted", "SELECT DISTINCT p_brand FROM part")
+def p14_distinct_sorted(spark, d):
+    """Sorted distinct brands."""
+    return verbs.distinct_sorted(si.table(spark, d, "part"), "p_brand")
+
+
+@register(
+    "p22_recode_key",
+    W(si.FLIGHTS_SQL)
+    + "SELECT CASE WHEN flightnum = 7 THEN 'DH' ELSE uniquecarrier END AS carrier, count(*) AS n FROM flights GROUP BY 1",
+)
+def p22_recode_key(spark, d):
+    """Carrier recoded where a condition holds, else kept."""
+    f = si.flights(spark, d).withColumn(
+        "carrier", F.when(F.col("flightnum") == 7, F.lit("DH")).otherwise(F.col("uniquecarrier"))
+    )
+    return rollups.group_count(f, "carrier")
+
+
+@register("p24_bool_col", "SELECT p_size = 8 AS size8, count(*) AS n FROM part GROUP BY 1")
+def p24_bool_col(spark, d):
+    """Boolean derived column."""
+    return rollups.group_count(si.table(spark, d, "part").withColumn("size8", F.col("p_size") == 8), "size8")
+
+
+# ================================================================ aggregates
+@register(
+    "a04_means",
+    W(si.TRIPS_SQL)
+    + f"SELECT vendor_id, count(*) AS n, {r4('avg(fare_amount)')} AS fare, {r4('avg(tip_amount)')} AS tip, {r4('avg(total_amount)')} AS total, "
+    f"{r4('sum(fare_amount) / 1000000')} AS fare_millions, {r4('min(fare_amount)')} AS min_fare, {r4('max(fare_amount)')} AS max_fare, "
+    "min(payment_type) AS first_payment FROM trips GROUP BY vendor_id",
+)
+def a04_means(spark, d):
+    """Means, scaled sum, min / max (also of text) per vendor."""
+    return rollups.summarize(
+        si.trips(spark, d), "vendor_id",
+        {
+            "n": F.count(F.lit(1)),
+            "fare": F.avg("fare_amount"),
+            "tip": F.avg("tip_amount"),
+            "total": F.avg("total_amount"),
+            "fare_millions": F.sum("fare_amount") / F.lit(1_000_000),
+            "min_fare": F.min("fare_amount"),
+            "max_fare": F.max("fare_amount"),
+            "first_payment": F.min("payment_type"),
+        },
+    )
+
+
+@register(
+    "a10_pivot_sum",
+    W(si.BABYNAMES_SQL)
+    + f"SELECT {i8('year')} AS year, {r4("sum(CASE WHEN sex = 'F' THEN n END)")} AS F, {r4("sum(CASE WHEN sex = 'M' THEN n END)")} AS M "
+    "FROM babynames GROUP BY year",
+)
+def a10_pivot_sum(spark, d):
+    """Per-class sums as columns with ``pivot``."""
+    return rollups.pivot_wide(si.babynames(spark, d), "year", "sex", ["F", "M"], F.sum("n"))
+
+
+@register(
+    "a18_null_category",
+    W(si.TOR_SQL)
+    + f"SELECT {day_text('date')} AS date, {r4("sum(CASE WHEN coalesce(flag, 'None') = 'Exit' THEN relays END)")} AS Exit, "
+    f"{r4("sum(CASE WHEN coalesce(flag, 'None') = 'Guard' THEN relays END)")} AS Guard, "
+    f"{r4("sum(CASE WHEN coalesce(flag, 'None') = 'None' THEN relays END)")} AS None FROM tor GROUP BY date",
+)
+def a18_null_category(spark, d):
+    """NULL category recoded before the pivot."""
+    t = si.tor_servers(spark, d).withColumn("flag", F.coalesce("flag", F.lit("None")))
+    return rollups.pivot_wide(t, "date", "flag", ["Exit", "Guard", "None"], F.sum("relays"))
+
+
+@register(
+    "a21_mse",
+    W(si.TRIPS_SQL)
+    + f"SELECT vendor_id, {r4('avg(pow(total_amount - fare_amount, 2))')} AS mse FROM trips GROUP BY vendor_id",
+)
+def a21_mse(spark, d):
+    """Mean squared difference between two columns per vendor."""
+    return rollups.mean_squared_error(si.trips(spark, d), "total_amount", "fare_amount", by="vendor_id")
+
+
+@register(
+    "a22_null_audit",
+    W(si.TITANIC_SQL)
+    + "SELECT c AS \"column\", CAST(nulls AS BIGINT) AS nulls, "
+    + r4("nulls / rows_")
+    + " AS null_rate FROM (SELECT count(*) AS rows_, "
+    + ", ".join(f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS {c}" for c in ["doc_id", "lang", "source", "n_chars", "quality", "label"])
+    + " FROM titanic) UNPIVOT (nulls FOR c IN (doc_id, lang, source, n_chars, quality, label))",
+)
+def a22_null_audit(spark, d):
+    """NULL count and rate of every column in one pass."""
+    return rollups.null_audit(si.titanic(spark, d))
+
+
+@register(
+    "a29_cancelled",
+    W(si.FLIGHTS_SQL)
+    + f"SELECT {i8('dest')} AS dest, {i8('month')} AS month, count(*) AS n, {r4('avg(cancelled)')} AS cancel_rate, "
+    f"{i8('sum(cancelled)')} AS cancelled FROM flights GROUP BY dest, month HAVING sum(cancelled) > 80",
+)
+def a29_cancelled(spark, d):
+    """Cancellations per destination and month, busy cells only."""
+    return rollups.summarize(
+        si.flights(spark, d), ["dest", "month"],
+        {"n": F.count(F.lit(1)), "cancel_rate": F.avg("cancelled"), "cancelled": F.sum("cancelled")},
+    ).where(F.col("cancelled") > 80)
+
+
+# ================================================================ functions
+@register(
+    "f09_text_functions",
+    f"SELECT {i8('doc_id')} AS doc_id, lower(lang) AS lang_lc, substring(text, 1, 20) AS head20, "
+    "regexp_replace(source, '^src', 's') AS src_short, TRY_CAST(regexp_replace(source, '^src', '') AS INTEGER) AS src_no, "
+    f"TRY_CAST(lang AS INTEGER) AS lang_no, CAST(n_chars AS VARCHAR) AS n_chars_txt, {r4('CAST(n_chars AS DOUBLE)')} AS n_chars_dbl FROM documents",
+)
+def f09_text_functions(spark, d):
+    """lower, substring, regexp_replace, casts and try_cast."""
+    docs = si.table(spark, d, "documents")
+    return docs.select(
+        "doc_id",
+        F.lower("lang").alias("lang_lc"),
+        F.substring("text", 1, 20).alias("head20"),
+        F.regexp_replace("source", "^src", "s").alias("src_short"),
+        F.regexp_replace("source", "^src", "").try_cast("int").alias("src_no"),
+        F.col("lang").try_cast("int").alias("lang_no"),
+        F.col("n_chars").cast("string").alias("n_chars_txt"),
+        F.col("n_chars").cast("double").alias("n_chars_dbl"),
+    )
+
+
+@register(
+    "f16_text_dates",
+    "SELECT d AS day, count(*) AS n FROM (SELECT strftime(ts, '%Y-%m-%d') AS d FROM events) "
+    "WHERE CAST(strptime(d, '%Y-%m-%d') AS DATE) >= DATE '2024-01-15' GROUP BY d",
+)
+def f16_text_dates(spark, d):
+    """Dates kept as text, parsed with a pattern, compared as dates (F16)."""
+    e = si.table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    e = e.where(F.to_date("day", "yyyy-MM-dd") >= F.lit("2024-01-15").cast("date"))
+    return rollups.group_count(e, "day")
+
+
+@register(
+    "f20_zscore",
+    f"SELECT {i8('p_partkey')} AS p_partkey, {r4('log10(p_retailprice)')} AS log_price, "
+    f"{r4('(sqrt(p_size) - (SELECT avg(sqrt(p_size)) FROM part)) / (SELECT stddev_samp(sqrt(p_size)) FROM part)')} AS z FROM part",
+)
+def f20_zscore(spark, d):
+    """log10 and the z-score of sqrt(size) over the whole table."""
+    p = si.table(spark, d, "part").withColumn("s", F.sqrt("p_size"))
+    return p.select("p_partkey", F.log10("p_retailprice").alias("log_price"), fx.z_score(p, "s").alias("z"))
+
+
+# ================================================================ more jobs
+@register(
+    "v10_profile_regroup",
+    "SELECT event_type, count(*) AS n_hours, "
+    + r4("avg(mean_value)") + " AS mean_of_hourly_means, " + r4("min(mean_value)") + " AS min_hourly_mean, "
+    + r4("max(mean_value)") + " AS max_hourly_mean FROM (SELECT event_type, hour(ts) AS h, avg(value) AS mean_value "
+    "FROM events GROUP BY event_type, hour(ts)) GROUP BY event_type",
+)
+def v10_profile_regroup(spark, d):
+    """Hourly means per event type, then a second-level summary of those means."""
+    e = si.table(spark, d, "events").withColumn("h", F.hour("ts"))
+    hourly = rollups.summarize(e, ["event_type", "h"], {"mean_value": F.avg("value")})
+    return rollups.summarize(
+        hourly, "event_type",
+        {"n_hours": F.count(F.lit(1)), "mean_of_hourly_means": F.avg("mean_value"),
+         "min_hourly_mean": F.min("mean_value"), "max_hourly_mean": F.max("mean_value")},
+    )
+
+
+@register(
+    "v16_route_lookup",
+    W(si.FLIGHTS_SQL)
+    + ", g AS (SELECT origin, dest, uniquecarrier, distance, depdelay, arrdelay, depdelay - arrdelay AS gain FROM flights), "
+    "fit AS (SELECT regr_slope(gain, depdelay) AS b, regr_intercept(gain, depdelay) AS a FROM g) "
+    f"SELECT {i8('origin')} AS origin, {i8('dest')} AS dest, uniquecarrier, count(*) AS flights, {r4('avg(distance)')} AS distance, "
+    f"{r4('avg(depdelay)')} AS avg_dep_delay, {r4('avg(arrdelay)')} AS avg_arr_delay, {r4('avg(gain)')} AS avg_gain, "
+    f"{r4('avg(fit.a + fit.b * depdelay)')} AS pred_gain FROM g, fit GROUP BY origin, dest, uniquecarrier",
+)
+def v16_route_lookup(spark, d):
+    """Scored flights rolled up by route and carrier, the table served to point lookups."""
+    from lodestar.ml import models
+    from lodestar.plans import jobs
+
+    g = si.flights(spark, d).withColumn("gain", F.col("depdelay") - F.col("arrdelay"))
+    m = models.fit_regressor(g.select("gain", "depdelay"), "gain ~ depdelay", "linear")
+    return jobs.route_summary(m.transform(g))
+
+
+@register(
+    "v27_feature_prep",
+    W(si.TITANIC_SQL)
+    + f"SELECT {i8('doc_id')} AS doc_id, {r4('coalesce(CAST(quality AS DOUBLE), (SELECT avg(quality) FROM titanic))')} AS quality, "
+    "CASE WHEN n_chars >= 0 AND n_chars < 500 THEN 0.0 WHEN n_chars >= 500 AND n_chars < 2000 THEN 1.0 "
+    "WHEN n_chars >= 2000 AND n_chars < 10000 THEN 2.0 WHEN n_chars >= 10000 THEN 3.0 END AS size_bin, lang, "
+    "CASE WHEN label IS NULL THEN NULL ELSE CAST(label AS DOUBLE) END AS label FROM titanic",
+)
+def v27_feature_prep(spark, d):
+    """Feature preparation as one Pipeline: mean imputation, bucketing, casts."""
+    from lodestar.ml.features import prepare_pipeline
+
+    t = si.titanic(spark, d).select(
+        "doc_id", "lang", F.col("quality").cast("double").alias("quality"),
+        F.col("n_chars").cast("double").alias("n_chars"), F.col("label").cast("double").alias("label"),
+    )
+    model = prepare_pipeline(["quality"], "n_chars", SPLITS, "size_bin").fit(t)
+    return model.transform(t).select("doc_id", "quality", "size_bin", "lang", "label")
