@@ -15,13 +15,23 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_FITS: dict[tuple[int, int], bool] = {}
+
+
 def fits_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Runs ``limit(max_rows + 1).count()``, which stops reading once the bound
-    is passed, so the check costs at most ``max_rows + 1`` rows.
+    is passed, so the check costs at most ``max_rows + 1`` rows.  The answer
+    is remembered per plan (``semanticHash``) for the life of the driver, so
+    a lookup used by many jobs is counted once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.semanticHash(), max_rows)
+    if key not in _FITS:
+        if len(_FITS) > 4096:
+            _FITS.clear()
+        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _FITS[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

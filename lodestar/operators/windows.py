@@ -141,7 +141,8 @@ def _tile_of(pos: Column, total: Column, n_tiles: int) -> Column:
 
 
 def global_positions(
-    df: DataFrame, order: Sequence[Column], partitions: int | None = None, pos_col: str = "__pos"
+    df: DataFrame, order: Sequence[Column], partitions: int | None = None, pos_col: str = "__pos",
+    total_col: str | None = None,
 ) -> DataFrame:
     """Attach the 0-based global position of each row in ``order``.
 
@@ -175,11 +176,17 @@ def global_positions(
         )
         .drop("__cnt")
     )
-    return (
-        ids.join(F.broadcast(offsets), on="__pid", how="inner")
-        .withColumn(pos_col, F.col("__offset") + F.col("__local"))
-        .drop("__mid", "__pid", "__local", "__offset")
+    out = ids.join(F.broadcast(offsets), on="__pid", how="inner").withColumn(
+        pos_col, F.col("__offset") + F.col("__local")
     )
+    if total_col:
+        # row count from the per-partition counts: no second pass over the input
+        out = out.withColumn(total_col, scalar_of(offsets_counts(ids), F.sum("__cnt")))
+    return out.drop("__mid", "__pid", "__local", "__offset")
+
+
+def offsets_counts(ids: DataFrame) -> DataFrame:
+    return ids.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
 
 
 def ntile(
@@ -193,9 +200,8 @@ def ntile(
 
     ``order`` should be total (append a unique key) for a deterministic result.
     """
-    pos = global_positions(df, order, partitions)
-    total = scalar_of(df, F.count(F.lit(1)))
-    return pos.withColumn(tile_col, _tile_of(F.col("__pos"), total, n_tiles)).drop("__pos")
+    pos = global_positions(df, order, partitions, total_col="__total")
+    return pos.withColumn(tile_col, _tile_of(F.col("__pos"), F.col("__total"), n_tiles)).drop("__pos", "__total")
 
 
 def ntile_window(df: DataFrame, n_tiles: int, order: Sequence[Column], tile_col: str = "tile") -> DataFrame:

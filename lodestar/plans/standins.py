@@ -14,12 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.operators.joins import bounded_broadcast
+from lodestar.sources.files import ensure_parallelism
 
 LOOKUP_ROWS = 100_000
+# tables that grow with the scale factor; lookups (nation, region) stay one task
+FACT_TABLES: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in FACT_TABLES else df
 
 
 # ---------------------------------------------------------------- trips

@@ -23,6 +23,20 @@ COL_CODES = {
 }
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster when it yields fewer partitions than cores.
+
+    A file written as one row group (or one gzip / bz2 stream) is read by a
+    single task, and every operator pipelined after the scan inherits that.
+    A round-robin repartition restores parallelism; on real inputs with
+    many splits this is a no-op and adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def read_parquet(spark: SparkSession, path: str, name: str | None = None, cache: bool = False) -> DataFrame:
     """Parquet scan, optionally registered under ``name`` and cached."""
     df = spark.read.parquet(path)
