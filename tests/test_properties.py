@@ -106,3 +106,34 @@ def test_auc_matches_spark_evaluator(spark):
     a = evaluate.auc(df, "s", "y").first()["auc"]
     b = evaluate.auc_evaluator(df, "s", "y")
     assert abs(a - b) < 1e-9
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 40).map(lambda x: x / 4))), max_size=80),
+    st.sampled_from([1, 2, 8, 1024]),
+)
+def test_distributed_percentiles_equal_builtin(spark, data, buckets):
+    df = spark.createDataFrame(data, "g long, v double") if data else spark.createDataFrame([], "g long, v double")
+    probs = (0.0, 0.1, 0.5, 0.9, 1.0)
+    got = rollups.percentile_table(df, "g", "v", probs, buckets=buckets)
+    ref = df.where(F.col("v").isNotNull()).groupBy("g").agg(
+        *[F.percentile("v", p).alias(f"p{int(p * 100):02d}") for p in probs]
+    )
+    a = {r["g"]: tuple(r)[1:] for r in got.collect()}
+    b = {r["g"]: tuple(r)[1:] for r in ref.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k], abs=1e-12)
+
+
+def test_distributed_percentiles_skewed_group(spark):
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40).alias("g"),
+        ((F.col("id") * 7919) % 997 / 10.0).alias("v"),
+    )
+    got = {r["g"]: tuple(r)[1:] for r in rollups.profile(df, "g", "v", method="distributed").collect()}
+    ref = {r["g"]: tuple(r)[1:] for r in rollups.profile(df, "g", "v", method="exact").collect()}
+    assert got.keys() == ref.keys()
+    for k in got:
+        assert got[k] == pytest.approx(ref[k], rel=1e-12)
