@@ -238,13 +238,14 @@ def box_stats(df: DataFrame, by, value: str, coef: float = 1.5) -> DataFrame:
     (one row per group on the small side) and aggregates whiskers.
     """
     keys = _as_list(by)
-    q = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(value).alias("min"),
-        F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"),
-        F.max(value).alias("max"),
-    ).select(*keys, "n", "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-             F.col("__q")[2].alias("q3"), "max")
+    rows_nn = df.where(F.col(value).isNotNull())
+    moments = rows_nn.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max")
+    )
+    quart = percentile_table(rows_nn, keys, value, (0.25, 0.5, 0.75), ["q1", "median", "q3"])
+    q = (moments.join(quart, on=keys) if keys else moments.crossJoin(quart)).select(
+        *keys, "n", "min", "q1", "median", "q3", "max"
+    )
     q = q.withColumns({
         "lower_fence": F.col("q1") - F.lit(coef) * (F.col("q3") - F.col("q1")),
         "upper_fence": F.col("q3") + F.lit(coef) * (F.col("q3") - F.col("q1")),

@@ -80,31 +80,61 @@ def top_k_with_ties(
     return candidates.join(ranks, on=[*keys, order_col], how="inner")
 
 
+def ahead_counts(
+    dist: DataFrame,
+    keys: list[str],
+    value: str,
+    count_col: str,
+    descending: bool = True,
+    buckets: int = 1024,
+    out_col: str = "__ahead",
+) -> DataFrame:
+    """For distinct (group, value, count) rows: rows of the group strictly ahead in the order.
+
+    The group's value range is cut into ``buckets`` equal-width buckets;
+    bucket totals and their running offsets form a small (group x bucket)
+    table, and only the values inside one bucket are ordered together.  A
+    group with a third of all values is therefore spread over up to
+    ``buckets`` tasks instead of one.
+    """
+    stats = dist.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    width = F.col("__hi") - F.col("__lo")
+    axis = (F.col("__hi") - F.col(value)) if descending else (F.col(value) - F.col("__lo"))
+    b = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor(axis / width * F.lit(buckets)), F.lit(buckets - 1)))
+    with_b = (dist.join(stats, on=keys) if keys else dist.crossJoin(F.broadcast(stats))).withColumn("__b", b.cast("long"))
+    per_bucket = with_b.groupBy(*keys, "__b").agg(F.sum(count_col).alias("__bc"))
+    bw = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.withColumn("__start", F.coalesce(F.sum("__bc").over(bw), F.lit(0))).drop("__bc")
+    lw = Window.partitionBy(*keys, "__b").orderBy(_order(value, descending)).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        with_b.join(per_bucket, on=[*keys, "__b"])
+        .withColumn(out_col, F.col("__start") + F.coalesce(F.sum(count_col).over(lw), F.lit(0)))
+        .drop("__lo", "__hi", "__b", "__start")
+    )
+
+
 def rank_within(
     df: DataFrame,
     order_col: str,
     by: str | Sequence[str] | None = None,
     descending: bool = True,
     rank_col: str = "rank",
+    buckets: int = 1024,
 ) -> DataFrame:
     """SQL ``rank()`` of every row within ``by`` (W03), NULL order values get NULL.
 
-    Ranks are computed on distinct (group, value) pairs, which Spark
-    pre-aggregates on the map side, and joined back; a hot group therefore
-    sorts its distinct values, not its rows.
+    rank = 1 + rows of the group strictly ahead.  Ranks are computed on
+    distinct (group, value) pairs, pre-aggregated on the map side, with the
+    bucketed running counts of ``ahead_counts``, then joined back to the rows.
     """
     keys = _as_list(by)
-    w = Window.partitionBy(*keys).orderBy(_order(order_col, descending))
-    ranks = (
+    dist = (
         df.where(F.col(order_col).isNotNull())
         .groupBy(*keys, order_col)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn(
-            rank_col,
-            F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            + F.lit(1),
-        )
-        .drop("__n")
+    )
+    ranks = ahead_counts(dist, keys, order_col, "__n", descending, buckets).select(
+        *keys, order_col, (F.col("__ahead") + F.lit(1)).alias(rank_col)
     )
     return df.join(ranks, on=[*keys, order_col], how="left")
 
