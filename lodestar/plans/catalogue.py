@@ -1688,3 +1688,21 @@ def v27_feature_prep(spark, d):
     )
     model = prepare_pipeline(["quality"], "n_chars", SPLITS, "size_bin").fit(t)
     return model.transform(t).select("doc_id", "quality", "size_bin", "lang", "label")
+
+
+# ---------------------------------------------------------------- A28
+@register(
+    "a28_density",
+    "WITH d AS (SELECT event_type AS g, value AS v FROM events WHERE value IS NOT NULL), "
+    "s AS (SELECT g, min(v) AS lo, max(v) AS hi, stddev_samp(v) AS sd, count(*) AS n FROM d GROUP BY g), "
+    "b AS (SELECT d.g, least(floor((d.v - s.lo) / greatest(s.hi - s.lo, 1e-12) * 512), 511) AS bb, s.lo, s.hi, s.sd, s.n, count(*) AS c "
+    "FROM d JOIN s ON d.g = s.g GROUP BY 1, 2, 3, 4, 5, 6), "
+    "k AS (SELECT *, lo + (bb + 0.5) * greatest(hi - lo, 1e-12) / 512 AS center, "
+    "greatest(1.06 * coalesce(sd, 0.0) * pow(n, -0.2), 1e-9) AS h FROM b), "
+    "grid AS (SELECT k.*, t.i, lo + t.i * (hi - lo) / 63 AS x FROM k, range(0, 64) t(i)) "
+    f"SELECT g AS event_type, {r4('x')} AS x, {r4('sum(c * exp(-0.5 * ((x - center) / h) * ((x - center) / h))) / (min(n) * min(h) * sqrt(2 * pi()))')} AS density "
+    "FROM grid GROUP BY g, i, x",
+)
+def a28_density(spark, d):
+    """Gaussian kernel density of event value per type on a 64-point grid."""
+    return rollups.kernel_density(si.table(spark, d, "events"), "value", by="event_type", grid_points=64, bins=512)
