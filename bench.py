@@ -41,6 +41,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("lodestar-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

@@ -301,6 +301,32 @@ def pairwise_t(df: DataFrame, group: str, value: str, max_groups: int = 2000) ->
     )
 
 
+def holm_adjust(pairs: DataFrame, p_col: str = "p_value", out_col: str = "p_holm") -> DataFrame:
+    """Holm step-down adjustment over all rows of a small table of p values
+    (the default adjustment of pairwise t tests)."""
+    from pyspark.sql import Window
+
+    m = scalar_of(pairs, F.count(F.lit(1)))
+    order = Window.orderBy(F.col(p_col).asc_nulls_last(), *[F.col(c) for c in pairs.columns if c != p_col])
+    step = pairs.withColumn("__i", F.row_number().over(order)).withColumn(
+        "__s", F.least(F.lit(1.0), (m - F.col("__i") + F.lit(1)) * F.col(p_col))
+    )
+    cum = Window.orderBy("__i").rowsBetween(Window.unboundedPreceding, 0)
+    return step.withColumn(out_col, F.max("__s").over(cum)).drop("__i", "__s")
+
+
+def pairwise_t_tests(df: DataFrame, group: str, value: str, max_groups: int = 2000) -> DataFrame:
+    """``pairwise_t`` plus two-sided p values and Holm-adjusted p values.
+
+    The p values are computed on the pairs table only (at most
+    ``max_groups`` squared over two rows), never on raw rows.
+    """
+    from lodestar.functions.distributions import t_p_value
+
+    pairs = pairwise_t(df, group, value, max_groups).withColumn("p_value", t_p_value("t", "df"))
+    return holm_adjust(pairs)
+
+
 def linear_trend(df: DataFrame, y: str, x: str, by=None) -> DataFrame:
     """Least-squares line of ``y`` on ``x`` per group: slope, intercept, R², n."""
     return df.groupBy(*_as_list(by)).agg(

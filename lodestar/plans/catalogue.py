@@ -1706,3 +1706,9 @@ def v27_feature_prep(spark, d):
 def a28_density(spark, d):
     """Gaussian kernel density of event value per type on a 64-point grid."""
     return rollups.kernel_density(si.table(spark, d, "events"), "value", by="event_type", grid_points=64, bins=512)
+
+
+@register("a26_pairwise_p", None)
+def a26_pairwise_p(spark, d):
+    """Pairwise t tests of delay between carriers with p values and Holm adjustment."""
+    return rollups.pairwise_t_tests(si.flights(spark, d), "uniquecarrier", "depdelay")

@@ -67,6 +67,10 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
     spark = local_session()
+    import os
+
+    if os.environ.get("ORACLE_SESSION_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_SESSION_TZ"])
     con = duck(sf)
     bad = 0
     for key, (fn, sql) in CATALOGUE.items():

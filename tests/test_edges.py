@@ -148,3 +148,23 @@ def test_pairwise_t_small(spark):
     t = {(r["group_a"], r["group_b"]): r["t"] for r in rollups.pairwise_t(df, "g", "v").collect()}
     # pooled variance = (2*1 + 1*2 + 1*0.5) / 4 = 1.125
     assert t[("a", "b")] == pytest.approx((2.0 - 5.0) / math.sqrt(1.125 * (1 / 3 + 1 / 2)))
+
+
+def test_t_p_values_known_points():
+    import numpy as np
+
+    from lodestar.functions.distributions import regularized_beta, t_two_sided_p_values
+
+    # t = 2.228 with 10 df is the 97.5 % quantile; t = 1.96 with huge df ~ normal
+    p = t_two_sided_p_values(np.array([2.228138851986, 1.959963984540, 0.0]), np.array([10.0, 1e7, 5.0]))
+    assert p[0] == pytest.approx(0.05, abs=1e-9) and p[1] == pytest.approx(0.05, abs=1e-6) and p[2] == pytest.approx(1.0)
+    assert regularized_beta(np.array([0.3]), np.array([2.0]), np.array([3.0]))[0] == pytest.approx(0.3483, abs=1e-4)
+
+
+def test_pairwise_t_tests_holm(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 4.0), ("b", 6.0), ("c", 0.0), ("c", 1.0)], "g string, v double")
+    rows = rollups.pairwise_t_tests(df, "g", "v").collect()
+    ps = sorted(r["p_value"] for r in rows)
+    holm = sorted(r["p_holm"] for r in rows)
+    assert len(rows) == 3 and all(0 <= p <= 1 for p in ps)
+    assert holm[0] == pytest.approx(min(1.0, 3 * ps[0]))
