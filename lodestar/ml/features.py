@@ -53,3 +53,17 @@ def prepare_pipeline(
             Bucketizer(splits=list(splits), inputCol=bucket_col, outputCol=bucket_out, handleInvalid="keep"),
         ]
     )
+
+
+def training_table(df: DataFrame) -> DataFrame:
+    """Materialise a model's input once in the shared checkpoint folder.
+
+    Fits read their input several times (encoder fit, solver passes,
+    summary); a checkpoint computes the upstream joins once and survives the
+    loss of an executor.  Inputs read by fewer tasks than the cluster has
+    cores are spread first, so the solver passes run in parallel.
+    """
+    from lodestar.session import reliable_checkpoint
+    from lodestar.sources.files import ensure_parallelism
+
+    return reliable_checkpoint(ensure_parallelism(df))

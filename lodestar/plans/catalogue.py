@@ -1106,10 +1106,10 @@ def m04_simple_ols(spark, d):
     """One-predictor linear regression fitted with Spark ML, checked against the closed form."""
     from lodestar.ml import models
 
-    from lodestar.session import reliable_checkpoint
+    from lodestar.ml.features import training_table
 
     # the fit and its summary read the two columns several times: materialise once
-    t = reliable_checkpoint(si.trips(spark, d).select("fare_amount", "trip_distance"))
+    t = training_table(si.trips(spark, d).select("fare_amount", "trip_distance"))
     m = models.fit_regressor(t, "fare_amount ~ trip_distance", "linear")
     lr = m.stages[-1]
     row = [(float(lr.coefficients[0]), float(lr.intercept), float(lr.summary.r2))]
@@ -1236,10 +1236,10 @@ def m19_deciles(spark, d):
     training years against later years (M19, M21, M14)."""
     from lodestar.ml import evaluate, models
 
-    from lodestar.session import reliable_checkpoint
+    from lodestar.ml.features import training_table
 
     # the five-way join is read by the fit and by both scorings: materialise it once
-    g = reliable_checkpoint(
+    g = training_table(
         si.flights(spark, d).select("year", "depdelay", (F.col("depdelay") - F.col("arrdelay")).alias("gain"))
     )
     train, valid = g.where(F.col("year") <= 1998), g.where(F.col("year") > 1998)
