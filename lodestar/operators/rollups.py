@@ -92,7 +92,9 @@ def profile(
     base = df.select(*keys, c.alias("__v"))
     moments = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("__v").alias("mean"))
     pct = percentile_table(base, keys, "__v", probs)
-    return moments.join(pct, on=keys, how="left") if keys else moments.crossJoin(pct)
+    if keys:
+        return moments.join(pct, on=keys, how="left")
+    return moments.withColumns({c: scalar_of(pct, F.col(c)) for c in pct.columns})
 
 
 def grain_rollup(
@@ -243,9 +245,11 @@ def box_stats(df: DataFrame, by, value: str, coef: float = 1.5) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max")
     )
     quart = percentile_table(rows_nn, keys, value, (0.25, 0.5, 0.75), ["q1", "median", "q3"])
-    q = (moments.join(quart, on=keys) if keys else moments.crossJoin(quart)).select(
-        *keys, "n", "min", "q1", "median", "q3", "max"
-    )
+    if keys:
+        q = moments.join(quart, on=keys)
+    else:
+        q = moments.withColumns({c: scalar_of(quart, F.col(c)) for c in ("q1", "median", "q3")})
+    q = q.select(*keys, "n", "min", "q1", "median", "q3", "max")
     q = q.withColumns({
         "lower_fence": F.col("q1") - F.lit(coef) * (F.col("q3") - F.col("q1")),
         "upper_fence": F.col("q3") + F.lit(coef) * (F.col("q3") - F.col("q1")),
@@ -405,8 +409,11 @@ def percentile_table(
     bucket = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((v - F.col("__lo")) / width * F.lit(buckets)), F.lit(buckets - 1))
     ).cast("long")
-    dist_b = (dist.join(stats, on=keys, how="inner") if keys else dist.crossJoin(F.broadcast(stats))) \
-        .withColumn("__b", bucket)
+    if keys:
+        dist_b = dist.join(stats, on=keys, how="inner")
+    else:
+        dist_b = dist.withColumns({c: scalar_of(stats, F.col(c)) for c in ("__n", "__lo", "__hi")})
+    dist_b = dist_b.withColumn("__b", bucket)
     per_bucket = dist_b.groupBy(*keys, "__b").agg(F.sum("__c").alias("__bc"))
     bw = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.withColumn("__start", F.coalesce(F.sum("__bc").over(bw), F.lit(0)))
@@ -424,8 +431,17 @@ def percentile_table(
             F.struct(F.lit(1).alias("__side"), F.ceil("__h").cast("long").alias("__r")),
         )).alias("__s"),
     ).select(*keys, "__pi", "__h", "__s.__side", "__s.__r")
-    located = ranks.join(per_bucket, on=keys, how="inner") if keys else ranks.crossJoin(F.broadcast(per_bucket))
-    located = located.where((F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__bc")))
+    if keys:
+        located = ranks.join(per_bucket, on=keys, how="inner").where(
+            (F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__bc"))
+        )
+    else:
+        # one group: the 2 * len(probs) wanted ranks travel as one array value
+        wanted_ranks = scalar_of(ranks, F.collect_list(F.struct("__pi", "__h", "__side", "__r")))
+        located = per_bucket.withColumn("__wanted", wanted_ranks).select(
+            "__b", "__start", "__bc",
+            F.explode(F.filter("__wanted", lambda t: (t["__r"] >= F.col("__start")) & (t["__r"] < F.col("__start") + F.col("__bc")))).alias("__t"),
+        ).select("__b", "__start", "__bc", "__t.*")
     wanted = located.select(*keys, "__b", "__start").distinct()
     inside = dist_b.join(wanted, on=[*keys, "__b"], how="inner")
     lw = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)

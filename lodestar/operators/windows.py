@@ -97,11 +97,15 @@ def ahead_counts(
     group with a third of all values is therefore spread over up to
     ``buckets`` tasks instead of one.
     """
-    stats = dist.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
     width = F.col("__hi") - F.col("__lo")
     axis = (F.col("__hi") - F.col(value)) if descending else (F.col(value) - F.col("__lo"))
     b = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor(axis / width * F.lit(buckets)), F.lit(buckets - 1)))
-    with_b = (dist.join(stats, on=keys) if keys else dist.crossJoin(F.broadcast(stats))).withColumn("__b", b.cast("long"))
+    if keys:
+        stats = dist.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+        with_b = dist.join(stats, on=keys)
+    else:
+        with_b = dist.withColumns({"__lo": scalar_of(dist, F.min(value)), "__hi": scalar_of(dist, F.max(value))})
+    with_b = with_b.withColumn("__b", b.cast("long"))
     per_bucket = with_b.groupBy(*keys, "__b").agg(F.sum(count_col).alias("__bc"))
     bw = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.withColumn("__start", F.coalesce(F.sum("__bc").over(bw), F.lit(0))).drop("__bc")

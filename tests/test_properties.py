@@ -137,3 +137,18 @@ def test_distributed_percentiles_skewed_group(spark):
     assert got.keys() == ref.keys()
     for k in got:
         assert got[k] == pytest.approx(ref[k], rel=1e-12)
+
+
+def test_no_group_paths_have_no_cross_join(spark):
+    df = spark.range(5000).select(((F.col("id") * 7919) % 613 / 4.0).alias("v"), F.col("id"))
+    got = rollups.profile(df, None, "v", method="distributed")
+    ref = rollups.profile(df, None, "v", method="exact")
+    assert tuple(got.first()) == pytest.approx(tuple(ref.first()), rel=1e-12)
+    ranked = windows.rank_within(df, "v")
+    wref = df.withColumn("rank", F.rank().over(Window.orderBy(F.desc("v"))))
+    assert _rows(ranked, "id", "rank") == _rows(wref, "id", "rank")
+    box = rollups.box_stats(df, None, "v").first()
+    assert box["median"] == pytest.approx(ref.first()["p50"])
+    for out in (got, ranked, box_df := rollups.box_stats(df, None, "v")):
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, text
