@@ -90,8 +90,14 @@ def profile(
     if any(isinstance(k, Column) for k in keys):
         raise ValueError("method='distributed' takes group column names; add derived keys with withColumn first")
     base = df.select(*keys, c.alias("__v"))
-    moments = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("__v").alias("mean"))
-    pct = percentile_table(base, keys, "__v", probs)
+    dist = distinct_counts(base, keys, "__v")
+    # n and mean from the same distinct table: one pass over the rows in total
+    present = F.col("__v").isNotNull()
+    moments = dist.groupBy(*keys).agg(
+        F.sum("__c").alias("n"),
+        F.try_divide(F.sum(F.col("__v") * F.col("__c")), F.sum(F.when(present, F.col("__c")))).alias("mean"),
+    )
+    pct = percentile_table(base, keys, "__v", probs, dist=dist)
     if keys:
         return moments.join(pct, on=keys, how="left")
     return moments.withColumns({c: scalar_of(pct, F.col(c)) for c in pct.columns})
@@ -373,6 +379,16 @@ def kernel_density(df: DataFrame, value: str, by=None, grid_points: int = 64, bi
     ).drop("__i")
 
 
+def distinct_counts(df: DataFrame, keys: list, value: str, count_col: str = "__c") -> DataFrame:
+    """Distinct (group, value) pairs with their row counts, materialised once in the
+    shared checkpoint folder.  Percentile and rank plans read this table several
+    times; a checkpoint keeps the upstream scan and joins from running once per
+    reader.  Much smaller than the rows whenever values repeat."""
+    from lodestar.session import reliable_checkpoint
+
+    return reliable_checkpoint(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(count_col)))
+
+
 def percentile_table(
     df: DataFrame,
     by,
@@ -380,6 +396,7 @@ def percentile_table(
     probs: Sequence[float],
     names: Sequence[str] | None = None,
     buckets: int = 1024,
+    dist: DataFrame | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles per group without a per-group merge task.
 
@@ -401,7 +418,7 @@ def percentile_table(
     keys = _as_list(by)
     names = list(names or [f"p{int(round(p * 100)):02d}" for p in probs])
     v = F.col(value)
-    dist = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    dist = (dist if dist is not None else distinct_counts(df, keys, value)).where(v.isNotNull())
     stats = dist.groupBy(*keys).agg(
         F.sum("__c").alias("__n"), F.min(value).alias("__lo"), F.max(value).alias("__hi")
     )

@@ -50,8 +50,14 @@ def top_k_with_ties(
 
     rank = 1 + number of rows of the group strictly ahead in the order.  Rows
     with a NULL ``order_col`` get no rank and are dropped, as ``min_rank``
-    gives NA there.  Exact for any skew: a row with global rank <= k has rank
-    <= k inside its salt sub-group, so stage one never drops a winner.
+    gives NA there.
+
+    Two ranking passes, each with a per-partition group limit that Spark
+    places below its shuffle: first inside (group, salt) sub-groups, so a hot
+    group is split ``salt_buckets`` ways, then over the surviving candidates
+    of the whole group.  Exact for any skew: every row ahead of a row with
+    global rank <= k also has global rank <= k, so it survives the first pass,
+    and the second pass therefore sees all rows that decide the rank.
     """
     keys = _as_list(by)
     rows = df.where(F.col(order_col).isNotNull())
@@ -63,21 +69,8 @@ def top_k_with_ties(
         .where(F.col("__local_rank") <= k)
         .drop("__salt", "__local_rank")
     )
-    value_w = Window.partitionBy(*keys).orderBy(_order(order_col, descending))
-    ranks = (
-        candidates.groupBy(*keys, order_col)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn(
-            rank_col,
-            F.coalesce(
-                F.sum("__n").over(value_w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            )
-            + F.lit(1),
-        )
-        .where(F.col(rank_col) <= k)
-        .drop("__n")
-    )
-    return candidates.join(ranks, on=[*keys, order_col], how="inner")
+    group_w = Window.partitionBy(*keys).orderBy(_order(order_col, descending))
+    return candidates.withColumn(rank_col, F.rank().over(group_w).cast("long")).where(F.col(rank_col) <= k)
 
 
 def ahead_counts(
@@ -132,7 +125,8 @@ def rank_within(
     bucketed running counts of ``ahead_counts``, then joined back to the rows.
     """
     keys = _as_list(by)
-    dist = (
+    # the distinct (group, value) table feeds four consumers; materialise it once
+    dist = reliable_checkpoint(
         df.where(F.col(order_col).isNotNull())
         .groupBy(*keys, order_col)
         .agg(F.count(F.lit(1)).alias("__n"))

@@ -152,3 +152,12 @@ def test_no_group_paths_have_no_cross_join(spark):
     for out in (got, ranked, box_df := rollups.box_stats(df, None, "v")):
         text = out._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, text
+
+
+def test_distributed_profile_counts_null_rows(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), ("b", None)], "g string, v double")
+    got = {r["g"]: r for r in rollups.profile(df, "g", "v", method="distributed").collect()}
+    ref = {r["g"]: r for r in rollups.profile(df, "g", "v", method="exact").collect()}
+    assert got["a"]["n"] == ref["a"]["n"] == 3 and got["b"]["n"] == ref["b"]["n"] == 1
+    assert got["a"]["mean"] == ref["a"]["mean"] == 2.0 and got["b"]["mean"] is None
+    assert got["a"]["p50"] == ref["a"]["p50"] == 2.0 and got["b"]["p50"] is None
