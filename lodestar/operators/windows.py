@@ -44,7 +44,7 @@ def top_k_with_ties(
     by: str | Sequence[str] | None = None,
     descending: bool = True,
     rank_col: str = "rank",
-    salt_buckets: int = 32,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Rows whose ``min_rank`` within ``by`` is <= k; ties at the cut are kept.
 
@@ -52,25 +52,31 @@ def top_k_with_ties(
     with a NULL ``order_col`` get no rank and are dropped, as ``min_rank``
     gives NA there.
 
-    Two ranking passes, each with a per-partition group limit that Spark
-    places below its shuffle: first inside (group, salt) sub-groups, so a hot
-    group is split ``salt_buckets`` ways, then over the surviving candidates
-    of the whole group.  Exact for any skew: every row ahead of a row with
-    global rank <= k also has global rank <= k, so it survives the first pass,
-    and the second pass therefore sees all rows that decide the rank.
+    ``rank() <= k`` lets Spark place a partial group limit below the shuffle:
+    every map task ships at most k rows per group (plus ties at its cut), so
+    even a group holding a third of all rows reaches its final task as at
+    most (map tasks x k) rows.  Spark only does this for k up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; above it the rows are
+    first ranked inside (group, salt) sub-groups, which is exact because
+    every row ahead of a row with global rank <= k also has rank <= k in its
+    own sub-group.
     """
     keys = _as_list(by)
     rows = df.where(F.col(order_col).isNotNull())
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    local_w = Window.partitionBy(*keys, "__salt").orderBy(_order(order_col, descending))
-    candidates = (
-        rows.withColumn("__salt", salt)
-        .withColumn("__local_rank", F.rank().over(local_w))
-        .where(F.col("__local_rank") <= k)
-        .drop("__salt", "__local_rank")
-    )
+    if salt_buckets is None:
+        threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+        salt_buckets = 1 if k <= threshold else 64
+    if salt_buckets > 1:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+        local_w = Window.partitionBy(*keys, "__salt").orderBy(_order(order_col, descending))
+        rows = (
+            rows.withColumn("__salt", salt)
+            .withColumn("__local_rank", F.rank().over(local_w))
+            .where(F.col("__local_rank") <= k)
+            .drop("__salt", "__local_rank")
+        )
     group_w = Window.partitionBy(*keys).orderBy(_order(order_col, descending))
-    return candidates.withColumn(rank_col, F.rank().over(group_w).cast("long")).where(F.col(rank_col) <= k)
+    return rows.withColumn(rank_col, F.rank().over(group_w).cast("long")).where(F.col(rank_col) <= k)
 
 
 def ahead_counts(

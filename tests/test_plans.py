@@ -45,8 +45,8 @@ def test_scan_is_pruned_and_filter_pushed(spark):
 def test_top_k_has_no_single_partition_over_rows(spark):
     fn, _ = CATALOGUE["w01_topk_ties"]
     text = formatted(fn(spark, SF_SMALL))
-    # the only global window runs on per-value counts of the salted candidates
-    assert "WindowGroupLimit" in text
+    # each map task ships at most k rows (plus ties) before the shuffle
+    assert "Partial" in text and "WindowGroupLimit" in text
 
 
 def test_ntile_uses_range_partitions(spark):
@@ -66,3 +66,20 @@ def test_scalar_limits_are_merged_into_one_scan(spark):
     text = formatted(fn(spark, SF_SMALL))
     assert "mergedValue" in text  # min/max of both axes come from one subquery
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_top_k_salts_above_the_group_limit_threshold(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from lodestar.operators import windows
+
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7) % 101).alias("v"), "id")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        got = windows.top_k_with_ties(df, "v", 10, by="g")
+        assert "__salt" in formatted(got)
+        ref = df.withColumn("rank", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v")))).where("rank <= 10")
+        assert sorted(got.select("id", "rank").collect()) == sorted(ref.select("id", "rank").collect())
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")

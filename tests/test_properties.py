@@ -19,7 +19,7 @@ def _rows(df, *cols):
 def test_top_k_equals_window_rank(spark, data, k):
     df = spark.createDataFrame(data, "g string, n long") if data else spark.createDataFrame([], "g string, n long")
     df = df.withColumn("id", F.monotonically_increasing_id())
-    got = windows.top_k_with_ties(df, "n", k, by="g", salt_buckets=4)
+    got = windows.top_k_with_ties(df, "n", k, by="g", salt_buckets=[1, 4][k % 2])
     ref = df.withColumn("rank", F.rank().over(Window.partitionBy("g").orderBy(F.desc("n")))).where(F.col("rank") <= k)
     assert _rows(got, "id", "rank") == _rows(ref, "id", "rank")
 
