@@ -74,17 +74,17 @@ def decile_table(
 ) -> DataFrame:
     """Mean actual and mean prediction by predicted decile, per data part.
 
-    Ties in the prediction are broken by the actual value, so tied rows that
-    could swap are interchangeable for the means.
+    The parts are appended with a tag and numbered in one distributed
+    ``ntile`` partitioned by the tag.  Ties in the prediction are broken by
+    the actual value, so tied rows that could swap are interchangeable for
+    the means.
     """
-    out = {}
-    for name, df in parts.items():
-        order = [F.col(prediction).desc_nulls_last(), F.col(actual).asc_nulls_last()]
-        t = windows.ntile(df.select(prediction, actual), bins, order, "decile")
-        out[name] = rollups.summarize(
-            t, "decile", {"n": F.count(F.lit(1)), "mean_actual": F.avg(actual), "mean_pred": F.avg(prediction)}
-        )
-    return setops.tagged_union(out, "data")
+    tagged = setops.tagged_union({k: v.select(prediction, actual) for k, v in parts.items()}, "data")
+    order = [F.col(prediction).desc_nulls_last(), F.col(actual).asc_nulls_last()]
+    t = windows.ntile(tagged, bins, order, "decile", by="data")
+    return rollups.summarize(
+        t, ["data", "decile"], {"n": F.count(F.lit(1)), "mean_actual": F.avg(actual), "mean_pred": F.avg(prediction)}
+    )
 
 
 def residuals(df: DataFrame, actual: str, prediction: str = "prediction", out_col: str = "residual") -> DataFrame:

@@ -175,52 +175,46 @@ def _tile_of(pos: Column, total: Column, n_tiles: int) -> Column:
 
 
 def global_positions(
-    df: DataFrame, order: Sequence[Column], partitions: int | None = None, pos_col: str = "__pos",
+    df: DataFrame,
+    order: Sequence[Column],
+    partitions: int | None = None,
+    pos_col: str = "__pos",
     total_col: str | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Attach the 0-based global position of each row in ``order``.
-
-    Range-partition on the full order, sort inside partitions, checkpoint to
-    the shared folder (so counts and rows see the same partitioning), then
-    position = rows in earlier partitions + index inside the partition.  Every
-    task holds one range partition; only one row per partition reaches the
-    offsets table.
+    """Attach the 0-based position of each row in ``order`` within its ``by`` group.
+
+    Range-partition on (group, order), sort inside partitions and checkpoint
+    to the shared folder, so counts and rows see the same partitioning even
+    after a lost executor.  Position = rows of the group in earlier
+    partitions + index inside the partition.  The offsets table has one row
+    per (partition, group) piece: at most partitions + groups rows.  A hot
+    group is spread over many range partitions.
     """
+    keys = list(by)
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = reliable_checkpoint(df.repartitionByRange(p, *order).sortWithinPartitions(*order))
-    ids = ranged.withColumn("__mid", F.monotonically_increasing_id())
-    ids = ids.withColumns(
+    full = [*[F.col(k).asc_nulls_last() for k in keys], *order]
+    ranged = reliable_checkpoint(df.repartitionByRange(p, *full).sortWithinPartitions(*full))
+    ids = ranged.withColumn("__mid", F.monotonically_increasing_id()).withColumns(
         {
             "__pid": F.shiftright("__mid", _LOCAL_BITS),
             "__local": F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)),
         }
     )
-    offsets = (
-        ids.groupBy("__pid")
-        .agg(F.count(F.lit(1)).alias("__cnt"))
-        .withColumn(
-            "__offset",
-            F.coalesce(
-                F.sum("__cnt").over(
-                    Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("__cnt")
-    )
-    out = ids.join(F.broadcast(offsets), on="__pid", how="inner").withColumn(
-        pos_col, F.col("__offset") + F.col("__local")
+    pieces = ids.groupBy("__pid", *keys).agg(
+        F.count(F.lit(1)).alias("__cnt"), F.min("__local").alias("__first")
     )
+    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("__offset", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
     if total_col:
-        # row count from the per-partition counts: no second pass over the input
-        out = out.withColumn(total_col, scalar_of(offsets_counts(ids), F.sum("__cnt")))
-    return out.drop("__mid", "__pid", "__local", "__offset")
-
-
-def offsets_counts(ids: DataFrame) -> DataFrame:
-    return ids.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+        whole = Window.partitionBy(*keys)
+        pieces = pieces.withColumn(total_col, F.sum("__cnt").over(whole))
+    pieces = pieces.drop("__cnt")
+    out = ids.join(F.broadcast(pieces) if not keys else pieces, on=["__pid", *keys], how="inner").withColumn(
+        pos_col, F.col("__offset") + F.col("__local") - F.col("__first")
+    )
+    return out.drop("__mid", "__pid", "__local", "__offset", "__first")
 
 
 def ntile(
@@ -229,18 +223,20 @@ def ntile(
     order: Sequence[Column],
     tile_col: str = "tile",
     partitions: int | None = None,
+    by: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """``ntile(n) OVER (ORDER BY order)`` without a single-partition window.
+    """``ntile(n) OVER ([PARTITION BY by] ORDER BY order)`` without a single-partition window.
 
     ``order`` should be total (append a unique key) for a deterministic result.
     """
-    pos = global_positions(df, order, partitions, total_col="__total")
+    pos = global_positions(df, order, partitions, total_col="__total", by=_as_list(by))
     return pos.withColumn(tile_col, _tile_of(F.col("__pos"), F.col("__total"), n_tiles)).drop("__pos", "__total")
 
 
-def ntile_window(df: DataFrame, n_tiles: int, order: Sequence[Column], tile_col: str = "tile") -> DataFrame:
+def ntile_window(df: DataFrame, n_tiles: int, order: Sequence[Column], tile_col: str = "tile", by=None) -> DataFrame:
     """Single-window reference form of ``ntile`` for small inputs and tests."""
-    return df.withColumn(tile_col, F.ntile(n_tiles).over(Window.orderBy(*order)).cast("long"))
+    w = Window.partitionBy(*_as_list(by)).orderBy(*order)
+    return df.withColumn(tile_col, F.ntile(n_tiles).over(w).cast("long"))
 
 
 def share_of_total(df: DataFrame, value_col: str, out_col: str = "prop") -> DataFrame:

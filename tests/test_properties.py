@@ -161,3 +161,16 @@ def test_distributed_profile_counts_null_rows(spark):
     assert got["a"]["n"] == ref["a"]["n"] == 3 and got["b"]["n"] == ref["b"]["n"] == 1
     assert got["a"]["mean"] == ref["a"]["mean"] == 2.0 and got["b"]["mean"] is None
     assert got["a"]["p50"] == ref["a"]["p50"] == 2.0 and got["b"]["p50"] is None
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_grouped_ntile_equals_window(spark, parts):
+    df = spark.range(2500).select(
+        F.when(F.col("id") % 4 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string"))).alias("g"),
+        ((F.col("id") * 37) % 11).alias("s"),
+        "id",
+    )
+    order = [F.col("s").desc(), F.col("id").asc()]
+    got = windows.ntile(df, 7, order, "t", partitions=parts, by="g")
+    ref = windows.ntile_window(df, 7, order, "t", by="g")
+    assert _rows(got, "id", "t") == _rows(ref, "id", "t")
