@@ -174,6 +174,12 @@ def _tile_of(pos: Column, total: Column, n_tiles: int) -> Column:
     )
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Range partitions for a global ordering: as many as the input has splits
+    (file splits track the input size), but at least the cluster's parallelism."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+
+
 def global_positions(
     df: DataFrame,
     order: Sequence[Column],
@@ -192,8 +198,7 @@ def global_positions(
     group is spread over many range partitions.
     """
     keys = list(by)
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = partitions or range_partitions(df)
     full = [*[F.col(k).asc_nulls_last() for k in keys], *order]
     ranged = reliable_checkpoint(df.repartitionByRange(p, *full).sortWithinPartitions(*full))
     ids = ranged.withColumn("__mid", F.monotonically_increasing_id()).withColumns(
@@ -260,8 +265,7 @@ def cumulative_sum(
     if fits_rows(df, small_rows):
         w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out_col, F.sum(value_col).over(w))
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = partitions or range_partitions(df)
     ranged = reliable_checkpoint(
         df.repartitionByRange(p, *order).withColumn("__pid", F.spark_partition_id())
     )

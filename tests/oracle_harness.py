@@ -71,6 +71,8 @@ if __name__ == "__main__":
 
     if os.environ.get("ORACLE_SESSION_TZ"):
         spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_SESSION_TZ"])
+    if os.environ.get("ORACLE_SHUFFLE_PARTITIONS"):
+        spark.conf.set("spark.sql.shuffle.partitions", os.environ["ORACLE_SHUFFLE_PARTITIONS"])
     con = duck(sf)
     bad = 0
     for key, (fn, sql) in CATALOGUE.items():
