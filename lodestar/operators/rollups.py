@@ -293,7 +293,10 @@ def pairwise_t(df: DataFrame, group: str, value: str, max_groups: int = 2000) ->
     ``max_groups`` rows) is paired; raw rows are never paired.
     Output: group_a < group_b, t, df (residual degrees of freedom).
     """
-    m = group_moments(df, group, value)
+    from lodestar.session import reliable_checkpoint
+
+    # one row per group, read four times (bound check, pooled variance, both pair sides): materialise once
+    m = reliable_checkpoint(group_moments(df, group, value))
     if not fits_rows(m, max_groups):
         raise ValueError(f"pairwise_t: more than {max_groups} groups")
     m = F.broadcast(m)
