@@ -13,6 +13,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.defaults import SCORE_BINS
 from lodestar.operators import rollups, setops, windows
 
 
@@ -56,7 +57,7 @@ def accuracy_at(df: DataFrame, score: str, label: str, cut: float = 0.5) -> Data
     return df.agg(F.avg(hit).alias("accuracy"))
 
 
-def lift_table(df: DataFrame, score: str, label: str, tie_break: str | None = None, bins: int = 10) -> DataFrame:
+def lift_table(df: DataFrame, score: str, label: str, tie_break: str | None = None, bins: int = SCORE_BINS) -> DataFrame:
     """Cumulative share of positives by score decile, highest scores first.
 
     ``ntile(desc(score))`` is numbered globally (distributed form); per bin the
@@ -70,7 +71,7 @@ def lift_table(df: DataFrame, score: str, label: str, tie_break: str | None = No
 
 
 def decile_table(
-    parts: Mapping[str, DataFrame], prediction: str, actual: str, bins: int = 10
+    parts: Mapping[str, DataFrame], prediction: str, actual: str, bins: int = SCORE_BINS
 ) -> DataFrame:
     """Mean actual and mean prediction by predicted decile, per data part.
 

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.defaults import BOX_WHISKER_IQR, PROFILE_PROBABILITIES
 from lodestar.functions.scalar import col_of, round_half_up, round_to_hour, scalar_of
 from lodestar.operators.joins import fits_rows
 
@@ -72,7 +73,7 @@ def profile(
     df: DataFrame,
     by,
     value: str | Column,
-    probs: Sequence[float] = (0.10, 0.25, 0.50, 0.75, 0.90),
+    probs: Sequence[float] = PROFILE_PROBABILITIES,
     method: str = "exact",
 ) -> DataFrame:
     """n, mean and percentiles of ``value`` per group.
@@ -238,7 +239,7 @@ def daily_weekday_counts(df: DataFrame, y: str, m: str, d: str, by, name: str =
     )
 
 
-def box_stats(df: DataFrame, by, value: str, coef: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, by, value: str, coef: float = BOX_WHISKER_IQR) -> DataFrame:
     """Box-plot numbers per group (A25): quartiles, whiskers at the most
     extreme values inside ``coef * IQR`` of the box, and outlier count.
 

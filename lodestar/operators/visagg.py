@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.defaults import HISTOGRAM_BINS, QUICK_HISTOGRAM_BREAKS, RASTER_RESOLUTION, TILE_RESOLUTION
 from lodestar.functions.scalar import col_of, round_half_up, scalar_of
 
 
@@ -20,7 +21,7 @@ def _scaled(x: Column, lo: Column, rng: Column, res: int) -> Column:
     return F.when(rng == 0, F.lit(0)).otherwise(round_half_up((x - lo) / rng * F.lit(res), 0))
 
 
-def histogram(df: DataFrame, x: str | Column, bins: int = 30) -> DataFrame:
+def histogram(df: DataFrame, x: str | Column, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Fixed-width histogram (V01, J06): ``(bin, count, bin_floor)`` for every bin 0..bins-1.
 
     bin = least(floor((x - min) / w), bins - 1) with w = (max - min) / bins,
@@ -45,7 +46,7 @@ def histogram(df: DataFrame, x: str | Column, bins: int = 30) -> DataFrame:
     )
 
 
-def raster(df: DataFrame, x: str | Column, y: str | Column, resolution: int = 300, facet: str | Column | None = None) -> DataFrame:
+def raster(df: DataFrame, x: str | Column, y: str | Column, resolution: int = RASTER_RESOLUTION, facet: str | Column | None = None) -> DataFrame:
     """Counts per raster cell (V02); with ``facet`` per facet value.
 
     The limits are global over all facets, as in the original; cells run
@@ -66,13 +67,13 @@ def raster(df: DataFrame, x: str | Column, y: str | Column, resolution: int = 30
     return cells.withColumns({"min_x": min_x, "max_x": max_x, "min_y": min_y, "max_y": max_y})
 
 
-def tiles(df: DataFrame, x: str | Column, y: str | Column, resolution: int = 500) -> DataFrame:
+def tiles(df: DataFrame, x: str | Column, y: str | Column, resolution: int = TILE_RESOLUTION) -> DataFrame:
     """Raster cells with ``alpha = round(freq / max(freq), 2)``."""
     cells = raster(df, x, y, resolution).select("res_x", "res_y", F.col("n").alias("freq"))
     return cells.withColumn("alpha", round_half_up(F.col("freq") / scalar_of(cells, F.max("freq")), 2))
 
 
-def boxbin(df: DataFrame, x: str | Column, y: str | Column, color: str | Column | None = None, resolution: int = 300) -> DataFrame:
+def boxbin(df: DataFrame, x: str | Column, y: str | Column, color: str | Column | None = None, resolution: int = RASTER_RESOLUTION) -> DataFrame:
     """Raster coloured by frequency or by the mean of a third column.
 
     Frequency mode: ``res_color = round(n / max(n), 2)``.  Colour mode:
@@ -98,7 +99,7 @@ def boxbin(df: DataFrame, x: str | Column, y: str | Column, color: str | Column
     return cells.select("res_x", "res_y", round_half_up(F.try_divide(F.col("__v"), top), 2).alias("res_color"))
 
 
-def quick_histogram(df: DataFrame, x: str | Column, breaks: int = 30) -> DataFrame:
+def quick_histogram(df: DataFrame, x: str | Column, breaks: int = QUICK_HISTOGRAM_BREAKS) -> DataFrame:
     """Buckets ``round(x / (max / (breaks - 1)))`` with origin 0 (V06):
     per bucket the observed top, bottom and count."""
     data = df.select(col_of(x).cast("double").alias("x")).where(F.col("x").isNotNull())

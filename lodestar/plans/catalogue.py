@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.defaults import PROFILE_PROBABILITIES as PROBS
 from lodestar.functions import scalar as fx
 from lodestar.operators import geo, joins, rollups, setops, verbs, visagg, windows
 from lodestar.plans import standins as si
@@ -37,7 +38,6 @@ def register(key: str, sql: str | None):
 
 
 W = si.with_sql
-PROBS = (0.10, 0.25, 0.50, 0.75, 0.90)
 
 
 def _q(name: str, p: float, col: str) -> str:

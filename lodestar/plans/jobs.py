@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.defaults import TOP_DESTINATIONS, TOP_NAMES_RANK_BELOW
 from lodestar.functions import scalar as fx
 from lodestar.operators import geo, joins, rollups, verbs, windows
 
@@ -19,7 +20,7 @@ PAY_DOMAIN = {"credit": ["1-URGENT", "2-HIGH"], "cash": ["3-MEDIUM"]}
 CAB_TYPES = {"A": "yellow", "R": "green"}
 
 
-def top_destinations(trips: DataFrame, k: int = 25, origin: str = "pickup_gid", dest: str = "dropoff_gid") -> DataFrame:
+def top_destinations(trips: DataFrame, k: int = TOP_DESTINATIONS, origin: str = "pickup_gid", dest: str = "dropoff_gid") -> DataFrame:
     """Eight measures per (origin, destination), destinations with rank <= k by trips
     inside each origin, ties kept (V11)."""
     m = rollups.summarize(
@@ -136,7 +137,7 @@ def tail_profile(flights: DataFrame, min_flights: int = 20, max_distance: float
     ).where((F.col("n") > min_flights) & (F.col("dist") < max_distance))
 
 
-def top_names_trend(names: DataFrame, year: int, k: int = 4) -> DataFrame:
+def top_names_trend(names: DataFrame, year: int, k: int = TOP_NAMES_RANK_BELOW - 1) -> DataFrame:
     """Names with rank <= k by count per sex in ``year``, and their totals in every year."""
     in_year = rollups.summarize(names.where(F.col("year") == year), ["sex", "name"], {"total": F.sum("n")})
     top = windows.top_k_with_ties(in_year, "total", k, by="sex").select("sex", "name")
