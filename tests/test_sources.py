@@ -74,3 +74,24 @@ def test_save_table_bucketed_and_materialise(spark):
 def test_upload_small_lookup(spark):
     df = catalog.upload(spark, [("AA", "American"), ("DL", "Delta")], "code string, description string", "airlines_v")
     assert catalog.table(spark, "airlines_v").count() == df.count() == 2
+
+
+def test_external_csv_and_parquet_tables(spark, scratch_dir):
+    """Tables declared over existing files, header line skipped, schema explicit."""
+    csv_dir = os.path.join(scratch_dir, "airlines_csv")
+    os.makedirs(csv_dir)
+    with open(os.path.join(csv_dir, "part-0.csv"), "w") as fh:
+        fh.write('Code,Description\n"AA","American Airlines Inc."\n"DL","Delta Air Lines, Inc."\n')
+    catalog.drop_table(spark, "airlines_ext")
+    catalog.create_table(
+        spark, "airlines_ext", "Code string, Description string", fmt="csv",
+        options={"header": "true", "quote": '"', "sep": ","}, location=csv_dir,
+    )
+    rows = {r["Code"]: r["Description"] for r in catalog.table(spark, "airlines_ext").collect()}
+    assert rows == {"AA": "American Airlines Inc.", "DL": "Delta Air Lines, Inc."}
+
+    pq_dir = os.path.join(scratch_dir, "nation_pq")
+    spark.read.parquet(f"{SF_SMALL}/nation.parquet").write.parquet(pq_dir)
+    catalog.drop_table(spark, "nation_ext")
+    catalog.create_table(spark, "nation_ext", "n_nationkey int, n_name string, n_regionkey int", location=pq_dir)
+    assert catalog.table(spark, "nation_ext").count() == 25
