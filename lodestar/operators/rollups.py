@@ -91,17 +91,8 @@ def profile(
     if any(isinstance(k, Column) for k in keys):
         raise ValueError("method='distributed' takes group column names; add derived keys with withColumn first")
     base = df.select(*keys, c.alias("__v"))
-    dist = distinct_counts(base, keys, "__v")
-    # n and mean from the same distinct table: one pass over the rows in total
-    present = F.col("__v").isNotNull()
-    moments = dist.groupBy(*keys).agg(
-        F.sum("__c").alias("n"),
-        F.try_divide(F.sum(F.col("__v") * F.col("__c")), F.sum(F.when(present, F.col("__c")))).alias("mean"),
-    )
-    pct = percentile_table(base, keys, "__v", probs, dist=dist)
-    if keys:
-        return moments.join(pct, on=keys, how="left")
-    return moments.withColumns({c: scalar_of(pct, F.col(c)) for c in pct.columns})
+    # n, mean and percentiles from one materialised distinct table: one pass over the rows
+    return percentile_table(base, keys, "__v", probs, with_moments=True)
 
 
 def grain_rollup(
@@ -401,6 +392,7 @@ def percentile_table(
     names: Sequence[str] | None = None,
     buckets: int = 1024,
     dist: DataFrame | None = None,
+    with_moments: bool = False,
 ) -> DataFrame:
     """Exact interpolated percentiles per group without a per-group merge task.
 
@@ -408,33 +400,46 @@ def percentile_table(
     h = (n - 1) p, the value is x[floor h] + (x[ceil h] - x[floor h]) (h - floor h)
     over the sorted non-NULL values x.  Plan:
 
-    1. distinct (group, value) pairs with their counts (map-side combined);
+    1. distinct (group, value) pairs with their counts (map-side combined,
+       materialised once);
     2. each group's value range cut into ``buckets`` equal-width buckets,
        per-bucket counts and their running offsets (groups x buckets rows);
-    3. the bucket holding each wanted rank is found on that small table;
+    3. the bucket holding each wanted rank is found on that small table and
+       the wanted ranks travel with it as a short array;
     4. only the distinct values of those buckets are ordered to read off the
        two order statistics per probability.
 
     No task ever holds a whole group: a group of a third of all rows is
     split over its (group, value) shuffle keys, and step 4 touches about
-    2 * len(probs) / buckets of its distinct values.
+    2 * len(probs) / buckets of its distinct values.  ``with_moments`` adds
+    n (all rows, NULL values included) and the mean from the same pass.
     """
     keys = _as_list(by)
     names = list(names or [f"p{int(round(p * 100)):02d}" for p in probs])
     v = F.col(value)
-    dist = (dist if dist is not None else distinct_counts(df, keys, value)).where(v.isNotNull())
-    stats = dist.groupBy(*keys).agg(
-        F.sum("__c").alias("__n"), F.min(value).alias("__lo"), F.max(value).alias("__hi")
-    )
+    dist = dist if dist is not None else distinct_counts(df, keys, value)
+    present = v.isNotNull()
+    stats_cols = [
+        F.sum(F.when(present, F.col("__c"))).alias("__n"),
+        F.min(value).alias("__lo"),
+        F.max(value).alias("__hi"),
+    ]
+    if with_moments:
+        stats_cols += [
+            F.sum("__c").alias("n"),
+            F.try_divide(F.sum(v * F.col("__c")), F.sum(F.when(present, F.col("__c")))).alias("mean"),
+        ]
+    stats = dist.groupBy(*keys).agg(*stats_cols)
+    values = dist.where(present)
     width = F.col("__hi") - F.col("__lo")
     bucket = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((v - F.col("__lo")) / width * F.lit(buckets)), F.lit(buckets - 1))
     ).cast("long")
     if keys:
-        dist_b = dist.join(stats, on=keys, how="inner")
+        dist_b = values.join(stats.select(*keys, "__lo", "__hi"), on=keys, how="inner")
     else:
-        dist_b = dist.withColumns({c: scalar_of(stats, F.col(c)) for c in ("__n", "__lo", "__hi")})
-    dist_b = dist_b.withColumn("__b", bucket)
+        dist_b = values.withColumns({c: scalar_of(stats, F.col(c)) for c in ("__lo", "__hi")})
+    dist_b = dist_b.withColumn("__b", bucket).select(*keys, value, "__c", "__b")
     per_bucket = dist_b.groupBy(*keys, "__b").agg(F.sum("__c").alias("__bc"))
     bw = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.withColumn("__start", F.coalesce(F.sum("__bc").over(bw), F.lit(0)))
@@ -442,38 +447,58 @@ def percentile_table(
     prob_rows = F.explode(F.array(*[
         F.struct(F.lit(i).alias("__pi"), F.lit(float(p)).alias("__p")) for i, p in enumerate(probs)
     ]))
-    targets = stats.select(*keys, "__n", prob_rows.alias("__t")).select(
-        *keys, "__n", F.col("__t.__pi").alias("__pi"), ((F.col("__n") - 1) * F.col("__t.__p")).alias("__h")
+    ranks = (
+        stats.where(F.col("__n") > 0)
+        .select(*keys, "__n", prob_rows.alias("__t"))
+        .select(*keys, F.col("__t.__pi").alias("__pi"), ((F.col("__n") - 1) * F.col("__t.__p")).alias("__h"))
+        .select(
+            *keys, "__pi", "__h",
+            F.explode(F.array(
+                F.struct(F.lit(0).alias("__side"), F.floor("__h").cast("long").alias("__r")),
+                F.struct(F.lit(1).alias("__side"), F.ceil("__h").cast("long").alias("__r")),
+            )).alias("__s"),
+        )
+        .select(*keys, F.struct("__pi", "__h", "__s.__side", "__s.__r").alias("__t"))
     )
-    ranks = targets.select(
-        *keys, "__pi", "__h",
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("__side"), F.floor("__h").cast("long").alias("__r")),
-            F.struct(F.lit(1).alias("__side"), F.ceil("__h").cast("long").alias("__r")),
-        )).alias("__s"),
-    ).select(*keys, "__pi", "__h", "__s.__side", "__s.__r")
+    in_bucket = (F.col("__t.__r") >= F.col("__start")) & (F.col("__t.__r") < F.col("__start") + F.col("__bc"))
     if keys:
-        located = ranks.join(per_bucket, on=keys, how="inner").where(
-            (F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__bc"))
-        )
+        located = ranks.join(per_bucket, on=keys, how="inner").where(in_bucket)
     else:
         # one group: the 2 * len(probs) wanted ranks travel as one array value
-        wanted_ranks = scalar_of(ranks, F.collect_list(F.struct("__pi", "__h", "__side", "__r")))
+        wanted_ranks = scalar_of(ranks, F.collect_list("__t"))
         located = per_bucket.withColumn("__wanted", wanted_ranks).select(
-            "__b", "__start", "__bc",
-            F.explode(F.filter("__wanted", lambda t: (t["__r"] >= F.col("__start")) & (t["__r"] < F.col("__start") + F.col("__bc")))).alias("__t"),
-        ).select("__b", "__start", "__bc", "__t.*")
-    wanted = located.select(*keys, "__b", "__start").distinct()
+            "__b", "__start", "__bc", F.explode("__wanted").alias("__t")
+        ).where(in_bucket)
+    wanted = located.groupBy(*keys, "__b", "__start").agg(F.collect_list("__t").alias("__ts"))
     inside = dist_b.join(wanted, on=[*keys, "__b"], how="inner")
     lw = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     inside = inside.withColumn("__before", F.col("__start") + F.coalesce(F.sum("__c").over(lw), F.lit(0)))
-    picked = located.select(*keys, "__b", "__pi", "__h", "__side", "__r").join(inside.select(*keys, "__b", value, "__before", "__c"), on=[*keys, "__b"])
-    picked = picked.where((F.col("__r") >= F.col("__before")) & (F.col("__r") < F.col("__before") + F.col("__c")))
-    per_p = picked.groupBy(*keys, "__pi").agg(
-        F.max(F.when(F.col("__side") == 0, v)).alias("__xl"),
-        F.max(F.when(F.col("__side") == 1, v)).alias("__xh"),
-        F.max("__h").alias("__h"),
-    ).withColumn("__val", F.col("__xl") + (F.col("__xh") - F.col("__xl")) * (F.col("__h") - F.floor("__h")))
-    return per_p.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("__pi") == i, F.col("__val"))).alias(n) for i, n in enumerate(names)]
+    hit = inside.select(
+        *keys, value,
+        F.explode(F.filter(
+            "__ts", lambda t: (t["__r"] >= F.col("__before")) & (t["__r"] < F.col("__before") + F.col("__c"))
+        )).alias("__t"),
     )
+    aggs = []
+    for i, _ in enumerate(probs):
+        this = F.col("__t.__pi") == i
+        aggs += [
+            F.max(F.when(this & (F.col("__t.__side") == 0), v)).alias(f"__xl{i}"),
+            F.max(F.when(this & (F.col("__t.__side") == 1), v)).alias(f"__xh{i}"),
+            F.max(F.when(this, F.col("__t.__h"))).alias(f"__h{i}"),
+        ]
+    picked = hit.groupBy(*keys).agg(*aggs)
+    pct = picked.select(
+        *keys,
+        *[
+            (F.col(f"__xl{i}") + (F.col(f"__xh{i}") - F.col(f"__xl{i}")) * (F.col(f"__h{i}") - F.floor(f"__h{i}"))).alias(n)
+            for i, n in enumerate(names)
+        ],
+    )
+    extra = ["n", "mean"] if with_moments else []
+    if keys:
+        return stats.select(*keys, *extra).join(pct, on=keys, how="left")
+    base = stats.select(*extra) if extra else None
+    if base is None:
+        return pct
+    return base.withColumns({n: scalar_of(pct, F.col(n)) for n in names})

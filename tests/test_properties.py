@@ -117,14 +117,15 @@ def test_distributed_percentiles_equal_builtin(spark, data, buckets):
     df = spark.createDataFrame(data, "g long, v double") if data else spark.createDataFrame([], "g long, v double")
     probs = (0.0, 0.1, 0.5, 0.9, 1.0)
     got = rollups.percentile_table(df, "g", "v", probs, buckets=buckets)
-    ref = df.where(F.col("v").isNotNull()).groupBy("g").agg(
-        *[F.percentile("v", p).alias(f"p{int(p * 100):02d}") for p in probs]
-    )
+    ref = df.groupBy("g").agg(*[F.percentile("v", p).alias(f"p{int(p * 100):02d}") for p in probs])
     a = {r["g"]: tuple(r)[1:] for r in got.collect()}
     b = {r["g"]: tuple(r)[1:] for r in ref.collect()}
     assert a.keys() == b.keys()
     for k in a:
-        assert a[k] == pytest.approx(b[k], abs=1e-12)
+        if b[k][0] is None:
+            assert all(x is None for x in a[k])
+        else:
+            assert a[k] == pytest.approx(b[k], abs=1e-12)
 
 
 def test_distributed_percentiles_skewed_group(spark):
