@@ -95,3 +95,20 @@ def test_external_csv_and_parquet_tables(spark, scratch_dir):
     catalog.drop_table(spark, "nation_ext")
     catalog.create_table(spark, "nation_ext", "n_nationkey int, n_name string, n_regionkey int", location=pq_dir)
     assert catalog.table(spark, "nation_ext").count() == 25
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    """Fact tables bucketed on the join key into the same number of buckets join
+    without an exchange: the layout for repeated line-item / order joins at scale."""
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    catalog.save_table(li, "li_b", bucket_by=(8, ["l_orderkey"]), sort_by=["l_orderkey"])
+    catalog.save_table(o, "o_b", bucket_by=(8, ["o_orderkey"]), sort_by=["o_orderkey"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = catalog.table(spark, "li_b").join(catalog.table(spark, "o_b"), F.col("l_orderkey") == F.col("o_orderkey"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == li.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
