@@ -193,3 +193,21 @@ def mean_fare_for(trips: DataFrame, passengers: int) -> DataFrame:
         trips.where(F.col("passenger_count") == F.lit(passengers)), "vendor_id",
         {"n": F.count(F.lit(1)), "mean_fare": F.avg("fare_amount")},
     )
+
+
+def save_route_lookup(summary: DataFrame, table: str, buckets: int = 64) -> None:
+    """Persist the route summary bucketed and sorted by origin (V16, S14): a point
+    lookup on an origin then reads one bucket file per table file, not the table."""
+    from lodestar.sources.catalog import save_table
+
+    save_table(summary, table, bucket_by=(buckets, ["origin"]), sort_by=["origin", "dest"])
+
+
+def serve_route(spark, table: str, origin, dest=None, carrier: str | None = None) -> DataFrame:
+    """Point filters on the saved route table (V16): origin, optionally dest and carrier."""
+    t = spark.table(table).where(F.col("origin") == F.lit(origin))
+    if dest is not None:
+        t = t.where(F.col("dest") == F.lit(dest))
+    if carrier is not None:
+        t = t.where(F.col("uniquecarrier") == F.lit(carrier))
+    return t

@@ -112,3 +112,27 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert j.count() == li.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_route_lookup_is_served_from_one_bucket(spark):
+    from lodestar.plans import jobs
+    from lodestar.plans import standins as si
+
+    g = si.flights(spark, SF_SMALL).withColumn("gain", F.col("depdelay") - F.col("arrdelay")).withColumn("prediction", F.col("gain") * 0.5)
+    summary = jobs.route_summary(g)
+    jobs.save_route_lookup(summary, "route_lookup", buckets=16)
+    import io
+    from contextlib import redirect_stdout
+
+    # keep the bucketed scan on so the plan reports which buckets it reads
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        hit = jobs.serve_route(spark, "route_lookup", 3, 7)
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            hit.explain("formatted")
+        assert "SelectedBucketsCount: 1 out of 16" in buf.getvalue()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    expected = summary.where((F.col("origin") == 3) & (F.col("dest") == 7)).count()
+    assert hit.count() == expected
