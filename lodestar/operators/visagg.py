@@ -5,6 +5,13 @@ evaluates once and merges into a single scan, the per-row arithmetic stays in
 codegen, and only cells (at most ``bins`` or ``(res+1)^2`` per facet) leave
 the aggregation.  Degenerate limits (max = min) put everything in cell 0
 instead of raising a division error.
+
+The input is read twice (limits, then cells).  That is cheap for a table
+scan of one or two columns, and for a joined input adaptive execution
+reuses the identical shuffle stages between the limits subquery and the
+cell aggregation, so only the reduce side runs twice.  When the input has
+expensive work outside exchanges, ``materialize=True`` writes the projected
+columns once to the shared checkpoint folder instead.
 """
 
 from __future__ import annotations
@@ -14,6 +21,11 @@ from pyspark.sql import functions as F
 
 from lodestar.defaults import HISTOGRAM_BINS, QUICK_HISTOGRAM_BREAKS, RASTER_RESOLUTION, TILE_RESOLUTION
 from lodestar.functions.scalar import col_of, round_half_up, scalar_of
+from lodestar.session import reliable_checkpoint
+
+
+def _prepared(data: DataFrame, materialize: bool) -> DataFrame:
+    return reliable_checkpoint(data) if materialize else data
 
 
 def _scaled(x: Column, lo: Column, rng: Column, res: int) -> Column:
@@ -21,14 +33,14 @@ def _scaled(x: Column, lo: Column, rng: Column, res: int) -> Column:
     return F.when(rng == 0, F.lit(0)).otherwise(round_half_up((x - lo) / rng * F.lit(res), 0))
 
 
-def histogram(df: DataFrame, x: str | Column, bins: int = HISTOGRAM_BINS) -> DataFrame:
+def histogram(df: DataFrame, x: str | Column, bins: int = HISTOGRAM_BINS, materialize: bool = False) -> DataFrame:
     """Fixed-width histogram (V01, J06): ``(bin, count, bin_floor)`` for every bin 0..bins-1.
 
     bin = least(floor((x - min) / w), bins - 1) with w = (max - min) / bins,
     i.e. left-closed bins with the last one closed; empty bins are filled
     with 0 by a join against the complete bin list (``bins`` rows).
     """
-    data = df.select(col_of(x).cast("double").alias("x")).where(F.col("x").isNotNull())
+    data = _prepared(df.select(col_of(x).cast("double").alias("x")).where(F.col("x").isNotNull()), materialize)
     lo = scalar_of(data, F.min("x"))
     hi = scalar_of(data, F.max("x"))
     w = (hi - lo) / F.lit(bins)
@@ -46,7 +58,10 @@ def histogram(df: DataFrame, x: str | Column, bins: int = HISTOGRAM_BINS) -> Dat
     )
 
 
-def raster(df: DataFrame, x: str | Column, y: str | Column, resolution: int = RASTER_RESOLUTION, facet: str | Column | None = None) -> DataFrame:
+def raster(
+    df: DataFrame, x: str | Column, y: str | Column, resolution: int = RASTER_RESOLUTION,
+    facet: str | Column | None = None, materialize: bool = False,
+) -> DataFrame:
     """Counts per raster cell (V02); with ``facet`` per facet value.
 
     The limits are global over all facets, as in the original; cells run
@@ -56,7 +71,7 @@ def raster(df: DataFrame, x: str | Column, y: str | Column, resolution: int = RA
     cols = [col_of(x).alias("x"), col_of(y).alias("y")]
     if facet is not None:
         cols.insert(0, col_of(facet).alias("g"))
-    data = df.select(*cols).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    data = _prepared(df.select(*cols).where(F.col("x").isNotNull() & F.col("y").isNotNull()), materialize)
     min_x, max_x = scalar_of(data, F.min("x")), scalar_of(data, F.max("x"))
     min_y, max_y = scalar_of(data, F.min("y")), scalar_of(data, F.max("y"))
     keys = [] if facet is None else ["g"]
@@ -67,13 +82,16 @@ def raster(df: DataFrame, x: str | Column, y: str | Column, resolution: int = RA
     return cells.withColumns({"min_x": min_x, "max_x": max_x, "min_y": min_y, "max_y": max_y})
 
 
-def tiles(df: DataFrame, x: str | Column, y: str | Column, resolution: int = TILE_RESOLUTION) -> DataFrame:
+def tiles(df: DataFrame, x: str | Column, y: str | Column, resolution: int = TILE_RESOLUTION, materialize: bool = False) -> DataFrame:
     """Raster cells with ``alpha = round(freq / max(freq), 2)``."""
-    cells = raster(df, x, y, resolution).select("res_x", "res_y", F.col("n").alias("freq"))
+    cells = raster(df, x, y, resolution, materialize=materialize).select("res_x", "res_y", F.col("n").alias("freq"))
     return cells.withColumn("alpha", round_half_up(F.col("freq") / scalar_of(cells, F.max("freq")), 2))
 
 
-def boxbin(df: DataFrame, x: str | Column, y: str | Column, color: str | Column | None = None, resolution: int = RASTER_RESOLUTION) -> DataFrame:
+def boxbin(
+    df: DataFrame, x: str | Column, y: str | Column, color: str | Column | None = None,
+    resolution: int = RASTER_RESOLUTION, materialize: bool = False,
+) -> DataFrame:
     """Raster coloured by frequency or by the mean of a third column.
 
     Frequency mode: ``res_color = round(n / max(n), 2)``.  Colour mode:
@@ -83,7 +101,7 @@ def boxbin(df: DataFrame, x: str | Column, y: str | Column, color: str | Column
     cols = [col_of(x).alias("x"), col_of(y).alias("y")]
     if color is not None:
         cols.append(col_of(color).alias("c"))
-    data = df.select(*cols).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    data = _prepared(df.select(*cols).where(F.col("x").isNotNull() & F.col("y").isNotNull()), materialize)
     min_x, max_x = scalar_of(data, F.min("x")), scalar_of(data, F.max("x"))
     min_y, max_y = scalar_of(data, F.min("y")), scalar_of(data, F.max("y"))
     grouped = data.withColumns({
@@ -99,10 +117,10 @@ def boxbin(df: DataFrame, x: str | Column, y: str | Column, color: str | Column
     return cells.select("res_x", "res_y", round_half_up(F.try_divide(F.col("__v"), top), 2).alias("res_color"))
 
 
-def quick_histogram(df: DataFrame, x: str | Column, breaks: int = QUICK_HISTOGRAM_BREAKS) -> DataFrame:
+def quick_histogram(df: DataFrame, x: str | Column, breaks: int = QUICK_HISTOGRAM_BREAKS, materialize: bool = False) -> DataFrame:
     """Buckets ``round(x / (max / (breaks - 1)))`` with origin 0 (V06):
     per bucket the observed top, bottom and count."""
-    data = df.select(col_of(x).cast("double").alias("x")).where(F.col("x").isNotNull())
+    data = _prepared(df.select(col_of(x).cast("double").alias("x")).where(F.col("x").isNotNull()), materialize)
     width = scalar_of(data, F.max("x")) / F.lit(breaks - 1)
     bucket = F.when(width == 0, F.lit(0)).otherwise(round_half_up(F.col("x") / width, 0))
     return data.withColumn("bucket", bucket).groupBy("bucket").agg(

@@ -175,3 +175,13 @@ def test_grouped_ntile_equals_window(spark, parts):
     got = windows.ntile(df, 7, order, "t", partitions=parts, by="g")
     ref = windows.ntile_window(df, 7, order, "t", by="g")
     assert _rows(got, "id", "t") == _rows(ref, "id", "t")
+
+
+def test_materialized_histogram_equals_lazy(spark):
+    df = spark.range(3000).select(((F.col("id") * 13) % 211 / 3.0).alias("x"), ((F.col("id") * 7) % 97 / 2.0).alias("y"))
+    a = visagg.histogram(df, "x", 17, materialize=True).collect()
+    b = visagg.histogram(df, "x", 17).collect()
+    assert sorted(a) == sorted(b)
+    r1 = visagg.raster(df, "x", "y", 40, materialize=True).collect()
+    r2 = visagg.raster(df, "x", "y", 40).collect()
+    assert sorted(r1) == sorted(r2)
