@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import dedup, packing, quality, secrets, topk
+from lodestar.llm import byte_bpe, dedup, fingerprint, packing, quality, secrets, token_counts, topk
 from lodestar.llm.common import read
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.link(read(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read(spark, sf_dir, "documents"))
 
@@ -29,7 +42,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op6_fingerprints": op6_fingerprints,
     "op7_secret_scan": op7_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_top_k": op9_top_k,
