@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import byte_bpe, dedup, fingerprint, packing, quality, secrets, token_counts, topk
+from lodestar.llm import byte_bpe, dedup, fingerprint, packing, quality, secrets, suffix_tree, token_counts, topk, wrappers
 from lodestar.llm.common import read
 
 
@@ -21,6 +21,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(read(spark, sf_dir, "documents"))
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(read(spark, sf_dir, "pages"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
 
@@ -45,6 +53,8 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_lm_scores": op4_lm_scores,
+    "op5_main_text": op5_main_text,
     "op6_fingerprints": op6_fingerprints,
     "op7_secret_scan": op7_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
