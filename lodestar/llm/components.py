@@ -28,7 +28,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of ``edges`` (a, b longs): root is the least node reachable.
+    """(node, root) of every node of ``edges`` (a, b longs) that is not a root itself: root is the least node reachable.
 
     Self-loops and repeated edges change nothing; nulls are left out; no edges
     give no rows.  Each round is written to the shared folder; only a count

@@ -9,6 +9,7 @@ weight vector is shared by all grades; ordered thresholds cut its score:
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import id_text, shared_table, slices
 
 GRADES = 3
+#: Lengths in bytes of the word beginnings that are counted.
+BEGINNINGS = (4, 6, 8)
 _SYMBOLS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _TO_SPACE = bytes(32 if c in _SYMBOLS or 48 <= c < 58 or c < 33 else c for c in range(256))
 _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
@@ -42,13 +45,17 @@ def _shares(raw: bytes, words: list[bytes], distinct: int) -> list[bytes]:
 
 
 def features(text: str, mask: int) -> np.ndarray:
-    """Distinct hashed features of one whole text."""
+    """Distinct hashed features of one whole text: its words, how often their beginnings occur, and the shares' bins."""
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.lower().translate(_TO_SPACE).split()
     distinct = set(words)
     crc = zlib.crc32
     found = {crc(w) & mask for w in distinct}
     found.update(crc(x) & mask for x in _shares(raw, words, len(distinct)))
+    for size in BEGINNINGS:
+        for start, n in Counter([w[:size] for w in words]).items():
+            for level in range(1, min(n.bit_length(), 6)):  # twice, four times, ...
+                found.add(crc(start, level) & mask)
     return np.fromiter(found, np.int32, len(found))
 
 
@@ -56,40 +63,53 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * np.clip(x, -60, 60)))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, size: int, steps: int = 120, rate: float = 0.3, l1: float = 2e-5, least_rows: int = 4) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, thresholds) by full-batch AdaGrad on the log-likelihood with an L1 step.
+def fit(rows: list[np.ndarray], grades: np.ndarray, size: int, steps: int = 500, rate: float = 0.3, noise: float = 0.06, least_rows: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, thresholds) by full-batch AdaGrad on the log-likelihood with an L1 penalty of ``noise / sqrt(rows)``.
 
-    Features of fewer than ``least_rows`` rows keep weight 0: what one text
-    alone shows is not a property of a grade.
+    The penalty is about the gradient that chance alone gives a feature.
+    Features of fewer than ``least_rows`` rows, and those whose gradient at
+    zero is below half the penalty, keep weight 0.
     """
-    index, lengths = np.concatenate(rows), np.array([len(r) for r in rows])
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    used = np.bincount(index, minlength=size) >= least_rows
-    weights, seen = np.zeros(size), np.full(size, 1e-8)
-    below = np.array([(grades <= k).mean() for k in range(GRADES - 1)]).clip(0.01, 0.99)
-    first, gaps = np.log(below[0] / (1 - below[0])), np.log(np.maximum(np.diff(np.log(below / (1 - below))), 0.1))
-    params, params_seen = np.concatenate([[first], gaps]), np.full(GRADES - 1, 1e-8)
     n = len(grades)
+    l1 = noise / np.sqrt(n)
+    below = np.array([(grades <= k).mean() for k in range(GRADES - 1)]).clip(0.01, 0.99)
+    odds = np.log(below / (1 - below))
+    params, params_seen = np.concatenate([odds[:1], np.log(np.maximum(np.diff(odds), 0.1))]), np.full(GRADES - 1, 1e-8)
+    row, index = np.repeat(np.arange(n), [len(r) for r in rows]), np.concatenate(rows)
+
+    def ends(score: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _sigmoid(cuts[grades + 1] - score), _sigmoid(cuts[grades] - score)
+
+    def cuts_of(params: np.ndarray) -> np.ndarray:
+        return np.concatenate([[-np.inf], np.cumsum(np.concatenate([params[:1], np.exp(params[1:])])), [np.inf]])
+
+    high, low = ends(np.zeros(n), cuts_of(params))
+    at_zero = np.bincount(index, ((1 - high - low) / n)[row], size)
+    used = np.flatnonzero((np.bincount(index, minlength=size) >= least_rows) & (np.abs(at_zero) > l1 / 2))
+    place = np.full(size, -1)
+    place[used] = np.arange(len(used))
+    column = place[index]
+    row, column = row[column >= 0], column[column >= 0]
+    weights, seen = np.zeros(len(used)), np.full(len(used), 1e-8)
     for _ in range(steps):
-        cuts = np.concatenate([[-np.inf], np.cumsum(np.concatenate([params[:1], np.exp(params[1:])])), [np.inf]])
-        score = np.add.reduceat(weights[index], starts)
-        high, low = _sigmoid(cuts[grades + 1] - score), _sigmoid(cuts[grades] - score)
-        slope = -(high + low - 1) / n  # of the loss by the score
-        grad = np.bincount(index, np.repeat(slope, lengths), size)
+        high, low = ends(np.bincount(row, weights[column], n), cuts_of(params))
+        grad = np.bincount(column, ((1 - high - low) / n)[row], len(used))
         seen += grad * grad
         pace = rate / np.sqrt(seen)
         weights = weights - pace * grad
-        weights = np.where(used, np.sign(weights) * np.maximum(np.abs(weights) - pace * l1, 0), 0.0)
+        weights = np.sign(weights) * np.maximum(np.abs(weights) - pace * l1, 0)
         between = np.maximum(high - low, 1e-12)
         by_cut = np.zeros(GRADES - 1)
         for k in range(GRADES - 1):
-            d_high = np.where(grades == k, high * (1 - high) / between, 0).sum()
-            d_low = np.where(grades == k + 1, low * (1 - low) / between, 0).sum()
-            by_cut[k] = -(d_high - d_low) / n
+            up = np.where(grades == k, high * (1 - high) / between, 0).sum()
+            down = np.where(grades == k + 1, low * (1 - low) / between, 0).sum()
+            by_cut[k] = (down - up) / n
         by_param = np.array([by_cut.sum(), *(by_cut[k:].sum() * np.exp(params[k]) for k in range(1, GRADES - 1))])
         params_seen += by_param**2
         params = params - 0.1 * by_param / np.sqrt(params_seen)
-    return weights.astype(np.float32), np.cumsum(np.concatenate([params[:1], np.exp(params[1:])]))
+    whole = np.zeros(size, np.float32)
+    whole[used] = weights
+    return whole, cuts_of(params)[1:-1]
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -138,7 +158,7 @@ def classify(
     id_col: str = "doc_id",
     text_col: str = "text",
     sample_rows: int = 20_000,
-    buckets: int = 1 << 18,
+    buckets: int = 1 << 20,
     least_tail: float = 0.5,
 ) -> DataFrame:
     """One row per row of ``docs``: id, expected_grade, tail (probability of the best grade), keep.
@@ -168,7 +188,7 @@ def classify(
 
 def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that :func:`classify` keeps, with all their columns; same cases as there."""
-    buckets, least = options.get("buckets", 1 << 18), options.get("least_tail", 0.5)
+    buckets, least = options.get("buckets", 1 << 20), options.get("least_tail", 0.5)
     model = train(docs, graded(labels), options.get("sample_rows", 20_000), buckets, text_col)
     if model is None:
         return docs
