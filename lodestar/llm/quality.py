@@ -63,7 +63,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * np.clip(x, -60, 60)))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, size: int, steps: int = 500, rate: float = 0.3, noise: float = 0.06, least_rows: int = 4) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: list[np.ndarray], grades: np.ndarray, size: int, steps: int = 500, rate: float = 2.0, noise: float = 0.06, least_rows: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) by full-batch AdaGrad on the log-likelihood with an L1 penalty of ``noise / sqrt(rows)``.
 
     The penalty is about the gradient that chance alone gives a feature.
@@ -91,11 +91,12 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, size: int, steps: int = 500,
     column = place[index]
     row, column = row[column >= 0], column[column >= 0]
     weights, seen = np.zeros(len(used)), np.full(len(used), 1e-8)
-    for _ in range(steps):
+    for step in range(steps):
+        calm = min(1.0, 1.6 * (1 - step / steps))  # smaller steps towards the end
         high, low = ends(np.bincount(row, weights[column], n), cuts_of(params))
         grad = np.bincount(column, ((1 - high - low) / n)[row], len(used))
         seen += grad * grad
-        pace = rate / np.sqrt(seen)
+        pace = calm * rate / np.sqrt(seen)
         weights = weights - pace * grad
         weights = np.sign(weights) * np.maximum(np.abs(weights) - pace * l1, 0)
         between = np.maximum(high - low, 1e-12)
@@ -106,7 +107,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, size: int, steps: int = 500,
             by_cut[k] = (down - up) / n
         by_param = np.array([by_cut.sum(), *(by_cut[k:].sum() * np.exp(params[k]) for k in range(1, GRADES - 1))])
         params_seen += by_param**2
-        params = params - 0.1 * by_param / np.sqrt(params_seen)
+        params = params - 0.1 * calm * by_param / np.sqrt(params_seen)
     whole = np.zeros(size, np.float32)
     whole[used] = weights
     return whole, cuts_of(params)[1:-1]

@@ -5,12 +5,14 @@ import zlib
 import numpy as np
 
 from lodestar.llm import quality
-from tests.conftest import SF_ORACLE
 from tests.llm.helpers import empty_docs, odd_docs
 
 
+SF_LARGE = "/root/testdata/sf0.1"
+
+
 def test_held_out_accuracy(spark):
-    docs, labels = (spark.read.parquet(f"{SF_ORACLE}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"{SF_LARGE}/{t}.parquet") for t in ("documents", "labels"))
     rows = {r.doc_id: (r.quality, r.toxic) for r in labels.collect()}
     held = {i for i in rows if zlib.crc32(str(i).encode()) % 4 == 0}
     known = labels.where(~labels["doc_id"].isin(list(held)))
@@ -18,7 +20,8 @@ def test_held_out_accuracy(spark):
     assert len(got) == docs.count()
     good = [got[i] for i in held if rows[i] == (1, 0)]
     poor = [got[i] for i in held if rows[i][0] == 0]
-    assert np.mean(good) > 0.97 and np.mean(poor) < 0.05
+    toxic = [got[i] for i in held if rows[i] == (1, 1)]
+    assert np.mean(good) > 0.97 and np.mean(poor) < 0.05 and np.mean(toxic) < 0.2
 
 
 def test_fit_orders_grades():
