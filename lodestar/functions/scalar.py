@@ -119,8 +119,9 @@ def is_missing(x: str | Column) -> Column:
 
 
 def round_half_up(x: str | Column, digits: int = 0) -> Column:
-    """``floor(x * 10^d + 0.5) / 10^d``: SQL ``round`` for non-negative values,
+    """Rounds half away from zero, like SQL ``round``: ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``,
     computed with the same IEEE operations on every engine (F08)."""
     scale = 10 ** digits
-    v = F.floor(col_of(x) * F.lit(scale) + F.lit(0.5))
+    size = F.floor(F.abs(col_of(x)) * F.lit(scale) + F.lit(0.5))
+    v = F.when(col_of(x) < 0, -size).otherwise(size)
     return v if digits == 0 else v / F.lit(scale)

@@ -60,10 +60,9 @@ def training_table(df: DataFrame) -> DataFrame:
 
     Fits read their input several times (encoder fit, solver passes,
     summary); a checkpoint computes the upstream joins once and survives the
-    loss of an executor.  Inputs read by fewer tasks than the cluster has
-    cores are spread first, so the solver passes run in parallel.
+    loss of an executor.  The rows are rebalanced to partitions of even size
+    first, so the solver passes run in parallel.
     """
     from lodestar.session import reliable_checkpoint
-    from lodestar.sources.files import ensure_parallelism
 
-    return reliable_checkpoint(ensure_parallelism(df))
+    return reliable_checkpoint(df.hint("rebalance"))

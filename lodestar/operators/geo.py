@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.joins import bounded_broadcast
 
-
-def route_ends(routes: DataFrame, places: DataFrame, origin: str, dest: str, key: str, lat: str = "lat", lon: str = "lon", max_places: int = 1_000_000) -> DataFrame:
+def route_ends(routes: DataFrame, places: DataFrame, origin: str, dest: str, key: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Attach coordinates of both ends; routes with an unknown end are dropped."""
-    p = bounded_broadcast(places.select(key, lat, lon), max_places)
+    p = places.select(key, lat, lon)
     o = p.select(F.col(key).alias("__o"), F.col(lat).alias("lat1"), F.col(lon).alias("lon1"))
     d = p.select(F.col(key).alias("__d"), F.col(lat).alias("lat2"), F.col(lon).alias("lon2"))
     return (routes.join(o, routes[origin] == o["__o"], "inner").drop("__o")

@@ -1,8 +1,8 @@
 """Joins (J01-J11).
 
-Broadcast is used only behind a bounded row count of the small side; beyond
-the bound the join is left to Spark (sort-merge, or a runtime broadcast by
-AQE when the shuffled side turns out small).
+No join carries a broadcast hint: Spark broadcasts a side by its size in bytes
+(from statistics, or at run time when the shuffled side turns out small) and
+sorts and merges otherwise.
 """
 
 from __future__ import annotations
@@ -12,31 +12,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
-
-_FITS: dict[tuple[int, int], bool] = {}
-
-
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``, which stops reading once the bound
-    is passed, so the check costs at most ``max_rows + 1`` rows.  The answer
-    is remembered per plan (``semanticHash``) for the life of the driver, so
-    a lookup used by many jobs is counted once.
-    """
-    key = (df.semanticHash(), max_rows)
-    if key not in _FITS:
-        if len(_FITS) > 4096:
-            _FITS.clear()
-        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _FITS[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_rows(df, max_rows) else df
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL, so a group with a NULL key keeps its rows."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"__right_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"__right_{k}" for k in keys])
 
 
 def lookup_join(
@@ -44,7 +28,6 @@ def lookup_join(
     dim: DataFrame,
     on: Mapping[str, str] | Sequence[str] | str,
     how: str = "left",
-    max_dim_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Join a fact table to a lookup.
 
@@ -52,17 +35,16 @@ def lookup_join(
     for keys with different names (J01).  The dimension's key columns are
     dropped from the output when the names differ.
     """
-    small = bounded_broadcast(dim, max_dim_rows)
     if isinstance(on, str) or (isinstance(on, Sequence) and not isinstance(on, Mapping)):
-        return fact.join(small, on=on, how=how)
+        return fact.join(dim, on=on, how=how)
     cond = None
     for left, right in on.items():
-        c = fact[left] == small[right]
+        c = fact[left] == dim[right]
         cond = c if cond is None else cond & c
-    out = fact.join(small, on=cond, how=how)
+    out = fact.join(dim, on=cond, how=how)
     for left, right in on.items():
         if left != right:
-            out = out.drop(small[right])
+            out = out.drop(dim[right])
     return out
 
 
@@ -82,7 +64,6 @@ def role_join(
     columns: Mapping[str, str],
     how: str = "left",
     check_unique: bool = False,
-    max_dim_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Role-playing dimension: join the same lookup once per role.
 
@@ -93,7 +74,7 @@ def role_join(
     """
     if check_unique:
         assert_unique_key(lookup, lookup_key)
-    small = bounded_broadcast(lookup.select(lookup_key, *columns), max_dim_rows)
+    small = lookup.select(lookup_key, *columns)
     out = fact
     for prefix, fact_key in roles.items():
         renamed = small.select(

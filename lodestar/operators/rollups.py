@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestar.defaults import BOX_WHISKER_IQR, PROFILE_PROBABILITIES
 from lodestar.functions.scalar import col_of, round_half_up, round_to_hour, scalar_of
-from lodestar.operators.joins import fits_rows
+from lodestar.operators.joins import null_safe_join
 
 
 def _as_list(cols) -> list:
@@ -170,14 +170,11 @@ def pivot_wide(
     pivot_col: str,
     values: Sequence | None,
     measure: Column,
-    max_values: int = 1000,
 ) -> DataFrame:
     """Long to wide (A17).  Pass ``values`` for a fixed schema and no extra job;
-    otherwise the distinct values are looked up and must number <= ``max_values``."""
+    otherwise the distinct values, which become columns, are looked up first."""
     if values is None:
         distinct = df.select(pivot_col).where(F.col(pivot_col).isNotNull()).distinct()
-        if not fits_rows(distinct, max_values):
-            raise ValueError(f"pivot column {pivot_col} has more than {max_values} values")
         values = sorted(r[0] for r in distinct.collect())
     return df.groupBy(*_as_list(by)).pivot(pivot_col, list(values)).agg(measure)
 
@@ -234,17 +231,15 @@ def box_stats(df: DataFrame, by, value: str, coef: float = BOX_WHISKER_IQR) -> D
     """Box-plot numbers per group (A25): quartiles, whiskers at the most
     extreme values inside ``coef * IQR`` of the box, and outlier count.
 
-    Pass 1 aggregates quartiles per group; pass 2 joins them back to the rows
-    (one row per group on the small side) and aggregates whiskers.
+    Everything comes from the distinct (group, value, count) table, so the
+    rows are read once; the fences of a group are joined to its values.
     """
     keys = _as_list(by)
-    rows_nn = df.where(F.col(value).isNotNull())
-    moments = rows_nn.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max")
-    )
-    quart = percentile_table(rows_nn, keys, value, (0.25, 0.5, 0.75), ["q1", "median", "q3"])
+    dist = distinct_counts(df.where(F.col(value).isNotNull()), keys, value)
+    moments = dist.groupBy(*keys).agg(F.sum("__c").alias("n"), F.min(value).alias("min"), F.max(value).alias("max"))
+    quart = percentile_table(df, keys, value, (0.25, 0.5, 0.75), ["q1", "median", "q3"], dist=dist)
     if keys:
-        q = moments.join(quart, on=keys)
+        q = null_safe_join(moments, quart, keys)
     else:
         q = moments.withColumns({c: scalar_of(quart, F.col(c)) for c in ("q1", "median", "q3")})
     q = q.select(*keys, "n", "min", "q1", "median", "q3", "max")
@@ -252,11 +247,10 @@ def box_stats(df: DataFrame, by, value: str, coef: float = BOX_WHISKER_IQR) -> D
         "lower_fence": F.col("q1") - F.lit(coef) * (F.col("q3") - F.col("q1")),
         "upper_fence": F.col("q3") + F.lit(coef) * (F.col("q3") - F.col("q1")),
     })
-    rows = df.select(*keys, value).where(F.col(value).isNotNull())
     if keys:
-        joined = rows.join(q.select(*keys, "lower_fence", "upper_fence"), on=keys)
+        joined = null_safe_join(dist, q.select(*keys, "lower_fence", "upper_fence"), keys)
     else:
-        joined = rows.withColumns({
+        joined = dist.withColumns({
             "lower_fence": scalar_of(q, F.col("lower_fence")),
             "upper_fence": scalar_of(q, F.col("upper_fence")),
         })
@@ -264,10 +258,10 @@ def box_stats(df: DataFrame, by, value: str, coef: float = BOX_WHISKER_IQR) -> D
     w = joined.groupBy(*keys).agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(1)).alias("n_outliers"),
+        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("__c"))).alias("n_outliers"),
     )
     if keys:
-        return q.join(w, on=keys)
+        return null_safe_join(q, w, keys)
     return q.withColumns({c: scalar_of(w, F.col(c)) for c in ("whisker_low", "whisker_high", "n_outliers")})
 
 
@@ -278,20 +272,17 @@ def group_moments(df: DataFrame, by, value: str) -> DataFrame:
     )
 
 
-def pairwise_t(df: DataFrame, group: str, value: str, max_groups: int = 2000) -> DataFrame:
+def pairwise_t(df: DataFrame, group: str, value: str) -> DataFrame:
     """Pairwise t statistics with pooled SD over all groups, like ``pairwise.t.test``.
 
-    Only the per-group moments table (one row per group, checked to be at most
-    ``max_groups`` rows) is paired; raw rows are never paired.
+    Only the per-group moments table (one row per group) is paired, which is what
+    the test asks for; raw rows are never paired.
     Output: group_a < group_b, t, df (residual degrees of freedom).
     """
     from lodestar.session import reliable_checkpoint
 
-    # one row per group, read four times (bound check, pooled variance, both pair sides): materialise once
+    # one row per group, read four times (pooled variance, degrees of freedom, both pair sides): materialise once
     m = reliable_checkpoint(group_moments(df, group, value))
-    if not fits_rows(m, max_groups):
-        raise ValueError(f"pairwise_t: more than {max_groups} groups")
-    m = F.broadcast(m)
     pooled_var = scalar_of(m, F.sum((F.col("n") - 1) * F.col("var")) / F.sum(F.col("n") - 1))
     dof = scalar_of(m, F.sum(F.col("n")) - F.count(F.lit(1)))
     a, b = m.alias("a"), m.alias("b")
@@ -309,8 +300,6 @@ def pairwise_t(df: DataFrame, group: str, value: str, max_groups: int = 2000) ->
 def holm_adjust(pairs: DataFrame, p_col: str = "p_value", out_col: str = "p_holm") -> DataFrame:
     """Holm step-down adjustment over all rows of a small table of p values
     (the default adjustment of pairwise t tests)."""
-    from pyspark.sql import Window
-
     m = scalar_of(pairs, F.count(F.lit(1)))
     order = Window.orderBy(F.col(p_col).asc_nulls_last(), *[F.col(c) for c in pairs.columns if c != p_col])
     step = pairs.withColumn("__i", F.row_number().over(order)).withColumn(
@@ -320,15 +309,14 @@ def holm_adjust(pairs: DataFrame, p_col: str = "p_value", out_col: str = "p_holm
     return step.withColumn(out_col, F.max("__s").over(cum)).drop("__i", "__s")
 
 
-def pairwise_t_tests(df: DataFrame, group: str, value: str, max_groups: int = 2000) -> DataFrame:
+def pairwise_t_tests(df: DataFrame, group: str, value: str) -> DataFrame:
     """``pairwise_t`` plus two-sided p values and Holm-adjusted p values.
 
-    The p values are computed on the pairs table only (at most
-    ``max_groups`` squared over two rows), never on raw rows.
+    The p values are computed on the pairs table only, never on raw rows.
     """
     from lodestar.functions.distributions import t_p_value
 
-    pairs = pairwise_t(df, group, value, max_groups).withColumn("p_value", t_p_value("t", "df"))
+    pairs = pairwise_t(df, group, value).withColumn("p_value", t_p_value("t", "df"))
     return holm_adjust(pairs)
 
 
@@ -354,7 +342,7 @@ def kernel_density(df: DataFrame, value: str, by=None, grid_points: int = 64, bi
     stats = data.groupBy(*keys).agg(
         F.min(value).alias("__lo"), F.max(value).alias("__hi"),
         F.stddev_samp(value).alias("__sd"), F.count(F.lit(1)).alias("__n"))
-    g = data.join(stats, on=keys) if keys else data.withColumns({
+    g = null_safe_join(data, stats, keys) if keys else data.withColumns({
         c: scalar_of(data, agg) for c, agg in {
             "__lo": F.min(value), "__hi": F.max(value),
             "__sd": F.stddev_samp(value), "__n": F.count(F.lit(1))}.items()})
@@ -390,7 +378,6 @@ def percentile_table(
     value: str,
     probs: Sequence[float],
     names: Sequence[str] | None = None,
-    buckets: int = 1024,
     dist: DataFrame | None = None,
     with_moments: bool = False,
 ) -> DataFrame:
@@ -398,107 +385,35 @@ def percentile_table(
 
     Same result as SQL ``percentile`` / ``quantile_cont``: with n rows and
     h = (n - 1) p, the value is x[floor h] + (x[ceil h] - x[floor h]) (h - floor h)
-    over the sorted non-NULL values x.  Plan:
-
-    1. distinct (group, value) pairs with their counts (map-side combined,
-       materialised once);
-    2. each group's value range cut into ``buckets`` equal-width buckets,
-       per-bucket counts and their running offsets (groups x buckets rows);
-    3. the bucket holding each wanted rank is found on that small table and
-       the wanted ranks travel with it as a short array;
-    4. only the distinct values of those buckets are ordered to read off the
-       two order statistics per probability.
-
-    No task ever holds a whole group: a group of a third of all rows is
-    split over its (group, value) shuffle keys, and step 4 touches about
-    2 * len(probs) / buckets of its distinct values.  ``with_moments`` adds
-    n (all rows, NULL values included) and the mean from the same pass.
+    over the sorted non-NULL values x.  The distinct (group, value) pairs with
+    their counts are materialised once and numbered by ``ahead_counts``, whose
+    range partitions follow the data; a value that covers a wanted rank is then
+    picked by a map-side combined aggregation.  A group with a NULL key is a
+    group like any other.  ``with_moments`` adds n (all rows, NULL values
+    included) and the mean from the same pass.
     """
+    from lodestar.operators.windows import ahead_counts
+
     keys = _as_list(by)
     names = list(names or [f"p{int(round(p * 100)):02d}" for p in probs])
     v = F.col(value)
     dist = dist if dist is not None else distinct_counts(df, keys, value)
-    present = v.isNotNull()
-    stats_cols = [
-        F.sum(F.when(present, F.col("__c"))).alias("__n"),
-        F.min(value).alias("__lo"),
-        F.max(value).alias("__hi"),
-    ]
-    if with_moments:
-        stats_cols += [
-            F.sum("__c").alias("n"),
-            F.try_divide(F.sum(v * F.col("__c")), F.sum(F.when(present, F.col("__c")))).alias("mean"),
-        ]
-    stats = dist.groupBy(*keys).agg(*stats_cols)
-    values = dist.where(present)
-    width = F.col("__hi") - F.col("__lo")
-    bucket = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((v - F.col("__lo")) / width * F.lit(buckets)), F.lit(buckets - 1))
-    ).cast("long")
-    if keys:
-        dist_b = values.join(stats.select(*keys, "__lo", "__hi"), on=keys, how="inner")
-    else:
-        dist_b = values.withColumns({c: scalar_of(stats, F.col(c)) for c in ("__lo", "__hi")})
-    dist_b = dist_b.withColumn("__b", bucket).select(*keys, value, "__c", "__b")
-    per_bucket = dist_b.groupBy(*keys, "__b").agg(F.sum("__c").alias("__bc"))
-    bw = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("__start", F.coalesce(F.sum("__bc").over(bw), F.lit(0)))
-    # wanted ranks: for each probability the floor and ceil order statistics (0-based)
-    prob_rows = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("__pi"), F.lit(float(p)).alias("__p")) for i, p in enumerate(probs)
-    ]))
-    ranks = (
-        stats.where(F.col("__n") > 0)
-        .select(*keys, "__n", prob_rows.alias("__t"))
-        .select(*keys, F.col("__t.__pi").alias("__pi"), ((F.col("__n") - 1) * F.col("__t.__p")).alias("__h"))
-        .select(
-            *keys, "__pi", "__h",
-            F.explode(F.array(
-                F.struct(F.lit(0).alias("__side"), F.floor("__h").cast("long").alias("__r")),
-                F.struct(F.lit(1).alias("__side"), F.ceil("__h").cast("long").alias("__r")),
-            )).alias("__s"),
-        )
-        .select(*keys, F.struct("__pi", "__h", "__s.__side", "__s.__r").alias("__t"))
-    )
-    in_bucket = (F.col("__t.__r") >= F.col("__start")) & (F.col("__t.__r") < F.col("__start") + F.col("__bc"))
-    if keys:
-        located = ranks.join(per_bucket, on=keys, how="inner").where(in_bucket)
-    else:
-        # one group: the 2 * len(probs) wanted ranks travel as one array value
-        wanted_ranks = scalar_of(ranks, F.collect_list("__t"))
-        located = per_bucket.withColumn("__wanted", wanted_ranks).select(
-            "__b", "__start", "__bc", F.explode("__wanted").alias("__t")
-        ).where(in_bucket)
-    wanted = located.groupBy(*keys, "__b", "__start").agg(F.collect_list("__t").alias("__ts"))
-    inside = dist_b.join(wanted, on=[*keys, "__b"], how="inner")
-    lw = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("__before", F.col("__start") + F.coalesce(F.sum("__c").over(lw), F.lit(0)))
-    hit = inside.select(
-        *keys, value,
-        F.explode(F.filter(
-            "__ts", lambda t: (t["__r"] >= F.col("__before")) & (t["__r"] < F.col("__before") + F.col("__c"))
-        )).alias("__t"),
-    )
-    aggs = []
-    for i, _ in enumerate(probs):
-        this = F.col("__t.__pi") == i
-        aggs += [
-            F.max(F.when(this & (F.col("__t.__side") == 0), v)).alias(f"__xl{i}"),
-            F.max(F.when(this & (F.col("__t.__side") == 1), v)).alias(f"__xh{i}"),
-            F.max(F.when(this, F.col("__t.__h"))).alias(f"__h{i}"),
-        ]
-    picked = hit.groupBy(*keys).agg(*aggs)
-    pct = picked.select(
-        *keys,
-        *[
-            (F.col(f"__xl{i}") + (F.col(f"__xh{i}") - F.col(f"__xl{i}")) * (F.col(f"__h{i}") - F.floor(f"__h{i}"))).alias(n)
-            for i, n in enumerate(names)
-        ],
+    ranked = ahead_counts(dist.where(v.isNotNull()), keys, value, "__c", descending=False, total_col="__n")
+    picks, columns = [], []
+    for i, (p, name) in enumerate(zip(probs, names, strict=True)):
+        h = (F.col("__n") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            covers = (rank >= F.col("__ahead")) & (rank < F.col("__ahead") + F.col("__c"))
+            picks.append(F.max(F.when(covers, v)).alias(f"__{side}{i}"))
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        columns.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
+    picked = ranked.groupBy(*keys).agg(F.max("__n").alias("__n"), *picks).select(*keys, *columns)
+    if not with_moments:  # a group of NULL values only has NULL percentiles
+        return null_safe_join(dist.select(*keys).distinct(), picked, keys, "left") if keys else picked
+    moments = dist.groupBy(*keys).agg(
+        F.sum("__c").alias("n"),
+        F.try_divide(F.sum(v * F.col("__c")), F.sum(F.when(v.isNotNull(), F.col("__c")))).alias("mean"),
     )
-    extra = ["n", "mean"] if with_moments else []
     if keys:
-        return stats.select(*keys, *extra).join(pct, on=keys, how="left")
-    base = stats.select(*extra) if extra else None
-    if base is None:
-        return pct
-    return base.withColumns({n: scalar_of(pct, F.col(n)) for n in names})
+        return null_safe_join(moments, picked, keys, "left")
+    return moments.withColumns({n: scalar_of(picked, F.col(n)) for n in names})

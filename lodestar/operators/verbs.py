@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,28 +115,32 @@ def random_split(df: DataFrame, weights: Mapping[str, float], seed: int = 42) ->
 
 
 def hash_split(
-    df: DataFrame, weights: Mapping[str, float], key: Sequence[str] | str, seed: int = 42, buckets: int = 10_000
+    df: DataFrame, weights: Mapping[str, float], key: Sequence[str] | str, seed: int = 42
 ) -> dict[str, DataFrame]:
-    """Deterministic split on a hash of ``key``: independent of partitioning and
-    re-runs; parts are disjoint and cover the input (P18, M35)."""
+    """Deterministic split on a 64-bit hash of ``key``: independent of partitioning and
+    re-runs; parts are disjoint and cover the input, and the cut points are exact to
+    2**-64 of the weights (P18, M35)."""
     keys = [key] if isinstance(key, str) else list(key)
-    total = float(sum(weights.values()))
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(buckets))
-    out, lo = {}, 0.0
-    names = list(weights)
-    for i, name in enumerate(names):
-        hi = lo + weights[name] / total * buckets
-        cond = (h >= F.lit(int(round(lo)))) & (h < F.lit(int(round(hi)) if i < len(names) - 1 else buckets))
-        out[name] = df.where(cond)
+    total = sum(Fraction(w) for w in weights.values())
+    h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    out, done, lo = {}, Fraction(0), -(2**63)
+    for name, weight in weights.items():
+        done += Fraction(weight)
+        hi = round(done / total * 2**64) - 2**63
+        # a part ends below its cut; the last cut, 2**63, is past the largest hash
+        out[name] = df.where((h >= F.lit(lo)) & (h <= F.lit(hi - 1))) if hi > lo else df.where(F.lit(False))
         lo = hi
     return out
 
 
 def brush(df: DataFrame, x: str, y: str, xmin=None, xmax=None, ymin=None, ymax=None) -> DataFrame:
-    """Rows inside a closed rectangle on (x, y); no rectangle means the whole table."""
-    if None in (xmin, xmax, ymin, ymax):
-        return df
-    return df.where(F.col(x).between(xmin, xmax) & F.col(y).between(ymin, ymax))
+    """Rows inside a closed rectangle on (x, y); a side without a bound is open, no bounds mean the whole table."""
+    for col, lo, hi in ((x, xmin, xmax), (y, ymin, ymax)):
+        if lo is not None:
+            df = df.where(F.col(col) >= F.lit(lo))
+        if hi is not None:
+            df = df.where(F.col(col) <= F.lit(hi))
+    return df
 
 
 def recode_when(key: str | Column, mapping: Mapping, default=None, otherwise_col: str | Column | None = None) -> Column:

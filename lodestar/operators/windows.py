@@ -8,7 +8,7 @@ per-task sort bounded:
   pushes a per-partition group limit below the shuffle), then ranks the few
   surviving distinct values per group.
 * ``rank_within`` ranks distinct (group, value) pairs after a map-side
-  pre-aggregation, then joins the rank back to the rows.
+  pre-aggregation, then joins the rank back to the rows (NULL equals NULL).
 * ``ntile`` numbers rows globally from range partitions plus per-partition
   offsets, instead of one global window.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.scalar import round_half_up, scalar_of
-from lodestar.operators.joins import fits_rows
+from lodestar.operators.joins import null_safe_join
 from lodestar.session import reliable_checkpoint
 
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row index
@@ -85,35 +85,28 @@ def ahead_counts(
     value: str,
     count_col: str,
     descending: bool = True,
-    buckets: int = 1024,
     out_col: str = "__ahead",
+    total_col: str | None = None,
 ) -> DataFrame:
     """For distinct (group, value, count) rows: rows of the group strictly ahead in the order.
 
-    The group's value range is cut into ``buckets`` equal-width buckets;
-    bucket totals and their running offsets form a small (group x bucket)
-    table, and only the values inside one bucket are ordered together.  A
-    group with a third of all values is therefore spread over up to
-    ``buckets`` tasks instead of one.
+    The rows are range-partitioned by (group, value), whose cut points follow
+    the data, so neither a hot group nor a far outlier fills a partition.  Each
+    (partition, group) piece has its running counts; the offsets of the pieces
+    come from a table of partitions + groups rows at most.  ``value`` may be of
+    any ordered type.  ``total_col`` adds the group's number of rows.
     """
-    width = F.col("__hi") - F.col("__lo")
-    axis = (F.col("__hi") - F.col(value)) if descending else (F.col(value) - F.col("__lo"))
-    b = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor(axis / width * F.lit(buckets)), F.lit(buckets - 1)))
-    if keys:
-        stats = dist.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-        with_b = dist.join(stats, on=keys)
-    else:
-        with_b = dist.withColumns({"__lo": scalar_of(dist, F.min(value)), "__hi": scalar_of(dist, F.max(value))})
-    with_b = with_b.withColumn("__b", b.cast("long"))
-    per_bucket = with_b.groupBy(*keys, "__b").agg(F.sum(count_col).alias("__bc"))
-    bw = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("__start", F.coalesce(F.sum("__bc").over(bw), F.lit(0))).drop("__bc")
-    lw = Window.partitionBy(*keys, "__b").orderBy(_order(value, descending)).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        with_b.join(per_bucket, on=[*keys, "__b"])
-        .withColumn(out_col, F.col("__start") + F.coalesce(F.sum(count_col).over(lw), F.lit(0)))
-        .drop("__lo", "__hi", "__b", "__start")
-    )
+    full = [*[F.col(k).asc_nulls_last() for k in keys], _order(value, descending)]
+    ranged = reliable_checkpoint(dist.repartitionByRange(*full).withColumn("__pid", F.spark_partition_id()))
+    pieces = ranged.groupBy("__pid", *keys).agg(F.sum(count_col).alias("__cnt"))
+    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("__start", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
+    if total_col:
+        pieces = pieces.withColumn(total_col, F.sum("__cnt").over(Window.partitionBy(*keys)))
+    local = Window.partitionBy("__pid", *keys).orderBy(_order(value, descending)).rowsBetween(Window.unboundedPreceding, -1)
+    counted = ranged.withColumn("__local", F.coalesce(F.sum(count_col).over(local), F.lit(0)))
+    out = null_safe_join(counted, pieces.drop("__cnt"), ["__pid", *keys])
+    return out.withColumn(out_col, F.col("__start") + F.col("__local")).drop("__pid", "__start", "__local")
 
 
 def rank_within(
@@ -122,13 +115,13 @@ def rank_within(
     by: str | Sequence[str] | None = None,
     descending: bool = True,
     rank_col: str = "rank",
-    buckets: int = 1024,
 ) -> DataFrame:
     """SQL ``rank()`` of every row within ``by`` (W03), NULL order values get NULL.
 
     rank = 1 + rows of the group strictly ahead.  Ranks are computed on
     distinct (group, value) pairs, pre-aggregated on the map side, with the
-    bucketed running counts of ``ahead_counts``, then joined back to the rows.
+    running counts of ``ahead_counts``, then joined back to the rows; rows with
+    a NULL group key form a group like any other.
     """
     keys = _as_list(by)
     # the distinct (group, value) table feeds four consumers; materialise it once
@@ -137,10 +130,10 @@ def rank_within(
         .groupBy(*keys, order_col)
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    ranks = ahead_counts(dist, keys, order_col, "__n", descending, buckets).select(
+    ranks = ahead_counts(dist, keys, order_col, "__n", descending).select(
         *keys, order_col, (F.col("__ahead") + F.lit(1)).alias(rank_col)
     )
-    return df.join(ranks, on=[*keys, order_col], how="left")
+    return null_safe_join(df, ranks, [*keys, order_col], "left").select(*df.columns, rank_col)
 
 
 def extremes(df: DataFrame, value_col: str, by: str | Sequence[str] | None = None) -> DataFrame:
@@ -153,7 +146,7 @@ def extremes(df: DataFrame, value_col: str, by: str | Sequence[str] | None = Non
     stats = df.groupBy(*keys).agg(
         F.min(value_col).alias("__min"), F.max(value_col).alias("__max")
     )
-    joined = df.join(stats, on=keys, how="inner") if keys else df.withColumns(
+    joined = null_safe_join(df, stats, keys) if keys else df.withColumns(
         {"__min": scalar_of(df, F.min(value_col)), "__max": scalar_of(df, F.max(value_col))}
     )
     return joined.where(
@@ -174,10 +167,9 @@ def _tile_of(pos: Column, total: Column, n_tiles: int) -> Column:
     )
 
 
-def range_partitions(df: DataFrame) -> int:
-    """Range partitions for a global ordering: as many as the input has splits
-    (file splits track the input size), but at least the cluster's parallelism."""
-    return max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+def _ranged(df: DataFrame, partitions: int | None, order: Sequence[Column]) -> DataFrame:
+    """Range partitions; without a number, the session's, which adaptive execution merges by size."""
+    return df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
 
 
 def global_positions(
@@ -198,9 +190,8 @@ def global_positions(
     group is spread over many range partitions.
     """
     keys = list(by)
-    p = partitions or range_partitions(df)
     full = [*[F.col(k).asc_nulls_last() for k in keys], *order]
-    ranged = reliable_checkpoint(df.repartitionByRange(p, *full).sortWithinPartitions(*full))
+    ranged = reliable_checkpoint(_ranged(df, partitions, full).sortWithinPartitions(*full))
     ids = ranged.withColumn("__mid", F.monotonically_increasing_id()).withColumns(
         {
             "__pid": F.shiftright("__mid", _LOCAL_BITS),
@@ -216,7 +207,7 @@ def global_positions(
         whole = Window.partitionBy(*keys)
         pieces = pieces.withColumn(total_col, F.sum("__cnt").over(whole))
     pieces = pieces.drop("__cnt")
-    out = ids.join(F.broadcast(pieces) if not keys else pieces, on=["__pid", *keys], how="inner").withColumn(
+    out = null_safe_join(ids, pieces, ["__pid", *keys]).withColumn(
         pos_col, F.col("__offset") + F.col("__local") - F.col("__first")
     )
     return out.drop("__mid", "__pid", "__local", "__offset", "__first")
@@ -254,44 +245,21 @@ def cumulative_sum(
     order: Sequence[Column],
     value_col: str,
     out_col: str = "cum",
-    small_rows: int = 100_000,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Running sum in ``order`` with a ROWS frame.
+    """Running sum in ``order`` with a ROWS frame (W07), as SQL has it: a NULL adds
+    nothing, and rows before the first value have NULL.
 
-    Aggregated tables (deciles, bins) use one window.  Larger inputs take the
-    distributed path: per-range-partition running sums plus partition offsets.
+    Per-range-partition running sums plus the offsets of the partitions before.
     """
-    if fits_rows(df, small_rows):
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out_col, F.sum(value_col).over(w))
-    p = partitions or range_partitions(df)
-    ranged = reliable_checkpoint(
-        df.repartitionByRange(p, *order).withColumn("__pid", F.spark_partition_id())
-    )
-    local_w = (
-        Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    totals = (
-        ranged.groupBy("__pid")
-        .agg(F.sum(value_col).alias("__part"))
-        .withColumn(
-            "__offset",
-            F.coalesce(
-                F.sum("__part").over(
-                    Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("__part")
-    )
-    return (
-        ranged.withColumn("__local", F.sum(value_col).over(local_w))
-        .join(F.broadcast(totals), on="__pid")
-        .withColumn(out_col, F.col("__offset") + F.col("__local"))
-        .drop("__pid", "__local", "__offset")
-    )
+    ranged = reliable_checkpoint(_ranged(df, partitions, order).withColumn("__pid", F.spark_partition_id()))
+    local_w = Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    totals = ranged.groupBy("__pid").agg(F.sum(value_col).alias("__part"))
+    totals = totals.withColumn("__offset", F.sum("__part").over(before)).drop("__part")
+    summed = ranged.withColumn("__local", F.sum(value_col).over(local_w)).join(totals, on="__pid")
+    both = F.coalesce(F.col("__offset") + F.col("__local"), F.col("__offset"), F.col("__local"))
+    return summed.withColumn(out_col, both).drop("__pid", "__local", "__offset")
 
 
 def impute_mean(df: DataFrame, col: str, out_col: str | None = None) -> DataFrame:

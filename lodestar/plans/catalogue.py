@@ -882,7 +882,8 @@ def v12_enrich(spark, d):
 # ---------------------------------------------------------------- V14 / V15
 _GAIN_SQL = (
     ", g AS (SELECT f.*, a.description, f.depdelay - f.arrdelay AS gain FROM flights f LEFT JOIN airlines a ON f.uniquecarrier = a.code "
-    "WHERE f.depdelay IS NOT NULL AND f.arrdelay IS NOT NULL AND f.depdelay > 5 AND f.depdelay < 45 AND f.year BETWEEN 1996 AND 2000) "
+    "WHERE f.depdelay IS NOT NULL AND f.arrdelay IS NOT NULL AND f.distance IS NOT NULL AND f.depdelay > 5 AND f.depdelay < 45 "
+    "AND f.arrdelay > 2 AND f.arrdelay < 48 AND f.year BETWEEN 1996 AND 2000) "
 )
 
 
@@ -897,7 +898,7 @@ def v14_gain_data(spark, d):
     """Model table: null and range filters, year range, carrier join, gain."""
     from lodestar.plans import jobs
 
-    g = jobs.gain_model_data(si.flights(spark, d), si.airlines(spark, d), (5, 45), (1996, 2000))
+    g = jobs.gain_model_data(si.flights(spark, d), si.airlines(spark, d), (5, 45), (1996, 2000), (2, 48))
     return g.select("year", "uniquecarrier", "description", "tailnum", "depdelay", "arrdelay", "gain")
 
 
@@ -906,13 +907,13 @@ def v14_gain_data(spark, d):
     W(si.FLIGHTS_SQL, si.AIRLINES_SQL)
     + _GAIN_SQL
     + f"SELECT uniquecarrier, count(*) AS n, {r4('avg(depdelay)')} AS mean_depdelay, {r4('avg(arrdelay)')} AS mean_arrdelay, "
-    f"{r4('avg(gain)')} AS mean_gain, min(description) AS description FROM g GROUP BY uniquecarrier",
+    f"{r4('avg(gain)')} AS mean_gain, {r4('avg(distance)')} AS mean_distance, min(description) AS description FROM g GROUP BY uniquecarrier",
 )
 def v15_carrier_summary(spark, d):
     """Per-carrier delay and gain summary sorted by gain."""
     from lodestar.plans import jobs
 
-    return jobs.carrier_summary(jobs.gain_model_data(si.flights(spark, d), si.airlines(spark, d), (5, 45), (1996, 2000)))
+    return jobs.carrier_summary(jobs.gain_model_data(si.flights(spark, d), si.airlines(spark, d), (5, 45), (1996, 2000), (2, 48)))
 
 
 # ---------------------------------------------------------------- V17
@@ -924,7 +925,7 @@ def _gc_sql(n: int) -> str:
     y = f"(({a}) * cos(p1) * sin(l1) + ({b}) * cos(p2) * sin(l2))"
     z = f"(({a}) * sin(p1) + ({b}) * sin(p2))"
     return (
-        ", r AS (SELECT origin, dest FROM flights GROUP BY origin, dest HAVING count(*) > 100), "
+        ", r AS (SELECT DISTINCT origin, dest FROM flights), "
         "e AS (SELECT r.origin, r.dest, radians(o.lat) AS p1, radians(o.lon) AS l1, radians(t.lat) AS p2, radians(t.lon) AS l2 "
         "FROM r JOIN airports o ON r.origin = o.faa JOIN airports t ON r.dest = t.faa), "
         "h AS (SELECT *, 2.0 * asin(sqrt(least(pow(sin((p2 - p1) / 2), 2) + cos(p1) * cos(p2) * pow(sin((l2 - l1) / 2), 2), 1.0))) AS dd FROM e), "
@@ -936,26 +937,26 @@ def _gc_sql(n: int) -> str:
 
 @register("v17_great_circle", W(si.FLIGHTS_SQL, si.AIRPORTS_SQL) + _gc_sql(10))
 def v17_great_circle(spark, d):
-    """Great-circle paths (10 inner points) of every route with over 100 flights."""
+    """Great-circle paths (10 inner points) of every route."""
     from lodestar.plans import jobs
 
-    return jobs.great_circle_routes(si.flights(spark, d), si.airports(spark, d), 100, 10)
+    return jobs.great_circle_routes(si.flights(spark, d), si.airports(spark, d), 10)
 
 
 # ---------------------------------------------------------------- V18
 @register(
     "v18_carrier_network",
     W(si.FLIGHTS_SQL, si.AIRPORTS_SQL)
-    + ", r AS (SELECT origin, dest, count(*) AS n FROM flights WHERE year = 1997 GROUP BY origin, dest HAVING count(*) > 15) "
+    + ", r AS (SELECT origin, dest, count(*) AS n FROM flights WHERE year = 1997 AND uniquecarrier = 'Brand#23' GROUP BY origin, dest HAVING count(*) > 1) "
     f"SELECT {i8('r.origin')} AS origin, {i8('r.dest')} AS dest, r.n, {i8('floor(r.n / (SELECT max(n) FROM r) * 100 + 0.5)')} AS colour, "
     f"{r4('o.lat')} AS lat1, {r4('o.lon')} AS lon1, {r4('t.lat')} AS lat2, {r4('t.lon')} AS lon2 "
     "FROM r JOIN airports o ON r.origin = o.faa JOIN airports t ON r.dest = t.faa",
 )
 def v18_carrier_network(spark, d):
-    """Busy routes of 1997 with a colour index and end coordinates."""
+    """Busy routes of one carrier in 1997 with a colour index and end coordinates."""
     from lodestar.plans import jobs
 
-    return jobs.carrier_network(si.flights(spark, d), si.airports(spark, d), 1997, 15)
+    return jobs.carrier_network(si.flights(spark, d), si.airports(spark, d), 1997, "Brand#23", 1)
 
 
 # ---------------------------------------------------------------- V19
@@ -963,7 +964,7 @@ def v18_carrier_network(spark, d):
     "v19_tail_profile",
     W(si.FLIGHTS_SQL)
     + f"SELECT {i8('tailnum')} AS tailnum, count(*) AS n, {r4('avg(distance)')} AS dist, {r4('avg(arrdelay)')} AS delay, "
-    f"{r4('avg(depdelay)')} AS depdelay FROM flights GROUP BY tailnum HAVING count(*) > 20 AND avg(distance) < 950",
+    f"{r4('avg(depdelay)')} AS depdelay FROM flights GROUP BY tailnum HAVING count(*) > 20 AND avg(distance) < 950 AND avg(arrdelay) IS NOT NULL",
 )
 def v19_tail_profile(spark, d):
     """Aircraft with over 20 flights and mean distance under 950."""
@@ -1055,13 +1056,13 @@ def v25_trips_by_year(spark, d):
 @register(
     "v26_param_mean",
     W(si.TRIPS_SQL)
-    + f"SELECT vendor_id, count(*) AS n, {r4('avg(fare_amount)')} AS mean_fare FROM trips WHERE passenger_count = 3 GROUP BY vendor_id",
+    + f"SELECT {r4('avg(fare_amount)')} AS fare_amount FROM trips WHERE hour(pickup_datetime) = 0",
 )
 def v26_param_mean(spark, d):
-    """Mean fare per vendor for a passenger count given at run time."""
+    """Mean fare of one hour of day given at run time."""
     from lodestar.plans import jobs
 
-    return jobs.mean_fare_for(si.trips(spark, d), 3)
+    return jobs.mean_fare_at(si.trips(spark, d), 0)
 
 
 # ================================================================ models
@@ -1654,12 +1655,13 @@ def v10_profile_regroup(spark, d):
 
 @register(
     "v16_route_lookup",
-    W(si.FLIGHTS_SQL)
-    + ", g AS (SELECT origin, dest, uniquecarrier, distance, depdelay, arrdelay, depdelay - arrdelay AS gain FROM flights), "
+    W(si.FLIGHTS_SQL, si.AIRLINES_SQL)
+    + ", g AS (SELECT origin, dest, uniquecarrier AS carrier, description AS airline, distance, depdelay, arrdelay, depdelay - arrdelay AS gain "
+    "FROM flights LEFT JOIN airlines ON uniquecarrier = code), "
     "fit AS (SELECT regr_slope(gain, depdelay) AS b, regr_intercept(gain, depdelay) AS a FROM g) "
-    f"SELECT {i8('origin')} AS origin, {i8('dest')} AS dest, uniquecarrier, count(*) AS flights, {r4('avg(distance)')} AS distance, "
+    f"SELECT {i8('origin')} AS origin, {i8('dest')} AS dest, carrier, airline, count(*) AS flights, {r4('avg(distance)')} AS distance, "
     f"{r4('avg(depdelay)')} AS avg_dep_delay, {r4('avg(arrdelay)')} AS avg_arr_delay, {r4('avg(gain)')} AS avg_gain, "
-    f"{r4('avg(fit.a + fit.b * depdelay)')} AS pred_gain FROM g, fit GROUP BY origin, dest, uniquecarrier",
+    f"{r4('avg(fit.a + fit.b * depdelay)')} AS pred_gain FROM g, fit GROUP BY origin, dest, carrier, airline",
 )
 def v16_route_lookup(spark, d):
     """Scored flights rolled up by route and carrier, the table served to point lookups."""
@@ -1668,7 +1670,7 @@ def v16_route_lookup(spark, d):
 
     g = si.flights(spark, d).withColumn("gain", F.col("depdelay") - F.col("arrdelay"))
     m = models.fit_regressor(g.select("gain", "depdelay"), "gain ~ depdelay", "linear")
-    return jobs.route_summary(m.transform(g))
+    return jobs.route_summary(joins.lookup_join(m.transform(g), si.airlines(spark, d), {"uniquecarrier": "code"}))
 
 
 @register(
@@ -1713,3 +1715,125 @@ def a28_density(spark, d):
 def a26_pairwise_p(spark, d):
     """Pairwise t tests of delay between carriers with p values and Holm adjustment."""
     return rollups.pairwise_t_tests(si.flights(spark, d), "uniquecarrier", "depdelay")
+
+# ------------------------------------------------- trips by origin and destination
+_OD_MEASURES = (
+    f"count(*) AS n, {r4('avg(trip_time)')} AS trip_time_mean, {r4('quantile_cont(trip_time, 0.25)')} AS trip_time_p25, "
+    f"{r4('quantile_cont(trip_time, 0.5)')} AS trip_time_p50, {r4('quantile_cont(trip_time, 0.75)')} AS trip_time_p75, "
+    f"{r4('avg(trip_distance)')} AS trip_dist_mean, {r4('stddev_samp(trip_distance)')} AS trip_dist_sd, "
+    f"{r4('avg(pickup_latitude)')} AS pickup_latitude, {r4('avg(pickup_longitude)')} AS pickup_longitude, "
+    f"{r4('avg(passenger_count)')} AS passenger_mean, {i8('count(*) FILTER (cab_type_id = \'A\')')} AS yellow_count, "
+    f"{i8('count(*) FILTER (cab_type_id = \'R\')')} AS green_count, {i8('count(*) FILTER (cab_type_id = \'N\')')} AS uber_count, "
+    f"{r4('avg(fare_amount)')} AS fare_amount, {r4('avg(tip_amount)')} AS tip_amount"
+)
+_OD_ENDS = f"{r4('avg(dropoff_latitude)')} AS dropoff_latitude, {r4('avg(dropoff_longitude)')} AS dropoff_longitude"
+_OD_SQL = (
+    ", t AS (SELECT *, hour(pickup_datetime) AS pickup_hour, floor(epoch(dropoff_datetime)) - floor(epoch(pickup_datetime)) AS trip_time "
+    "FROM trips WHERE pickup_gid IS NOT NULL) "
+)
+
+
+@register(
+    "v13_od_rollups",
+    W(si.TRIPS_SQL)
+    + _OD_SQL
+    + f"SELECT 'od_hour' AS grain, {i8('pickup_gid')} AS pickup_gid, {i8('dropoff_gid')} AS dropoff_gid, {i8('pickup_hour')} AS pickup_hour, {_OD_MEASURES}, {_OD_ENDS} "
+    "FROM t WHERE dropoff_gid IS NOT NULL GROUP BY pickup_gid, dropoff_gid, pickup_hour "
+    f"UNION ALL SELECT 'od', {i8('pickup_gid')}, {i8('dropoff_gid')}, NULL, {_OD_MEASURES}, {_OD_ENDS} "
+    "FROM t WHERE dropoff_gid IS NOT NULL GROUP BY pickup_gid, dropoff_gid "
+    f"UNION ALL SELECT 'origin', {i8('pickup_gid')}, NULL, NULL, {_OD_MEASURES}, NULL, NULL FROM t GROUP BY pickup_gid",
+)
+def v13_od_rollups(spark, d):
+    """Seventeen trip measures by origin-destination-hour, origin-destination and origin."""
+    from lodestar.plans import jobs
+
+    return jobs.od_rollups(si.trips(spark, d))
+
+
+@register(
+    "v09_od_profile",
+    W(si.TRIPS_SQL)
+    + _OD_SQL
+    + f"SELECT {i8('pickup_hour')} AS pickup_hour, count(*) AS n, {r4('avg(trip_time)')} AS trip_time_mean, "
+    + ", ".join(f"{r4(f'quantile_cont(trip_time, 0.{p})')} AS trip_time_p{p}" for p in (10, 25, 50, 75, 90))
+    + " FROM t WHERE pickup_gid = 3 AND dropoff_gid = 7 GROUP BY pickup_hour",
+)
+def v09_od_profile(spark, d):
+    """Trip time of one origin-destination pair by hour: n, mean, five percentiles."""
+    from lodestar.plans import jobs
+
+    return jobs.od_trip_profile(si.trips(spark, d), 3, 7)
+
+
+@register(
+    "v24_tips_by_payment",
+    W(si.TRIPS_SQL)
+    + f"SELECT payment_type, count(*) AS n, {r4('avg(tip_amount)')} AS tip_amount, {r4('avg(fare_amount)')} AS fare_amount, "
+    f"{r4('avg(tip_amount) / avg(fare_amount)')} AS tip_percent FROM trips WHERE tip_amount > 0 AND tip_amount < 2500 GROUP BY payment_type",
+)
+def v24_tips_by_payment(spark, d):
+    """Tips by payment type within an open range of tips, with the number of trips."""
+    from lodestar.plans import jobs
+
+    return jobs.tips_by_payment(si.trips(spark, d), (0, 2500))
+
+
+# ------------------------------------------------------------- NULL group keys
+_NULL_KEY = f", g AS (SELECT {i8('label')} AS label, CAST(n_chars AS DOUBLE) AS n_chars, doc_id FROM titanic) "
+
+
+def _null_key(spark, d):
+    return si.titanic(spark, d).select(F.col("label").cast("long").alias("label"), F.col("n_chars").cast("double").alias("n_chars"), "doc_id")
+
+
+@register("w03_rank_null_key", W(si.TITANIC_SQL) + _NULL_KEY + f"SELECT doc_id, label, rank() OVER (PARTITION BY label ORDER BY n_chars DESC) AS rank FROM g")
+def w03_rank_null_key(spark, d):
+    """Rank within groups, one of which has a NULL key."""
+    return windows.rank_within(_null_key(spark, d), "n_chars", "label").select("doc_id", "label", "rank")
+
+
+@register(
+    "w04_extremes_null_key",
+    W(si.TITANIC_SQL) + _NULL_KEY + f"SELECT doc_id, label, {r4('n_chars')} AS n_chars FROM g QUALIFY n_chars = min(n_chars) OVER (PARTITION BY label) OR n_chars = max(n_chars) OVER (PARTITION BY label)",
+)
+def w04_extremes_null_key(spark, d):
+    """Rows at their group's least or largest value, one group with a NULL key."""
+    return windows.extremes(_null_key(spark, d), "n_chars", "label").select("doc_id", "label", "n_chars")
+
+
+@register("w05_ntile_null_key", W(si.TITANIC_SQL) + _NULL_KEY + "SELECT doc_id, label, ntile(7) OVER (PARTITION BY label ORDER BY n_chars, doc_id) AS tile FROM g")
+def w05_ntile_null_key(spark, d):
+    """Tiles within groups, one of which has a NULL key."""
+    return windows.ntile(_null_key(spark, d), 7, [F.col("n_chars"), F.col("doc_id")], by="label").select("doc_id", "label", "tile")
+
+
+@register(
+    "v09_profile_null_key",
+    W(si.TITANIC_SQL) + _NULL_KEY + f"SELECT label, count(*) AS n, {r4('avg(n_chars)')} AS mean, {r4('quantile_cont(n_chars, 0.1)')} AS p10, {r4('quantile_cont(n_chars, 0.5)')} AS p50, {r4('quantile_cont(n_chars, 0.9)')} AS p90 FROM g GROUP BY label",
+)
+def v09_profile_null_key(spark, d):
+    """Distributed exact percentiles per group, one group with a NULL key."""
+    return rollups.profile(_null_key(spark, d), "label", "n_chars", (0.1, 0.5, 0.9), method="distributed")
+
+
+@register(
+    "a25_box_null_key",
+    W(si.TITANIC_SQL)
+    + _NULL_KEY
+    + ", q AS (SELECT label, quantile_cont(n_chars, 0.25) AS q1, quantile_cont(n_chars, 0.75) AS q3 FROM g GROUP BY label) "
+    f"SELECT g.label, count(*) AS n, {r4('min(q1)')} AS q1, {r4('min(q3)')} AS q3, "
+    f"{i8('count(*) FILTER (n_chars < q1 - 1.5 * (q3 - q1) OR n_chars > q3 + 1.5 * (q3 - q1))')} AS n_outliers "
+    "FROM g JOIN q ON g.label IS NOT DISTINCT FROM q.label GROUP BY g.label",
+)
+def a25_box_null_key(spark, d):
+    """Box statistics per group, one group with a NULL key."""
+    return rollups.box_stats(_null_key(spark, d), "label", "n_chars").select("label", "n", "q1", "q3", "n_outliers")
+
+
+@register(
+    "w07_cumulative_null",
+    W(si.TITANIC_SQL) + _NULL_KEY + f"SELECT doc_id, {i8('sum(label) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING)')} AS cum FROM g",
+)
+def w07_cumulative_null(spark, d):
+    """Running sum over rows of which many are NULL."""
+    return windows.cumulative_sum(_null_key(spark, d), [F.col("doc_id")], "label", "cum").select("doc_id", "cum")

@@ -12,12 +12,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.defaults import TOP_DESTINATIONS, TOP_NAMES_RANK_BELOW
+from lodestar.defaults import (
+    GAIN_ARRIVAL_DELAY,
+    GAIN_DEPARTURE_DELAY,
+    GAIN_YEARS,
+    NETWORK_MIN_FLIGHTS,
+    PROFILE_PROBABILITIES,
+    TAIL_MAX_DISTANCE,
+    TAIL_MIN_FLIGHTS,
+    TIP_RANGE,
+    TOP_DESTINATIONS,
+    TOP_NAMES_RANK_BELOW,
+    VERSION_PREFIX,
+)
 from lodestar.functions import scalar as fx
 from lodestar.operators import geo, joins, rollups, verbs, windows
+from lodestar.session import reliable_checkpoint
 
 PAY_DOMAIN = {"credit": ["1-URGENT", "2-HIGH"], "cash": ["3-MEDIUM"]}
 CAB_TYPES = {"A": "yellow", "R": "green"}
+UBER = "N"
 
 
 def top_destinations(trips: DataFrame, k: int = TOP_DESTINATIONS, origin: str = "pickup_gid", dest: str = "dropoff_gid") -> DataFrame:
@@ -65,19 +79,26 @@ def trip_enrichment(trips: DataFrame, areas: DataFrame) -> DataFrame:
 
 
 def gain_model_data(
-    flights: DataFrame, airlines: DataFrame, delay_range=(15, 240), years=(2003, 2007)
+    flights: DataFrame,
+    airlines: DataFrame,
+    delay_range=GAIN_DEPARTURE_DELAY,
+    years=GAIN_YEARS,
+    arrival_range=GAIN_ARRIVAL_DELAY,
 ) -> DataFrame:
-    """Null filter, strict delay range, closed year range, carrier description, gain."""
-    f = verbs.drop_missing(flights, ["depdelay", "arrdelay"])
+    """Null filter, strict delay ranges, closed year range, carrier description, gain."""
+    f = verbs.drop_missing(flights, ["depdelay", "arrdelay", "distance"])
     f = verbs.where_all(
-        f, fx.strict_between("depdelay", *delay_range), F.col("year").between(*years)
+        f,
+        fx.strict_between("depdelay", *delay_range),
+        fx.strict_between("arrdelay", *arrival_range),
+        F.col("year").between(*years),
     )
     f = joins.lookup_join(f, airlines, {"uniquecarrier": "code"}, how="left")
     return f.withColumn("gain", F.col("depdelay") - F.col("arrdelay"))
 
 
 def carrier_summary(gain_data: DataFrame) -> DataFrame:
-    """Per carrier: flights, mean delays and gain, description (V15); sorted by gain."""
+    """Per carrier: flights, mean delays, distance and gain, description (V15); sorted by gain."""
     return rollups.summarize(
         gain_data, "uniquecarrier",
         {
@@ -85,15 +106,17 @@ def carrier_summary(gain_data: DataFrame) -> DataFrame:
             "mean_depdelay": F.avg("depdelay"),
             "mean_arrdelay": F.avg("arrdelay"),
             "mean_gain": F.avg("gain"),
+            "mean_distance": F.avg("distance"),
             "description": F.min("description"),
         },
     ).orderBy("mean_gain")
 
 
 def route_summary(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
-    """Scored flights rolled up by origin, destination and carrier."""
+    """Scored flights rolled up by origin, destination, carrier and its description."""
+    scored = scored.withColumnsRenamed({"uniquecarrier": "carrier", "description": "airline"})
     return rollups.summarize(
-        scored, ["origin", "dest", "uniquecarrier"],
+        scored, ["origin", "dest", "carrier", "airline"],
         {
             "flights": F.count(F.lit(1)),
             "distance": F.avg("distance"),
@@ -105,27 +128,27 @@ def route_summary(scored: DataFrame, prediction: str = "prediction") -> DataFram
     )
 
 
-def great_circle_routes(flights: DataFrame, airports: DataFrame, min_flights: int = 100, n: int = 10) -> DataFrame:
-    """Great-circle paths of every route with more than ``min_flights`` flights."""
-    routes = rollups.group_count(flights, ["origin", "dest"]).where(F.col("n") > min_flights)
+def great_circle_routes(flights: DataFrame, airports: DataFrame, n: int = 10) -> DataFrame:
+    """Great-circle paths of every route."""
+    routes = flights.select("origin", "dest").distinct()
     ends = geo.route_ends(routes, airports, "origin", "dest", "faa")
     return geo.great_circle_points(ends, n).select("origin", "dest", "step", "lat", "lon")
 
 
-def carrier_network(flights: DataFrame, airports: DataFrame, year: int, min_flights: int = 200) -> DataFrame:
-    """Routes of one year with more than ``min_flights`` flights, a colour index
-    ``round(n / max(n) * 100)`` and both end coordinates (V18)."""
-    routes = rollups.group_count(flights.where(F.col("year") == year), ["origin", "dest"]).where(
-        F.col("n") > min_flights
-    )
+def carrier_network(flights: DataFrame, airports: DataFrame, year: int, carrier: str, min_flights: int = NETWORK_MIN_FLIGHTS) -> DataFrame:
+    """Routes of one carrier in one year with more than ``min_flights`` flights, a colour
+    index ``round(n / max(n) * 100)`` and both end coordinates, sorted by flights (V18)."""
+    chosen = flights.where((F.col("year") == year) & (F.col("uniquecarrier") == carrier))
+    # a small table that is read twice (rows and largest count): kept
+    routes = reliable_checkpoint(rollups.group_count(chosen, ["origin", "dest"]).where(F.col("n") > min_flights))
     routes = routes.withColumn(
         "colour", fx.round_half_up(F.col("n") / fx.scalar_of(routes, F.max("n")) * F.lit(100), 0)
     )
-    return geo.route_ends(routes, airports, "origin", "dest", "faa")
+    return geo.route_ends(routes, airports, "origin", "dest", "faa").orderBy("n", "origin", "dest")
 
 
-def tail_profile(flights: DataFrame, min_flights: int = 20, max_distance: float = 2000) -> DataFrame:
-    """Per aircraft: flights, mean distance and delays; busy, short-haul ones only."""
+def tail_profile(flights: DataFrame, min_flights: int = TAIL_MIN_FLIGHTS, max_distance: float = TAIL_MAX_DISTANCE) -> DataFrame:
+    """Per aircraft: flights, mean distance and delays; busy, short-haul ones with a known delay only."""
     return rollups.summarize(
         flights, "tailnum",
         {
@@ -134,7 +157,7 @@ def tail_profile(flights: DataFrame, min_flights: int = 20, max_distance: float
             "delay": F.avg("arrdelay"),
             "depdelay": F.avg("depdelay"),
         },
-    ).where((F.col("n") > min_flights) & (F.col("dist") < max_distance))
+    ).where((F.col("n") > min_flights) & (F.col("dist") < max_distance) & F.col("delay").isNotNull())
 
 
 def top_names_trend(names: DataFrame, year: int, k: int = TOP_NAMES_RANK_BELOW - 1) -> DataFrame:
@@ -171,7 +194,7 @@ def daily_series(
     table from one scan (V23, F12, F16, A17, A18).  NULL flags count in the total only;
     versions are relabelled ``^0`` -> ``v0``."""
     r = relays.where(F.col("date") >= F.to_date(F.lit(since)))
-    r = r.withColumn("version", F.regexp_replace("version", "^0", "v0"))
+    r = r.withColumn("version", F.regexp_replace("version", *VERSION_PREFIX))
     cols = [F.sum("relays").alias("total")]
     cols += [F.sum(F.when(F.col("platform") == p, F.col("relays"))).alias(p) for p in platforms]
     cols += [F.sum(F.when(F.col("flag") == f, F.col("relays"))).alias(f"flag_{f}") for f in flags]
@@ -187,12 +210,54 @@ def trips_by_year(trips: DataFrame) -> DataFrame:
     return rollups.group_count(trips, F.year("pickup_datetime").alias("year"))
 
 
-def mean_fare_for(trips: DataFrame, passengers: int) -> DataFrame:
-    """Mean fare per vendor for one passenger count chosen at run time."""
-    return rollups.summarize(
-        trips.where(F.col("passenger_count") == F.lit(passengers)), "vendor_id",
-        {"n": F.count(F.lit(1)), "mean_fare": F.avg("fare_amount")},
+def mean_fare_at(trips: DataFrame, hour: int) -> DataFrame:
+    """Mean fare of the trips picked up in one hour of day chosen at run time."""
+    return rollups.summarize(trips.where(F.hour("pickup_datetime") == F.lit(hour)), None, {"fare_amount": F.avg("fare_amount")})
+
+
+def tips_by_payment(trips: DataFrame, tip_range=TIP_RANGE) -> DataFrame:
+    """Per payment type: trips, mean tip and fare and their ratio, tips strictly within a range."""
+    means = rollups.summarize(
+        trips.where(fx.strict_between("tip_amount", *tip_range)), "payment_type",
+        {"n": F.count(F.lit(1)), "tip_amount": F.avg("tip_amount"), "fare_amount": F.avg("fare_amount")},
+    )
+    return means.withColumn("tip_percent", F.try_divide("tip_amount", "fare_amount"))
+
+
+def od_rollups(trips: DataFrame, origin: str = "pickup_gid", dest: str = "dropoff_gid") -> DataFrame:
+    """Seventeen measures at the grains origin-destination-hour, origin-destination and origin, in one scan.
+
+    Trips without a destination count at the origin grain only; there the
+    destination's coordinates have no meaning and are NULL.
+    """
+    t = trips.where(F.col(origin).isNotNull()).withColumns(
+        {"pickup_hour": F.hour("pickup_datetime"), "trip_time": fx.seconds_between("pickup_datetime", "dropoff_datetime")}
     )
+    measures = {
+        "n": F.count(F.lit(1)),
+        "trip_time_mean": F.avg("trip_time"),
+        **{f"trip_time_p{int(p * 100)}": F.percentile("trip_time", p) for p in (0.25, 0.5, 0.75)},
+        "trip_dist_mean": F.avg("trip_distance"),
+        "trip_dist_sd": F.stddev_samp("trip_distance"),
+        **{c: F.avg(c) for c in ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")},
+        "passenger_mean": F.avg("passenger_count"),
+        **{f"{cab}_count": F.sum(F.when(F.col("cab_type_id") == code, 1).otherwise(0)) for code, cab in CAB_TYPES.items()},
+        "uber_count": F.sum(F.when(F.col("cab_type_id") == UBER, 1).otherwise(0)),
+        "fare_amount": F.avg("fare_amount"),
+        "tip_amount": F.avg("tip_amount"),
+    }
+    grains = {"od_hour": [origin, dest, "pickup_hour"], "od": [origin, dest], "origin": [origin]}
+    out = rollups.grain_rollup(t, grains, measures)
+    at_origin = F.col("grain") == "origin"
+    out = out.where(at_origin | F.col(dest).isNotNull())
+    return out.withColumns({c: F.when(~at_origin, F.col(c)) for c in ("dropoff_latitude", "dropoff_longitude")})
+
+
+def od_trip_profile(trips: DataFrame, origin: int, dest: int, probs: Sequence[float] = PROFILE_PROBABILITIES) -> DataFrame:
+    """Trip time of one origin-destination pair by hour of pickup: n, mean, percentiles."""
+    chosen = trips.where((F.col("pickup_gid") == origin) & (F.col("dropoff_gid") == dest))
+    out = rollups.profile(chosen, F.hour("pickup_datetime").alias("pickup_hour"), fx.seconds_between("pickup_datetime", "dropoff_datetime"), probs)
+    return out.withColumnsRenamed({c: f"trip_time_{c}" for c in out.columns if c not in ("pickup_hour", "n")})
 
 
 def save_route_lookup(summary: DataFrame, table: str, buckets: int = 64) -> None:
@@ -209,5 +274,5 @@ def serve_route(spark, table: str, origin, dest=None, carrier: str | None = None
     if dest is not None:
         t = t.where(F.col("dest") == F.lit(dest))
     if carrier is not None:
-        t = t.where(F.col("uniquecarrier") == F.lit(carrier))
+        t = t.where(F.col("carrier") == F.lit(carrier))
     return t

@@ -15,13 +15,10 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def upload(spark: SparkSession, rows, schema, name: str | None = None, max_rows: int = 100_000) -> DataFrame:
-    """Small local lookup to a DataFrame (+ view) (S10).  Large data should be
-    read by Spark from storage, so the row count is bounded."""
-    rows = list(rows)
-    if len(rows) > max_rows:
-        raise ValueError(f"upload is for lookups of at most {max_rows} rows")
-    df = spark.createDataFrame(rows, schema)
+def upload(spark: SparkSession, rows, schema, name: str | None = None) -> DataFrame:
+    """Local rows to a DataFrame (+ view) (S10).  The rows are held by the
+    driver; large data should be read by Spark from storage."""
+    df = spark.createDataFrame(list(rows), schema)
     if name:
         df.createOrReplaceTempView(name)
     return df
@@ -34,10 +31,9 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 
 def cache_table(spark: SparkSession, name: str, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Cache a named table (S12); memory and disk so eviction spills, not recomputes."""
-    df = spark.table(name).persist(level)
-    df.createOrReplaceTempView(name)
-    return df
+    """Cache a table or view by name, qualified or not (S12); memory and disk so eviction spills, not recomputes."""
+    spark.catalog.cacheTable(name, level)
+    return spark.table(name)
 
 
 def materialise(df: DataFrame, name: str | None = None) -> DataFrame:

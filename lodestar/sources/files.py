@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # R readr column codes used by typed CSV reads
@@ -23,20 +24,6 @@ COL_CODES = {
 }
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster when it yields fewer partitions than cores.
-
-    A file written as one row group (or one gzip / bz2 stream) is read by a
-    single task, and every operator pipelined after the scan inherits that.
-    A round-robin repartition restores parallelism; on real inputs with
-    many splits this is a no-op and adds no shuffle.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 def read_parquet(spark: SparkSession, path: str, name: str | None = None, cache: bool = False) -> DataFrame:
     """Parquet scan, optionally registered under ``name`` and cached."""
     df = spark.read.parquet(path)
@@ -112,12 +99,12 @@ def land_csv_as_parquet(
 ) -> DataFrame:
     """Convert a CSV fact table to Parquet once, partitioned for pruning.
 
-    Rows are clustered by the partition columns before the write so each
-    task writes few files per partition value; later year filters prune
-    whole folders.
+    Rows are gathered by the partition columns before the write so each task
+    writes few files per partition value, and a value with many rows is split
+    over several tasks by size; later year filters prune whole folders.
     """
     df = read_csv(spark, csv_path, schema, header=header)
     if partition_by:
-        df = df.repartition(*partition_by)
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     write_parquet(df, parquet_path, "overwrite", list(partition_by) or None)
     return spark.read.parquet(parquet_path)

@@ -58,7 +58,7 @@ def test_distributed_ntile_equals_window(spark, n, tiles, parts):
 
 def test_cumulative_sum_distributed_path(spark):
     df = spark.range(5000).withColumn("v", F.col("id") % 13)
-    got = windows.cumulative_sum(df, [F.col("id")], "v", "cum", small_rows=100, partitions=6)
+    got = windows.cumulative_sum(df, [F.col("id")], "v", "cum", partitions=6)
     ref = df.withColumn("cum", F.sum("v").over(Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)))
     assert _rows(got, "id", "cum") == _rows(ref, "id", "cum")
 
@@ -110,13 +110,12 @@ def test_auc_matches_spark_evaluator(spark):
 
 @settings(max_examples=10, deadline=None)
 @given(
-    st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 40).map(lambda x: x / 4))), max_size=80),
-    st.sampled_from([1, 2, 8, 1024]),
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(-5, 40).map(lambda x: x / 4), st.just(1e6))), max_size=80)
 )
-def test_distributed_percentiles_equal_builtin(spark, data, buckets):
+def test_distributed_percentiles_equal_builtin(spark, data):
     df = spark.createDataFrame(data, "g long, v double") if data else spark.createDataFrame([], "g long, v double")
     probs = (0.0, 0.1, 0.5, 0.9, 1.0)
-    got = rollups.percentile_table(df, "g", "v", probs, buckets=buckets)
+    got = rollups.percentile_table(df, "g", "v", probs)
     ref = df.groupBy("g").agg(*[F.percentile("v", p).alias(f"p{int(p * 100):02d}") for p in probs])
     a = {r["g"]: tuple(r)[1:] for r in got.collect()}
     b = {r["g"]: tuple(r)[1:] for r in ref.collect()}

@@ -119,6 +119,7 @@ def test_route_lookup_is_served_from_one_bucket(spark):
     from lodestar.plans import standins as si
 
     g = si.flights(spark, SF_SMALL).withColumn("gain", F.col("depdelay") - F.col("arrdelay")).withColumn("prediction", F.col("gain") * 0.5)
+    g = g.withColumn("description", F.concat(F.lit("Carrier "), "uniquecarrier"))
     summary = jobs.route_summary(g)
     jobs.save_route_lookup(summary, "route_lookup", buckets=16)
     import io
