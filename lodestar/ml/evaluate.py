@@ -62,6 +62,8 @@ def lift_table(df: DataFrame, score: str, label: str, tie_break: str | None = No
 
     ``ntile(desc(score))`` is numbered globally (distributed form); per bin the
     positives are summed, turned into shares of all positives and accumulated.
+    ``tie_break`` should be a row key: then equal scores are in an order that
+    does not depend on the label, and spread over the range partitions.
     """
     order = [F.col(score).desc_nulls_last(), F.col(tie_break or label).asc_nulls_last()]
     tiles = windows.ntile(df.select(score, label, *([tie_break] if tie_break else [])), bins, order, "bin")

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.defaults import BOOSTING_DEPTH, BOOSTING_ROUNDS
 from lodestar.ml.features import formula
 
 CLASSIFIERS = {
@@ -165,9 +166,12 @@ def pca(df: DataFrame, features: str, k: int):
     return model, table
 
 
-def one_vs_rest_gbt(df: DataFrame, features: str, label: str, step: float = 0.1, col_rate: str = "0.7", seed: int = 42):
+def one_vs_rest_gbt(
+    df: DataFrame, features: str, label: str, step: float = 0.1, col_rate: str = "0.7", seed: int = 42,
+    rounds: int = BOOSTING_ROUNDS, depth: int = BOOSTING_DEPTH,
+):
     """Multi-class boosted trees: one binary GBT per class."""
-    gbt = GBTClassifier(stepSize=step, featureSubsetStrategy=col_rate, seed=seed, maxIter=10)
+    gbt = GBTClassifier(stepSize=step, featureSubsetStrategy=col_rate, seed=seed, maxIter=rounds, maxDepth=depth)
     return OneVsRest(classifier=gbt, featuresCol=features, labelCol=label).fit(df)
 
 

@@ -1211,7 +1211,7 @@ def m17_importance(spark, d):
     "m18_lift",
     W(si.TITANIC_SQL)
     + _LABELLED_SQL
-    + ", t AS (SELECT label, ntile(10) OVER (ORDER BY n_chars DESC, label) AS bin FROM lab), "
+    + ", t AS (SELECT label, ntile(10) OVER (ORDER BY n_chars DESC, doc_id) AS bin FROM lab), "
     "g AS (SELECT bin, sum(CAST(label AS DOUBLE)) AS cnt FROM t GROUP BY bin), "
     "s AS (SELECT bin, cnt, cnt / (SELECT sum(cnt) FROM g) AS share FROM g) "
     f"SELECT {i8('bin')} AS bin, {r4('cnt')} AS count, {r4('sum(share) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS prop FROM s",
@@ -1220,7 +1220,7 @@ def m18_lift(spark, d):
     """Cumulative gains by decile of a score column."""
     from lodestar.ml import evaluate
 
-    return evaluate.lift_table(_labelled(spark, d), "n_chars", "label")
+    return evaluate.lift_table(_labelled(spark, d), "n_chars", "label", "doc_id")
 
 
 _M19_SQL = (
@@ -1837,3 +1837,105 @@ def a25_box_null_key(spark, d):
 def w07_cumulative_null(spark, d):
     """Running sum over rows of which many are NULL."""
     return windows.cumulative_sum(_null_key(spark, d), [F.col("doc_id")], "label", "cum").select("doc_id", "cum")
+
+
+# ------------------------------------------------------------- sources and sinks
+_ORDERS = (
+    f"SELECT {i8('o_orderkey')} AS o_orderkey, {i8('o_custkey')} AS o_custkey, o_orderstatus, {r4('o_totalprice')} AS o_totalprice, "
+    f"{day_text('o_orderdate')} AS day, {i8('year(o_orderdate)')} AS year FROM orders"
+)
+_ORDERS_SCHEMA = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, day date, year int"
+
+
+def _orders(spark, d):
+    return si.table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("day"), F.year("o_orderdate").alias("year")
+    )
+
+
+def _written(spark) -> str:
+    """A folder of its own under the shared checkpoint folder."""
+    import uuid
+
+    from lodestar.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+
+
+@register("s01_parquet", _ORDERS)
+def s01_parquet(spark, d):
+    """Orders written as Parquet and read back under a name."""
+    from lodestar.sources import files
+
+    path = _written(spark)
+    files.write_parquet(_orders(spark, d), path)
+    return files.read_parquet(spark, path)
+
+
+@register("s02_csv", _ORDERS)
+def s02_csv(spark, d):
+    """Orders written as CSV with a header and read back with a declared schema."""
+    from lodestar.sources import files
+
+    path = _written(spark)
+    files.write_csv(_orders(spark, d), path)
+    return files.read_csv(spark, path, _ORDERS_SCHEMA)
+
+
+@register("s03_json", _ORDERS)
+def s03_json(spark, d):
+    """Orders written as JSON lines and read back with a declared schema."""
+    from lodestar.sources import files
+
+    path = _written(spark)
+    files.write_json(_orders(spark, d), path)
+    return files.read_json(spark, path, _ORDERS_SCHEMA)
+
+
+@register("s08_landing", _ORDERS + " WHERE year(o_orderdate) = 1996")
+def s08_landing(spark, d):
+    """A CSV fact table landed as Parquet by year, one year read back."""
+    from lodestar.sources import files
+
+    path = _written(spark)
+    files.write_csv(_orders(spark, d), path)
+    return files.land_csv_as_parquet(spark, path, f"{path}-landed", _ORDERS_SCHEMA, ["year"]).where(F.col("year") == 1996)
+
+
+@register("s27_typed_codes", _ORDERS)
+def s27_typed_codes(spark, d):
+    """CSV read by one-letter column types."""
+    from lodestar.sources import files
+
+    path = _written(spark)
+    files.write_csv(_orders(spark, d), path)
+    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "day", "year"]
+    return files.read_csv(spark, path, files.schema_from_codes(names, "iicdDi"))
+
+
+@register("s14_bucketed_table", _ORDERS + " WHERE o_custkey % 2 = 0")
+def s14_bucketed_table(spark, d):
+    """Orders saved as a table in buckets of the customer key, cached by its qualified name and read back."""
+    import uuid
+
+    from lodestar.sources import catalog
+
+    name = f"default.orders_{uuid.uuid4().hex}"
+    catalog.save_table(_orders(spark, d), name, bucket_by=(8, ["o_custkey"]), sort_by=["o_custkey"])
+    return catalog.cache_table(spark, name).where(F.col("o_custkey") % 2 == 0)
+
+
+@register(
+    "s16_sql_parameters",
+    f"SELECT o_orderstatus, count(*) AS n, {r4('sum(o_totalprice)')} AS total FROM orders WHERE year(o_orderdate) = 1997 AND o_totalprice > 1000 GROUP BY o_orderstatus",
+)
+def s16_sql_parameters(spark, d):
+    """SQL with bound parameters over a registered view."""
+    import uuid
+
+    from lodestar.sources import catalog
+
+    name = f"orders_{uuid.uuid4().hex}"
+    catalog.register(_orders(spark, d), name)
+    text = f"SELECT o_orderstatus, count(*) AS n, sum(o_totalprice) AS total FROM {name} WHERE year = :year AND o_totalprice > :least GROUP BY o_orderstatus"
+    return catalog.sql(spark, text, {"year": 1997, "least": 1000})

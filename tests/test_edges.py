@@ -168,3 +168,41 @@ def test_pairwise_t_tests_holm(spark):
     holm = sorted(r["p_holm"] for r in rows)
     assert len(rows) == 3 and all(0 <= p <= 1 for p in ps)
     assert holm[0] == pytest.approx(min(1.0, 3 * ps[0]))
+
+
+def test_small_weights_get_their_rows(spark):
+    df = spark.range(400_000)
+    parts = verbs.hash_split(df, {"most": 0.9999, "few": 0.0001}, "id")
+    few = parts["few"].count()
+    assert 10 <= few <= 80 and few + parts["most"].count() == 400_000
+    assert verbs.hash_split(df, {"a": 1, "none": 0}, "id")["none"].count() == 0
+
+
+def test_brush_with_open_sides(spark):
+    df = spark.createDataFrame([(x, y) for x in range(5) for y in range(5)], "x int, y int")
+    assert verbs.brush(df, "x", "y").count() == 25
+    assert verbs.brush(df, "x", "y", xmin=3).count() == 10
+    assert verbs.brush(df, "x", "y", xmin=1, xmax=2, ymax=0).count() == 2
+
+
+def test_halves_round_away_from_zero(spark):
+    df = spark.createDataFrame([(-2.5,), (2.5,), (-0.5,), (0.5,), (None,)], "x double")
+    assert [r[0] for r in df.select(fx.round_half_up("x")).collect()] == [-3, 3, -1, 1, None]
+
+
+def test_rank_of_dates_and_texts_with_a_null_group(spark):
+    rows = [("a", "x", "2020-01-02"), ("a", "y", "2020-01-01"), (None, "x", "2020-01-03"), (None, "z", "2020-01-03"), (None, "q", None)]
+    df = spark.createDataFrame(rows, "g string, t string, d string").withColumn("d", F.col("d").cast("date"))
+    got = {(r.g, r.t): r["rank"] for r in windows.rank_within(df, "d", "g").collect()}
+    assert got == {("a", "x"): 1, ("a", "y"): 2, (None, "x"): 1, (None, "z"): 1, (None, "q"): None}
+    got = {(r.g, r.t): r["rank"] for r in windows.rank_within(df, "t", "g", descending=False).collect()}
+    assert got == {("a", "x"): 1, ("a", "y"): 2, (None, "q"): 1, (None, "x"): 2, (None, "z"): 3}
+
+
+def test_an_outlier_does_not_gather_the_rest(spark):
+    """200,000 values and one far off: no range partition of the numbering has more than a quarter."""
+    df = spark.range(200_000).select(F.when(F.col("id") == 7, 1e15).otherwise(F.rand(3)).alias("v"), F.lit(1).alias("c"))
+    ranged = df.repartitionByRange(16, "v").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in ranged) < 50_000
+    got = {r["__ahead"] for r in windows.ahead_counts(df, [], "v", "c").where("v > 1e14").collect()}
+    assert got == {0}
