@@ -7,10 +7,14 @@ differences.  All such chunks are met by listing the allowed errors: a key for
 every choice of ``ERRORS`` values left out of a chunk.  Documents that share a
 key are candidates, and links are confirmed on the full shingle sets.
 
-Equal sets are one class from the start.  Within the documents of one key not
-all pairs are formed: each document is compared with a pivot, components are
-built, and only keys that still hold several components go on, first with
-other pivots, last with every pair across components.
+Equal sets are one class from the start.  No group of one key is expanded into
+its pairs.  Each document of a key is first compared with pivots.  What is
+alike by signature then makes families, and documents of one key in different
+families are met by a join that only lets alike pairs through.  Last, within a
+family that still has several components, the documents outside its largest
+component are compared with all others of the family in blocks: sets travel
+once a block, intersections come from one matrix product, and of all links
+between two components one is returned.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import id_text, shared_table, slices
@@ -31,7 +35,10 @@ CHUNKS, CHUNK, ERRORS = 10, 5, 1
 #: Least number of equal signature values of a pair that is compared in full.  At a similarity of
 #: 0.8 and 50 values a pair falls below with a probability under 1e-6.
 LEAST_EQUAL = 25
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
+#: Of two low-order bits of each value; at a similarity of 0.8 more differ with a probability under 1e-5.
+MOST_UNLIKE = 20
+BLOCK = 512
 
 
 def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -122,40 +129,31 @@ def link(docs: DataFrame, width: int = 2, percent: int = 80, id_col: str = "doc_
     rows = shared_table(keys.join(shared, "key"), "dedup-keys")
     reps = rows.select("rep").distinct()
     sets = shared_table(_sets(docs, reps, width, id_col, text_col), "dedup-sets")
+    signed = shared_table(_sketched(classes.join(reps, "rep", "left_semi")), "dedup-signed")
     labels = shared_table(reps.select("rep", F.col("rep").alias("label")), "dedup-labels")
-    signed = classes.select("rep", "n", "signature").join(reps, "rep", "left_semi")
+    found: list[DataFrame] = []  # alike pairs
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """(a, b) of the pairs that are linked; size and signature first, then the full sets."""
-        a = signed.toDF("a", "n_a", "signature_a")
-        b = signed.toDF("b", "n_b", "signature_b")
-        near = pairs.distinct().join(a, "a").join(b, "b")
-        near = near.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).mapInArrow(_alike, "a long, b long").distinct()
+        a = signed.select("rep", "n", "signature").toDF("a", "n_a", "signature_a")
+        b = signed.select("rep", "n", "signature").toDF("b", "n_b", "signature_b")
+        near = pairs.distinct().join(a, "a").join(b, "b").where(_sizes_allow(F.col("n_a"), F.col("n_b"), percent))
+        near = shared_table(near.mapInArrow(_alike, "a long, b long").distinct(), "dedup-alike")
+        found.append(near)
         whole = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         return shared_table(whole.mapInArrow(_linked(percent), "a long, b long").distinct(), "dedup-links")
 
-    def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-        of = labels.toDF("rep", "label")
-        ends = links.join(of.toDF("a", "label_a"), "a").join(of.toDF("b", "label_b"), "b")
-        roots = components(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct())
-        moved = labels.join(roots, labels["label"] == roots["node"], "left").select("rep", F.coalesce("root", "label").alias("label"))
-        return shared_table(moved, "dedup-labels")
-
-    for turn in range(PIVOT_ROUNDS + 1):
+    for turn in range(PIVOT_ROUNDS):
         labelled = rows.join(labels, "rep")
         pivot = F.min(F.struct(_order(turn).alias("o"), "rep", "label")).alias("p")
         mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), pivot).where("low < high")
-        mixed = shared_table(mixed.select("key", F.col("p.rep").alias("pivot"), F.col("p.label").alias("pivot_label")), "dedup-pivots")
-        if mixed.isEmpty():
-            break
-        labelled = labelled.join(mixed, "key")
-        if turn < PIVOT_ROUNDS:
-            pairs = labelled.where("label <> pivot_label").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
-        else:
-            pairs = _across(labelled)
-        links = confirmed(pairs)
-        if not links.isEmpty():
-            labels = merged(labels, links)
+        mixed = mixed.select("key", F.col("p.rep").alias("pivot"), F.col("p.label").alias("pivot_label"))
+        pairs = labelled.join(mixed, "key").where("label <> pivot_label")
+        labels = _merged(labels, confirmed(pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))))
+    families = _merged(reps.select("rep", F.col("rep").alias("label")), _all(found))
+    across = confirmed(_across(rows, families, signed, percent))
+    families = _merged(families, found[-1])
+    labels = _merged(labels, across.unionByName(_within(families, labels, sets, percent)))
 
     named = worded.select("doc_id", "same").distinct().join(classes.select("same", "rep"), "same").join(labels, "rep", "left")
     named = named.groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("named"))
@@ -175,18 +173,130 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= LEAST_EQUAL))
 
 
-def _across(labelled: DataFrame) -> DataFrame:
-    """Every pair of a key's documents in different components, once; after the pivot rounds few are left.
+def _all(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(rep, label) after joining what ``links`` (a, b) connect."""
+    if links.isEmpty():
+        return labels
+    ends = links.join(labels.toDF("a", "label_a"), "a").join(labels.toDF("b", "label_b"), "b")
+    roots = components(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct())
+    moved = labels.join(roots, labels["label"] == roots["node"], "left").select("rep", F.coalesce("root", "label").alias("label"))
+    return shared_table(moved, "dedup-labels")
+
+
+def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _sketched(classes: DataFrame) -> DataFrame:
+    """(rep, n, signature, bit0, bit1): the two low-order bits of the values, each in one long."""
+    weights = np.uint64(1) << np.arange(CHUNKS * CHUNK, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(batch.num_rows, -1).astype(np.uint64)
+                bits = [pa.array((((values >> np.uint64(i)) & np.uint64(1)) * weights).sum(1, dtype=np.uint64).view(np.int64)) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "n", "signature")), *bits], names=["rep", "n", "signature", "bit0", "bit1"])
 
-    One side of each pair lies outside the key's largest component, so a large
-    component is not paired with itself.
+    return classes.select("rep", "n", "signature").mapInArrow(run, "rep long, n long, signature binary, bit0 long, bit1 long")
+
+
+def _across(rows: DataFrame, families: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a key, are in different families and may be alike.
+
+    One side of each pair lies outside the key's largest family, so a large
+    family is not joined with itself.
     """
-    counts = labelled.groupBy("key", "label").count()
-    largest = counts.groupBy("key").agg(F.max(F.struct("count", "label")).alias("m")).select("key", F.col("m.label").alias("most"))
-    outside = labelled.join(largest, "key").where("label <> most").select("key", F.col("rep").alias("x"), F.col("label").alias("x_label"))
-    other = labelled.select("key", F.col("rep").alias("y"), F.col("label").alias("y_label"))
-    pairs = outside.join(other, "key").where("x_label <> y_label")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    held = rows.join(families.toDF("rep", "family"), "rep")
+    counts = held.groupBy("key", "family").count()
+    mixed = counts.groupBy("key").agg(F.count("*").alias("several"), F.max(F.struct("count", "family")).alias("m")).where("several > 1")
+    held = held.join(mixed.select("key", F.col("m.family").alias("most")), "key").join(signed.drop("signature"), "rep")
+    x = held.where("family <> most").select("key", *(F.col(c).alias(f"x_{c}") for c in ("rep", "family", "n", "bit0", "bit1")))
+    y = held.select("key", *(F.col(c).alias(f"y_{c}") for c in ("rep", "family", "n", "bit0", "bit1")))
+    unlike = [F.col(f"x_bit{i}").bitwiseXOR(F.col(f"y_bit{i}")) for i in (0, 1)]
+    may = (F.col("x_family") != F.col("y_family")) & _sizes_allow(F.col("x_n"), F.col("y_n"), percent) & (F.bit_count(unlike[0].bitwiseOR(unlike[1])) <= MOST_UNLIKE)
+    pairs = x.join(y, (x["key"] == y["key"]) & may)
+    return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
+
+
+def _within(families: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between different components of a family, one at least for any two that are linked.
+
+    Members of the family's largest component (side 0) and all others (side 1)
+    are dealt to blocks of about BLOCK by a hash; every block of side 1 meets
+    every block of its family.  Families of two have been compared already.
+    """
+    member = families.toDF("rep", "family").join(labels, "rep")
+    counts = member.groupBy("family", "label").count()
+    open_ones = counts.groupBy("family").agg(F.count("*").alias("several"), F.sum("count").alias("n"), F.max(F.struct("count", "label")).alias("m"))
+    open_ones = open_ones.where("several > 1 and n > 2").select(
+        "family",
+        F.col("m.label").alias("most"),
+        F.ceil(F.col("m.count") / BLOCK).cast("int").alias("blocks0"),
+        F.ceil((F.col("n") - F.col("m.count")) / BLOCK).cast("int").alias("blocks1"),
+    )
+    open_ones = shared_table(open_ones, "dedup-families")
+    member = member.join(open_ones, "family").withColumn("side", F.when(F.col("label") == F.col("most"), 0).otherwise(1))
+    place = F.pmod(F.xxhash64("rep"), F.when(F.col("side") == 0, F.col("blocks0")).otherwise(F.col("blocks1"))).cast("int")
+    dealt = member.withColumn("block", place).join(sets, "rep")
+    blocks = shared_table(
+        dealt.groupBy("family", "side", "block").agg(F.collect_list("rep").alias("reps"), F.collect_list("label").alias("labels"), F.collect_list("set").alias("sets")),
+        "dedup-blocks",
+    )
+
+    def upto(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    mine = open_ones.select("family", "blocks0", "blocks1", F.explode(upto("blocks1")).alias("block"))
+    side0 = mine.select("family", "block", F.explode(upto("blocks0")).alias("other")).withColumn("other_side", F.lit(0))
+    side1 = mine.select("family", "block", F.explode(F.sequence(F.col("block"), F.col("blocks1") - 1)).alias("other")).withColumn("other_side", F.lit(1))
+    left = blocks.where("side = 1").select("family", "block", *(F.col(c).alias(f"{c}_a") for c in ("reps", "labels", "sets")))
+    right = blocks.select("family", F.col("side").alias("other_side"), F.col("block").alias("other"), *(F.col(c).alias(f"{c}_b") for c in ("reps", "labels", "sets")))
+    met = side0.unionByName(side1).join(left, ["family", "block"]).join(right, ["family", "other_side", "other"])
+    return shared_table(met.select("reps_a", "labels_a", "sets_a", "reps_b", "labels_b", "sets_b").mapInArrow(_blocks_linked(percent), "a long, b long"), "dedup-links")
+
+
+def _blocks_linked(percent: int):
+    """One link for any two different components of two blocks that have one between them."""
+
+    def side(sets: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.array([len(s) // 8 for s in sets])
+        return np.frombuffer(b"".join(sets), np.uint64), np.repeat(np.arange(len(sets)), sizes), sizes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                x, x_row, x_size = side(row["sets_a"])
+                y, y_row, y_size = side(row["sets_b"])
+                common = np.intersect1d(x, y)
+                both = np.zeros((len(x_size), len(y_size)))
+                for at in range(0, len(common), 4096):
+                    part = common[at : at + 4096]
+                    hit = []
+                    for items, rows, n in ((x, x_row, len(x_size)), (y, y_row, len(y_size))):
+                        where = np.minimum(np.searchsorted(part, items), len(part) - 1)
+                        is_in = part[where] == items
+                        grid = np.zeros((n, len(part)), np.float32)
+                        grid[rows[is_in], where[is_in]] = 1
+                        hit.append(grid)
+                    both += hit[0] @ hit[1].T
+                x_label, y_label = np.array(row["labels_a"]), np.array(row["labels_b"])
+                union = x_size[:, None] + y_size[None, :] - both
+                a, b = np.nonzero((100 * both >= percent * union) & (x_label[:, None] != y_label[None, :]))
+                if len(a):
+                    _, first = np.unique(np.stack([x_label[a], y_label[b]]), axis=1, return_index=True)
+                    a, b = np.array(row["reps_a"])[a[first]], np.array(row["reps_b"])[b[first]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return run
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -61,9 +61,12 @@ def test_links_equal_brute_force(spark, width):
     assert got == brute_force(rows, width, 80)
 
 
-def test_pairs_across_components_are_all_met(spark, monkeypatch):
-    """Without pivots after the first everything rests on the last step."""
-    monkeypatch.setattr(dedup, "PIVOT_ROUNDS", 0)
+@pytest.mark.parametrize("block", [1, 7])
+def test_the_last_steps_meet_all_pairs(spark, monkeypatch, block):
+    """With pivots that say little and small blocks, the rest falls to families and blocks."""
+    monkeypatch.setattr(dedup, "PIVOT_ROUNDS", 1)
+    monkeypatch.setattr(dedup, "_order", lambda turn: -dedup.F.col("rep"))
+    monkeypatch.setattr(dedup, "BLOCK", block)
     rows = copies(8, 120)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in dedup.link(docs, 2, 80).collect()}
