@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import slices
+from lodestar.llm.common import shared_table, slices
 
 #: Expressions beyond this many items are not aligned any further; their pages are read by the same slot rules.
 MOST_ITEMS = 1500
@@ -405,4 +405,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 names=["page_id", "url", "text", "n_chars", "conforms"],
             )
 
-    return rows.join(infer_wrappers(rows), "host").mapInArrow(run, "page_id long, url string, text string, n_chars long, conforms boolean")
+    # written first: its size is then known, and while it is small Spark broadcasts it and moves no page
+    inferred = shared_table(infer_wrappers(rows), "wrappers")
+    return rows.join(inferred, "host").mapInArrow(run, "page_id long, url string, text string, n_chars long, conforms boolean")

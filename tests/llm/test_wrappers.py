@@ -8,9 +8,10 @@ from lodestar.llm import wrappers
 def make_page(rng, n):
     words = lambda k: " ".join(rng.choice(["red", "blue", "a &amp; b", "&eacute;t&#233;", "x&nbsp;y", "café"]) for _ in range(k))
     plain = lambda t: " ".join(t.replace("&amp;", "&").replace("&eacute;", "é").replace("&#233;", "é").replace("&nbsp;", " ").split())
+    halfway = lambda p: max(0, p.find(" ", len(p) // 2))
     title, paragraphs = words(4), [words(rng.randint(3, 30)) for _ in range(rng.randint(1, 6))]
     items = [words(3) for _ in range(rng.randint(0, 4))]
-    body = f"<h1>{title}</h1>" + "".join(f"<p class='t{n}'>{p[: len(p) // 2]}\n\t <b>{p[len(p) // 2 :]}</b></p>" for p in paragraphs)
+    body = f"<h1>{title}</h1>" + "".join(f"<p class='t{n}'>{p[: halfway(p)]}\n\t <b>{p[halfway(p) :]}</b></p>" for p in paragraphs)
     body += ("<ul>" + "".join(f"<li>{x}" for x in items) + "</ul>") if items else ""
     if rng.random() < 0.5:
         body += f"<aside>{words(5)}</aside><form><input name=q><button>Go</button>{words(2)}</form>"
