@@ -11,8 +11,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,7 +40,7 @@ THRESHOLD = 0.55
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*"
 _PAIR = re.compile(
-    rf"""(?P<quote>["']?)(?P<name>{_NAME})(?P=quote)[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*"""
+    rf"""(?P<quote>["']?)(?<![A-Za-z0-9_.\-])(?P<name>{_NAME}+)(?P=quote)[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*"""
     rf"""(?P<rhs>(?:"[^"\n]*"|'[^'\n]*'|[^\s"',;#(){{}}\[\]<>]+)(?:[\x20\t]*\+[\x20\t]*(?:"[^"\n]*"|'[^'\n]*'|{_NAME}))*)"""
 )
 _TERM = re.compile(r""""([^"\n]*)"|'([^'\n]*)'|([^\s"'+]+)""")
@@ -108,8 +110,14 @@ def literal_spans(text: str) -> list[Span]:
 def scan(text: str) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans); a literal inside a base span adds nothing."""
     base = base_spans(text)
-    extra = [s for s in literal_spans(text) if not any(a <= s[1] and s[2] <= b for _, a, b in base)] if "=" in text or ":" in text else []
-    return base, ordered(base + extra)
+    found = literal_spans(text) if "=" in text or ":" in text else []
+    starts, reach = [a for _, a, _ in base], list(accumulate((b for *_, b in base), max))
+
+    def covered(start: int, end: int) -> bool:
+        i = bisect_right(starts, start)
+        return i > 0 and reach[i - 1] >= end
+
+    return base, ordered(base + [s for s in found if not covered(s[1], s[2])])
 
 
 def join_spans(spans: Iterable[Span]) -> str:

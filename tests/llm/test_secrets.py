@@ -33,6 +33,11 @@ def test_lexer_follows_names_and_concatenations():
     assert secrets.literal_spans('title = "A plain sentence about a password"\nkey: value\npassword: changeme\n') == []
 
 
+def test_long_texts_take_linear_time():
+    for text in ("x" * 300_000 + " = 1", "token = abcdefgh12345678\n" * 20_000, "a.b-c_" * 60_000 + ":", "password " * 50_000 + "=", 'k="' * 50_000):
+        secrets.scan(text)
+
+
 def test_rows(spark):
     docs = odd_docs(spark, [None, "", "token = abcdefgh12345678 and more", "token = abcdefgh12345678 and more", "x" * 200_000 + " secret: 0123456789abcdef0123"])
     rows = secrets.find_secrets(docs).collect()
