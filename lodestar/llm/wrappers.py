@@ -8,9 +8,13 @@ variable.  The result is the host's wrapper: an expression without unions and
 what its slots hold.  Partial wrappers are made per task and merged in two
 levels, so a host with most of the pages is never in one task.
 
-The wrapper names the host's content region (article, else main, else where
-varying text without links is), and a slot is main text if it lies there and
-under no menu, header, footer, sidebar, notice, advert, form or comment part.
+Each page is then matched against its host's wrapper, which gives every text
+its aligned slot.  A slot, be it optional or repeated, that held one and the
+same text on several different pages is fixed and part of the template; what
+varies is main text if it lies in the content region (article, else main, else
+where text without links is) and under no menu, header, footer, sidebar,
+notice, advert, form or comment part.  Pages that do not match are read by the
+same rules with what is known of their tag paths.
 """
 
 from __future__ import annotations
@@ -18,8 +22,12 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterable, Iterator
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
+from hashlib import blake2b
 
 import pandas as pd
 import pyarrow as pa
@@ -28,8 +36,10 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import shared_table, slices
 
-#: Expressions beyond this many items are not aligned any further; their pages are read by the same slot rules.
-MOST_ITEMS = 1500
+#: Streams are aligned in pieces between shared anchors until a piece has no more pairs of items than this.
+PIECE = 160_000
+#: A slot is fixed if so many different pages hold the same text in it.
+SAME_ON = 3
 LONGEST_REPEAT = 24
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,6 +85,35 @@ def _outside(mark: str) -> bool:
     return name in OUTSIDE_TAGS or any(w in OUTSIDE_WORDS for w in words)
 
 
+@lru_cache(1 << 16)
+def _outside_path(path: str) -> bool:
+    return any(_outside(x) for x in path.split("/"))
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+
+
+def _seen(a: list, b: list) -> list:
+    """What two parts know of a slot: [least hashes of the pages, hash of the text or None if it varies, characters, characters in links]."""
+    if not a[0] or not b[0]:
+        return a if a[0] else b
+    pages = a[0] if a[0] == b[0] else sorted({*a[0], *b[0]})[:SAME_ON]
+    return [pages, a[1] if a[1] == b[1] else None, a[2] + b[2], a[3] + b[3]]
+
+
+def _all_seen(a: list[list], b: list[list]) -> list[list]:
+    return [_seen(x, y) for x, y in zip(a, b, strict=True)]
+
+
+FIXED, LINKS = 1, 2
+
+
+def _nature(fact: list) -> int:
+    pages, text, size, links = fact
+    return (FIXED if len(pages) >= SAME_ON and text is not None else 0) | (LINKS if links * 2 > size else 0)
+
+
 class Page:
     """``items``: structure tags and "#" for each slot; ``slots``: (path, text, characters in links) of each slot."""
 
@@ -177,11 +216,16 @@ def _plus(body: list[str]) -> str:
 
 def collapse(items: list[str]) -> list[str]:
     """Adjacent repeats of up to LONGEST_REPEAT items, shortest first, as one repeated group each, again and again."""
+    return _collapse(items, [[]] * len(items))[0]
+
+
+def _collapse(items: list[str], facts: list[list]) -> tuple[list[str], list[list]]:
+    """:func:`collapse` with what is known of the slots in each item; a group's slot knows what its repeats know."""
     changed = True
     while changed:
         changed = False
         for width in range(1, min(LONGEST_REPEAT, len(items) // 2) + 1):
-            out, i = [], 0
+            out, told, i = [], [], 0
             while i < len(items):
                 body = items[i : i + width]
                 n = 1
@@ -191,71 +235,182 @@ def collapse(items: list[str]) -> list[str]:
                         n += 1
                 if n > 1:
                     out.append(body[0] if width == 1 and body[0][0] == "+" else _plus(body))
+                    known = _joined(facts, i, width)
+                    for at in range(i + width, i + n * width, width):
+                        known = _all_seen(known, _joined(facts, at, width))
+                    told.append(known)
                     i += n * width
                     changed = True
                 else:
                     out.append(items[i])
+                    told.append(facts[i])
                     i += 1
-            items = out
-        absorbed = _absorb(items, {x for x in items if x[0] == "+"})
+            items, facts = out, told
+        absorbed, facts = _absorb(items, facts, {x for x in items if x[0] == "+"})
         changed = changed or absorbed != items
         items = absorbed
-    return items
+    return items, facts
+
 
+def _joined(facts: list[list], at: int, n: int) -> list[list]:
+    return facts[at] if n == 1 else [x for known in facts[at : at + n] for x in known]
 
-def _absorb(items: list[str], groups: Iterable[str]) -> list[str]:
+
+def _absorb(items: list[str], facts: list[list], groups: Iterable[str]) -> tuple[list[str], list[list]]:
     """Single runs of a group's body as the group, next to the group itself or not."""
-    for group in sorted(groups, key=len):
+    there = Counter(items)
+    for group in sorted(groups, key=lambda g: (len(g), g)):
         body = _body(group)
+        if there[group] < 2 and not all(there[x] for x in body):
+            continue
         out: list[str] = []
+        told: list[list] = []
         i = 0
         while i < len(items):
-            if items[i : i + len(body)] == body:
-                i += len(body)
-                if not out or out[-1] != group:
+            n = len(body) if items[i] == body[0] and items[i : i + len(body)] == body else 0
+            if n or items[i] == group:
+                known = _joined(facts, i, n or 1)
+                if out and out[-1] == group:
+                    told[-1] = _all_seen(told[-1], known)
+                else:
                     out.append(group)
-            elif items[i] == group and out and out[-1] == group:
-                i += 1
+                    told.append(known)
+                i += n or 1
             else:
                 out.append(items[i])
+                told.append(facts[i])
                 i += 1
-        items = out
-    return items
+        if len(out) < len(items) or out != items:
+            items, facts, there = out, told, Counter(out)
+    return items, facts
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest run of ``pairs`` (first numbers rising) with rising second numbers."""
+    ends: list[int] = []
+    last: list[int] = []
+    before = []
+    for x, (_, k) in enumerate(pairs):
+        at = bisect_left(ends, k)
+        before.append(last[at - 1] if at else -1)
+        ends[at : at + 1] = [k]
+        last[at : at + 1] = [x]
+    out = []
+    x = last[-1] if last else -1
+    while x >= 0:
+        out.append(pairs[x])
+        x = before[x]
+    return out[::-1]
+
+
+def _anchors(a: list[str], b: list[str], width: int) -> list[tuple[int, int]]:
+    """Places of the runs of ``width`` items that are in both streams once, in an order both share."""
+    x = [tuple(a[i : i + width]) for i in range(len(a) - width + 1)]
+    y = [tuple(b[i : i + width]) for i in range(len(b) - width + 1)]
+    in_x, in_y = Counter(x), Counter(y)
+    where = {g: k for k, g in enumerate(y) if in_y[g] == 1}
+    return _rising([(i, where[g]) for i, g in enumerate(x) if in_x[g] == 1 and g in where])
+
+
+def _nth_to_nth(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Items met with the one that is as many equal ones after the start on the other side, in an order both share."""
+    seen: Counter[str] = Counter()
+    where = {}
+    for k, x in enumerate(b):
+        where[x, seen[x]] = k
+        seen[x] += 1
+    seen.clear()
+    pairs = []
+    for i, x in enumerate(a):
+        if (x, seen[x]) in where:
+            pairs.append((i, where[x, seen[x]]))
+        seen[x] += 1
+    return _rising(pairs)
+
+
+def align(a: list[str], b: list[str]) -> list[tuple[int, int, int, int]]:
+    """Equal stretches a[i:j] == b[k:m] in rising order, over the whole of both streams.
+
+    Long streams are cut at runs of items that both have once, and the pieces
+    between again; a long piece without such a run meets n-th with n-th item.
+    """
+    pairs: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b), 0)]
+    while todo:
+        i, j, k, m, level = todo.pop()
+        while i < j and k < m and a[i] == b[k]:
+            pairs.append((i, k))
+            i, k = i + 1, k + 1
+        while i < j and k < m and a[j - 1] == b[m - 1]:
+            j, m = j - 1, m - 1
+            pairs.append((j, m))
+        if i == j or k == m:
+            continue
+        if (j - i) * (m - k) <= PIECE:
+            for x, y, n in SequenceMatcher(None, a[i:j], b[k:m], autojunk=False).get_matching_blocks():
+                pairs += [(i + x + z, k + y + z) for z in range(n)]
+            continue
+        met: list[tuple[int, int]] = []
+        if level < 8:
+            met = _anchors(a[i:j], b[k:m], 1) or _anchors(a[i:j], b[k:m], 8)
+        if not met and level <= 8:
+            met, level = _nth_to_nth(a[i:j], b[k:m]), 8
+        if met:
+            # an anchor of several items is met again as the start of its piece
+            starts = [(0, 0), *met]
+            ends = [*met, (j - i, m - k)]
+            todo += [(i + x, i + p, k + y, k + q, level + 1) for (x, y), (p, q) in zip(starts, ends, strict=True)]
+    pairs.sort()
+    out: list[tuple[int, int, int, int]] = []
+    for i, k in pairs:
+        if out and out[-1][1] == i and out[-1][3] == k:
+            out[-1] = (out[-1][0], i + 1, out[-1][2], k + 1)
+        else:
+            out.append((i, i + 1, k, k + 1))
+    return out
+
+
+def _n_slots(item: str) -> int:
+    return sum(map(_n_slots, _body(item))) if item[0] == "+" else int(item == "#")
 
 
 class Wrapper:
-    """``parts``: [item, whether it may be missing]; ``slots``: path -> [pages, characters, characters in links, text or None if it varies]."""
+    """``parts``: [item, whether it may be missing]; ``facts``: what is known of the slots in each part, see :func:`_seen`; ``slots``: path -> [pages, characters, characters in links, text or None if it varies]."""
 
-    def __init__(self, parts: list[list], slots: dict[str, list]):
+    def __init__(self, parts: list[list], slots: dict[str, list], facts: list[list] | None = None):
         self.parts, self.slots = parts, slots
+        self.facts = [[[[], None, 0, 0]] * _n_slots(x) for x, _ in parts] if facts is None else facts
 
     @classmethod
     def of(cls, page: Page) -> Wrapper:
         slots: dict[str, list] = {}
-        for path, texts, links in page.slots:
-            text = " ".join("".join(texts).split())
+        facts: list[list] = []
+        texts_of = [" ".join("".join(texts).split()) for _, texts, _ in page.slots]
+        # pages are told apart by what is not under an outside part
+        same = _hash("\0".join(t for t, (path, _, _) in zip(texts_of, page.slots, strict=True) if not _outside_path(path)))
+        for text, (path, _, links) in zip(texts_of, page.slots, strict=True):
+            facts.append([[[same], _hash(text), len(text), links]])
             known = slots.setdefault(path, [1, 0, 0, text[:200] if len(text) <= 200 else None])
             known[1] += len(text)
             known[2] += links
             if known[3] != text:
                 known[3] = None
-        return cls([[x, False] for x in collapse(page.items)[:MOST_ITEMS]], slots)
+        rest = iter(facts)
+        items, facts = _collapse(page.items, [next(rest) if x == "#" else [] for x in page.items])
+        return cls([[x, False] for x in items], slots, facts)
 
     def merge(self, other: Wrapper) -> Wrapper:
         groups = {x for x, _ in self.parts + other.parts if x[0] == "+"}
-        a, b = self._with(groups), other._with(groups)
-        left, right = [x for x, _ in a], [x for x, _ in b]
-        if left == right:
-            parts = [[x, p or q] for (x, p), (_, q) in zip(a, b, strict=True)]
-        elif max(len(left), len(right)) > MOST_ITEMS:
-            parts = max(a, b, key=len)
-        else:
-            parts = []
-            for kind, i, j, k, m in SequenceMatcher(None, left, right, autojunk=False).get_opcodes():
-                if kind == "equal":
-                    parts += [[x, p or q] for (x, p), (_, q) in zip(a[i:j], b[k:m], strict=True)]
-                else:
-                    parts += [[x, True] for x, _ in a[i:j] + b[k:m]]
+        (a, a_facts), (b, b_facts) = self._with(groups), other._with(groups)
+        parts: list[list] = []
+        facts: list[list] = []
+        done_a = done_b = 0
+        for i, j, k, m in [*align([x for x, _ in a], [x for x, _ in b]), (len(a), len(a), len(b), len(b))]:
+            parts += [[x, True] for x, _ in a[done_a:i] + b[done_b:k]]
+            facts += a_facts[done_a:i] + b_facts[done_b:k]
+            parts += [[x, p or q] for (x, p), (_, q) in zip(a[i:j], b[k:m], strict=True)]
+            facts += map(_all_seen, a_facts[i:j], b_facts[k:m])
+            done_a, done_b = j, m
         slots = {k: list(v) for k, v in self.slots.items()}
         for path, (n, size, links, text) in other.slots.items():
             if path in slots:
@@ -263,16 +418,16 @@ class Wrapper:
                 slots[path] = [known[0] + n, known[1] + size, known[2] + links, known[3] if known[3] == text else None]
             else:
                 slots[path] = [n, size, links, text]
-        return Wrapper(parts, slots)
+        return Wrapper(parts, slots, facts)
 
-    def _with(self, groups: set[str]) -> list[list]:
+    def _with(self, groups: set[str]) -> tuple[list[list], list[list]]:
         """The parts with single runs of these groups as the groups; a run that may be missing makes a group that may be."""
         loose = {x for x, missing in self.parts if missing}
-        items = _absorb([x for x, _ in self.parts], groups)
-        return [[x, x in loose or any(y in loose for y in _body(x))] for x in items]
+        items, facts = _absorb([x for x, _ in self.parts], self.facts, groups)
+        return [[x, x in loose or any(y in loose for y in _body(x))] for x in items], facts
 
     def dump(self) -> str:
-        return json.dumps([self.parts, self.slots], ensure_ascii=False, separators=(",", ":"), sort_keys=True)
+        return json.dumps([self.parts, self.slots, self.facts], ensure_ascii=False, separators=(",", ":"), sort_keys=True)
 
     @classmethod
     def load(cls, text: str) -> Wrapper:
@@ -289,6 +444,50 @@ class Wrapper:
 
         return re.compile("".join(f"(?:{write(x)})?+" if missing else write(x) for x, missing in self.parts)), letters
 
+    def settled(self) -> Wrapper:
+        """The same with the nature of each slot in place of what is known of it."""
+        return Wrapper(self.parts, self.slots, [[_nature(x) for x in known] for known in self.facts])
+
+    def matcher(self) -> Callable[[list[str]], list | None]:
+        """Like :meth:`pattern`, but gives what is in ``facts`` for each slot of a page, or None if it does not match."""
+
+        def node(item: str, known: Iterator) -> tuple:
+            body = [node(x, known) for x in _body(item)]
+            return (item, body, next(known) if item == "#" else None)
+
+        nodes = [(node(x, iter(known)), missing) for (x, missing), known in zip(self.parts, self.facts, strict=True)]
+
+        def take(of: tuple, items: list[str], at: int, out: list) -> int:
+            """The place after one match at ``at``, or ``at`` itself."""
+            item, body, known = of
+            if not body:
+                if at == len(items) or items[at] != item:
+                    return at
+                if item == "#":
+                    out.append(known)
+                return at + 1
+            while True:
+                here, held = at, len(out)
+                for x in body:
+                    after = take(x, items, here, out)
+                    if after == here:
+                        del out[held:]
+                        return at
+                    here = after
+                at = here
+
+        def match(items: list[str]) -> list | None:
+            out: list = []
+            at = 0
+            for of, missing in nodes:
+                after = take(of, items, at, out)
+                if after == at and not missing:
+                    return None
+                at = after
+            return out if at == len(items) else None
+
+        return match
+
     def region(self) -> str | None:
         """The mark or tag whose inside is the host's content; None: everything."""
         sizes: dict[str, int] = {"article": 0, "main": 0, ".main": 0}
@@ -305,23 +504,41 @@ class Wrapper:
 
     def is_content(self, path: str, region: str | None) -> bool:
         """Whether texts at ``path`` are main text; outside a named region a text that never varies is part of the template."""
-        marks = path.split("/")
-        if any(_outside(x) for x in marks):
-            return False
-        inside = [i for i, x in enumerate(marks) if x.split(".")[0] == region or (region == ".main" and "main" in x.split(".")[1:])] if region else []
-        if any(x.split(".")[0] == "header" for x in (marks[: inside[0]] if inside else marks)):
+        if not _may_be_content(path, region):
             return False
         if region:
-            return bool(inside)
+            return True
         n, size, links, text = self.slots.get(path, [1, 1, 0, None])
         return links * 2 <= size and not (n >= 3 and text is not None)
 
 
+@lru_cache(1 << 16)
+def _may_be_content(path: str, region: str | None) -> bool:
+    """Whether ``path`` is in the region and under no outside part."""
+    if _outside_path(path):
+        return False
+    marks = path.split("/")
+    inside = [i for i, x in enumerate(marks) if x.split(".")[0] == region or (region == ".main" and "main" in x.split(".")[1:])] if region else []
+    if any(x.split(".")[0] == "header" for x in (marks[: inside[0]] if inside else marks)):
+        return False
+    return bool(inside) if region else True
+
+
+def is_main(path: str, nature: int, region: str | None) -> bool:
+    """Whether the text of an aligned slot is main text: what is fixed never is, and outside a named region links are not."""
+    return _may_be_content(path, region) and not nature & (FIXED if region else FIXED | LINKS)
+
+
 def main_text(page: Page, is_content) -> str:
-    """Texts of the content slots: a block's white space as single blanks, blocks in page order joined by one line end."""
+    """Texts of the slots with content paths, see :func:`joined_text`."""
+    return joined_text(page, [is_content(path) for path, _, _ in page.slots])
+
+
+def joined_text(page: Page, wanted: list[bool]) -> str:
+    """Texts of the wanted slots: a block's white space as single blanks, blocks in page order joined by one line end."""
     blocks: list[tuple[int, list[str]]] = []
-    for (path, texts, _), block in zip(page.slots, page.blocks, strict=True):
-        if is_content(path):
+    for (_, texts, _), block, keep in zip(page.slots, page.blocks, wanted, strict=True):
+        if keep:
             if not blocks or blocks[-1][0] != block:
                 blocks.append((block, []))
             blocks[-1][1].extend([" ", *texts])
@@ -329,16 +546,16 @@ def main_text(page: Page, is_content) -> str:
     return "\n".join(x for x in lines if x)
 
 
-def _fold(wrappers: Iterable[str]) -> str:
+def _fold(wrappers: Iterable[str]) -> Wrapper:
     whole = None
     for text in sorted(wrappers, key=lambda t: (len(t), t)):
         part = Wrapper.load(text)
         whole = part if whole is None else whole.merge(part)
-    return whole.dump()
+    return whole
 
 
 def infer_wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
-    """(host, wrapper) from (host, html): partial wrappers per task, merged per (host, salt), then per host."""
+    """(host, settled wrapper) from (host, html): partial wrappers per task, merged per (host, salt), then per host."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Wrapper] = {}
@@ -354,7 +571,8 @@ def infer_wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
 
     def fold(key: str):
         def run(group: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"host": group["host"].iloc[:1], "wrapper": [_fold(group["wrapper"])]})
+            whole = _fold(group["wrapper"])
+            return pd.DataFrame({"host": group["host"].iloc[:1], "wrapper": [(whole.settled() if key == "host" else whole).dump()]})
 
         return run
 
@@ -370,6 +588,8 @@ def _rows(held: dict[str, Wrapper]) -> pa.RecordBatch:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars (code points), conforms (the wrapper matches the whole page).
 
+    The slots of a page that conforms are told apart one by one as they are
+    aligned, those of other pages by their tag paths.
     Null html is empty and gives empty text.  Pages without a host in their
     url, or without a url, share one wrapper.  Repeated rows are extracted
     each; an empty table gives no rows; other columns are not read.  Whole
@@ -389,8 +609,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                     if len(ready) > 2000:
                         ready.clear()
                     wrapper = Wrapper.load(text)
-                    ready[text] = (wrapper, wrapper.region(), *wrapper.pattern(), {})
-                wrapper, region, pattern, letters, labels = ready[text]
+                    ready[text] = (wrapper, wrapper.region(), *wrapper.pattern(), wrapper.matcher(), {})
+                wrapper, region, pattern, letters, match, labels = ready[text]
                 page = Page(source)
 
                 def is_content(path: str, wrapper=wrapper, region=region, labels=labels) -> bool:
@@ -398,8 +618,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                         labels[path] = wrapper.is_content(path, region)
                     return labels[path]
 
-                texts.append(main_text(page, is_content))
-                conforms.append(pattern.fullmatch("".join(letters.get(x, "\0") for x in page.items)) is not None)
+                whole = pattern.fullmatch("".join(letters.get(x, "\0") for x in page.items)) is not None
+                natures = match(page.items) if whole else None
+                if natures is None:
+                    texts.append(main_text(page, is_content))
+                else:
+                    texts.append(joined_text(page, [is_main(path, nature, region) for (path, _, _), nature in zip(page.slots, natures, strict=True)]))
+                conforms.append(whole)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(conforms)],
                 names=["page_id", "url", "text", "n_chars", "conforms"],

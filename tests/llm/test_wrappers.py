@@ -64,3 +64,33 @@ def test_without_article_the_varying_text_is_content():
 def test_long_and_broken_pages_are_linear():
     for source in ("<a " * 50_000, "<p>" * 20_000, '<div class="' * 20_000, "<p>x</p>" * 20_000, "<" * 100_000):
         wrappers.Wrapper.of(wrappers.Page(source)).pattern()
+
+
+def _texts(spark, sources, url="http://one.example/"):
+    rows = [(i, url and f"{url}{i}", s) for i, s in enumerate(sources)]
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    return {r.page_id: r for r in got}
+
+
+def test_a_template_paragraph_on_the_path_of_the_article_is_left_out(spark):
+    # the notice shares its path with the varying paragraphs; only its aligned slot never varies
+    pages = [f"<body><article><h1>Title {i}</h1><p>Story {i} one</p><p>Story {i} two</p><hr><p>Read our notice</p></article></body>" for i in range(8)]
+    got = _texts(spark, pages)
+    for i in range(8):
+        assert got[i].conforms and got[i].text == f"Title {i}\nStory {i} one\nStory {i} two"
+
+
+def test_streams_of_any_length_are_aligned_whole():
+    marks = [f"<p.{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100 % 10]}{'efghijklmn'[i // 1000]}>" for i in range(4000)]
+    source = lambda word, drop: "".join(f"<p class='{m[3:-1]}'>{word if n % 2 else 'same'} {n}</p>" for n, m in enumerate(marks) if n != drop)
+    whole = None
+    for word, drop in (("red", None), ("blue", 3000), ("green", None)):
+        part = wrappers.Wrapper.of(wrappers.Page(source(word, drop)))
+        whole = part if whole is None else whole.merge(part)
+    assert len(whole.parts) == 12000 and [x for x, missing in whole.parts if missing and x[0] == "<" and x != "</p>"] == [marks[3000]]
+    natures = whole.settled().matcher()(wrappers.Page(source("white", 3000)).items)
+    assert natures == [0 if n % 2 else wrappers.FIXED for n in range(4000) if n != 3000]
+    # repetitive streams without a shared run: in order, equal, and in good time
+    a, b = ["<p>", "#", "</p>", "<hr>"] * 3000, ["<hr>", "<p>", "#", "</p>"] * 2500
+    blocks = wrappers.align(a, b)
+    assert all(a[i:j] == b[k:m] for i, j, k, m in blocks) and sum(j - i for i, j, _, _ in blocks) > 9000
