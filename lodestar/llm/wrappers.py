@@ -11,8 +11,8 @@ levels, so a host with most of the pages is never in one task.
 Each page is then matched against its host's wrapper, which gives every text
 its aligned slot.  A slot, be it optional or repeated, that held one and the
 same text on several different pages is fixed and part of the template; what
-varies is main text if it lies in the content region (article, else main, else
-where text without links is) and under no menu, header, footer, sidebar,
+varies is main text if it lies in the page's content region (article, else
+main, else where text without links is) and under no menu, header, footer, sidebar,
 notice, advert, form or comment part.  Pages that do not match are read by the
 same rules with what is known of their tag paths.
 """
@@ -489,18 +489,17 @@ class Wrapper:
         return match
 
     def region(self) -> str | None:
-        """The mark or tag whose inside is the host's content; None: everything."""
-        sizes: dict[str, int] = {"article": 0, "main": 0, ".main": 0}
-        for path, (_, size, links, _) in self.slots.items():
-            marks = path.split("/")
-            if not any(_outside(x) for x in marks):
-                for x in marks:
-                    name, *words = x.split(".")
-                    if name in sizes:
-                        sizes[name] += size - links
-                    if "main" in words:
-                        sizes[".main"] += size - links
-        return next((k for k in sizes if sizes[k] > 0), None)
+        """The mark or tag whose inside is content on some page of the host; None: everything."""
+        return next(iter(self.regions()), None)
+
+    def regions(self) -> list[str]:
+        """The content regions that pages of the host have, first choice first."""
+        return _regions((path, known[1] - known[2]) for path, known in self.slots.items())
+
+    def region_of(self, page: Page) -> str | None:
+        """The first of the host's regions in which this page has text; if none has any, one that the page has empty."""
+        with_text = _regions((path, sum(map(len, texts)) - links) for path, texts, links in page.slots)
+        return next(iter(with_text), None) or next((x for x in self.regions() if any(_is_region(y[1:-1], x) for y in page.items if y[0] == "<")), None)
 
     def is_content(self, path: str, region: str | None) -> bool:
         """Whether texts at ``path`` are main text; outside a named region a text that never varies is part of the template."""
@@ -518,12 +517,31 @@ def _may_be_content(path: str, region: str | None) -> bool:
     if _outside_path(path):
         return False
     marks = path.split("/")
-    inside = [i for i, x in enumerate(marks) if x.split(".")[0] == region or (region == ".main" and "main" in x.split(".")[1:])] if region else []
+    inside = [i for i, x in enumerate(marks) if _is_region(x, region)] if region else []
     if any(x.split(".")[0] == "header" for x in (marks[: inside[0]] if inside else marks)):
         return False
     return bool(inside) if region else True
 
 
+REGIONS = ("article", "main", ".main")
+
+
+def _is_region(mark: str, region: str) -> bool:
+    name, *words = mark.split(".")
+    return "main" in words if region == ".main" else name == region
+
+
+@lru_cache(1 << 16)
+def _regions_at(path: str) -> tuple[str, ...]:
+    return () if _outside_path(path) else tuple(x for x in REGIONS if any(_is_region(mark, x) for mark in path.split("/")))
+
+
+def _regions(texts: Iterable[tuple[str, int]]) -> list[str]:
+    """The regions with unlinked text, of (path, unlinked characters)."""
+    found = {x for path, size in texts if size > 0 for x in _regions_at(path)}
+    return [x for x in REGIONS if x in found]
+
+
 def is_main(path: str, nature: int, region: str | None) -> bool:
     """Whether the text of an aligned slot is main text: what is fixed never is, and outside a named region links are not."""
     return _may_be_content(path, region) and not nature & (FIXED if region else FIXED | LINKS)
@@ -609,14 +627,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                     if len(ready) > 2000:
                         ready.clear()
                     wrapper = Wrapper.load(text)
-                    ready[text] = (wrapper, wrapper.region(), *wrapper.pattern(), wrapper.matcher(), {})
-                wrapper, region, pattern, letters, match, labels = ready[text]
+                    ready[text] = (wrapper, *wrapper.pattern(), wrapper.matcher(), {})
+                wrapper, pattern, letters, match, labels = ready[text]
                 page = Page(source)
+                region = wrapper.region_of(page)
 
                 def is_content(path: str, wrapper=wrapper, region=region, labels=labels) -> bool:
-                    if path not in labels:
-                        labels[path] = wrapper.is_content(path, region)
-                    return labels[path]
+                    if (path, region) not in labels:
+                        labels[path, region] = wrapper.is_content(path, region)
+                    return labels[path, region]
 
                 whole = pattern.fullmatch("".join(letters.get(x, "\0") for x in page.items)) is not None
                 natures = match(page.items) if whole else None

@@ -94,3 +94,14 @@ def test_streams_of_any_length_are_aligned_whole():
     a, b = ["<p>", "#", "</p>", "<hr>"] * 3000, ["<hr>", "<p>", "#", "</p>"] * 2500
     blocks = wrappers.align(a, b)
     assert all(a[i:j] == b[k:m] for i, j, k, m in blocks) and sum(j - i for i, j, _, _ in blocks) > 9000
+
+
+def test_every_page_has_its_own_region(spark):
+    for url in ("http://one.example/", None):
+        pages = []
+        for i in range(12):
+            words = f"Story {i} of the day"
+            inside = (f"<article><p>{words}</p></article>", f"<main><p>{words}</p></main>", f"<div class=story><p>{words}</p></div>", "<div><article></article><p>Not this</p></div>")[i % 4]
+            pages.append(f"<body><nav>menu</nav>{inside}<footer>end</footer></body>")
+        got = _texts(spark, pages, url)
+        assert [got[i].text for i in range(12)] == ["" if i % 4 == 3 else f"Story {i} of the day" for i in range(12)]
