@@ -62,10 +62,13 @@ CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 
+#: Tags whose quoted values are short; for all others :class:`_Tags` finds the end.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:"[^"]{0,65536}"|'[^']{0,65536}'|[^<>"'])*+)>|[^<]+|<""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*+)((?:"[^"]{0,1024}"|'[^']{0,1024}'|[^<>"'])*+)>|[^<]+|<""",
     re.DOTALL,
 )
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)")
+_BARE = re.compile(r"""[^<>"']*+""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -114,6 +117,45 @@ def _nature(fact: list) -> int:
     return (FIXED if len(pages) >= SAME_ON and text is not None else 0) | (LINKS if links * 2 > size else 0)
 
 
+class _Tags:
+    """Tags with quoted values of any length, in time linear in the page: no place is scanned twice in vain."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last: dict[str, int] = {}  # quotes and the place after which there is no other
+        self.vain: set[int] = set()  # places outside quotes from where no tag ends
+
+    def at(self, start: int) -> tuple[str, str, str, int] | None:
+        """(slash, name, attributes, end) of the tag that starts here."""
+        m = _OPEN.match(self.source, start)
+        if m is None:
+            return None
+        quotes = [m.start(2) + i for i, c in enumerate(m[2]) if c in "\"'"]
+        for name_end in [m.end(), *reversed(quotes)]:
+            stop = self._end(name_end)
+            if stop is not None:
+                return m[1], self.source[m.start(2) : name_end], self.source[name_end:stop], stop + 1
+        return None
+
+    def _end(self, at: int) -> int | None:
+        passed = []
+        while at not in self.vain:
+            passed.append(at)
+            at = _BARE.match(self.source, at).end()
+            mark = self.source[at : at + 1]
+            if mark == ">":
+                return at
+            if mark not in ("'", '"') or at >= self.last.get(mark, len(self.source)):
+                break
+            after = self.source.find(mark, at + 1)
+            if after < 0:
+                self.last[mark] = at
+                break
+            at = after + 1
+        self.vain.update(passed)
+        return None
+
+
 class Page:
     """``items``: structure tags and "#" for each slot; ``slots``: (path, text, characters in links) of each slot."""
 
@@ -126,12 +168,15 @@ class Page:
     def _read(self, source: str) -> None:
         stack: list[str] = []  # marks of the open structure tags
         at, end, block, links, open_slot = 0, len(source), 0, 0, False
-        items, slots, match = self.items, self.slots, _TOKEN.match
+        items, slots, match, tags = self.items, self.slots, _TOKEN.match, _Tags(source)
 
         while at < end:
             m = match(source, at)
-            at = m.end()
-            name = m[2]
+            slash, name, attributes = m.groups()
+            if name is None and m[0] == "<" and (tag := tags.at(at)):
+                slash, name, attributes, at = tag
+            else:
+                at = m.end()
             if name is None:
                 text = m[0]
                 if text[0] == "<" and len(text) > 1:
@@ -149,13 +194,13 @@ class Page:
                     open_slot = True
                 continue
             name = name.lower()
-            closing = m[1] == "/"
+            closing = slash == "/"
             if name in INLINE:
                 if name == "a":
                     links = 0 if closing else 1
                 elif name == "br" and open_slot:
                     slots[-1][1].append(" ")
-                words = _mark(name, m[3]) if m[3] and not closing and "=" in m[3] else ""
+                words = _mark(name, attributes) if attributes and not closing and "=" in attributes else ""
                 if not words or not _outside(words):
                     continue
             open_slot = False
@@ -180,7 +225,7 @@ class Page:
                         break
                 links = 0
                 continue
-            mark = _mark(name, m[3])
+            mark = _mark(name, attributes)
             if name in CLOSES_P:
                 self._close(stack, "p", ("table", "td", "th", "button", "object"))
             elif name == "li":
@@ -192,7 +237,7 @@ class Page:
                 for cell in ("td", "th") if name != "tr" else ("tr",):
                     self._close(stack, cell, ("table",))
             items.append(f"<{mark}>")
-            if name not in VOID and not m[3].endswith("/"):
+            if name not in VOID and not attributes.endswith("/"):
                 stack.append(mark)
 
     @staticmethod

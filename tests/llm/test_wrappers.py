@@ -105,3 +105,16 @@ def test_every_page_has_its_own_region(spark):
             pages.append(f"<body><nav>menu</nav>{inside}<footer>end</footer></body>")
         got = _texts(spark, pages, url)
         assert [got[i].text for i in range(12)] == ["" if i % 4 == 3 else f"Story {i} of the day" for i in range(12)]
+
+
+def test_attribute_values_of_any_length():
+    for quote in "\"'":
+        for size in (1000, 1024, 1025, 70_000, 300_000):
+            value = ("<p>x</p> >" * size)[:size]
+            source = f"<article><div data-x={quote}{value}{quote}><p>before <img src={quote}{value}{quote} alt=x>after</p></div></article>"
+            page = wrappers.Page(source)
+            assert page.items == ["<article>", "<div>", "<p>", "#", "</p>", "</div>", "</article>"]
+            assert page.slots == [("article/div/p", ["before ", "after"], 0)]
+    assert wrappers.Page(f"<p>a <b x=\"{'y' * 70_000} > c").slots[0][0] == "p"  # no closing quote: plain text
+    for source in ("<a \"<" * 40_000, "<a 'x' \"" * 40_001, "<a '<b \"' <c \"" * 30_000, "<a" + "\"'" * 50_000, f"<a {'x' * 2000}\"" * 501):
+        wrappers.Page(source)
