@@ -420,7 +420,7 @@ def _n_slots(item: str) -> int:
 
 
 class Wrapper:
-    """``parts``: [item, whether it may be missing]; ``facts``: what is known of the slots in each part, see :func:`_seen`; ``slots``: path -> [pages, characters, characters in links, text or None if it varies]."""
+    """``parts``: [item, whether it may be missing]; ``facts``: what is known of the slots in each part, see :func:`_seen`; ``slots``: path -> the same for all slots of a path."""
 
     def __init__(self, parts: list[list], slots: dict[str, list], facts: list[list] | None = None):
         self.parts, self.slots = parts, slots
@@ -434,12 +434,9 @@ class Wrapper:
         # pages are told apart by what is not under an outside part
         same = _hash("\0".join(t for t, (path, _, _) in zip(texts_of, page.slots, strict=True) if not _outside_path(path)))
         for text, (path, _, links) in zip(texts_of, page.slots, strict=True):
-            facts.append([[[same], _hash(text), len(text), links]])
-            known = slots.setdefault(path, [1, 0, 0, text[:200] if len(text) <= 200 else None])
-            known[1] += len(text)
-            known[2] += links
-            if known[3] != text:
-                known[3] = None
+            fact = [[same], _hash(text), len(text), links]
+            facts.append([fact])
+            slots[path] = _seen(slots[path], fact) if path in slots else fact
         rest = iter(facts)
         items, facts = _collapse(page.items, [next(rest) if x == "#" else [] for x in page.items])
         return cls([[x, False] for x in items], slots, facts)
@@ -456,13 +453,7 @@ class Wrapper:
             parts += [[x, p or q] for (x, p), (_, q) in zip(a[i:j], b[k:m], strict=True)]
             facts += map(_all_seen, a_facts[i:j], b_facts[k:m])
             done_a, done_b = j, m
-        slots = {k: list(v) for k, v in self.slots.items()}
-        for path, (n, size, links, text) in other.slots.items():
-            if path in slots:
-                known = slots[path]
-                slots[path] = [known[0] + n, known[1] + size, known[2] + links, known[3] if known[3] == text else None]
-            else:
-                slots[path] = [n, size, links, text]
+        slots = self.slots | {path: _seen(self.slots[path], known) if path in self.slots else known for path, known in other.slots.items()}
         return Wrapper(parts, slots, facts)
 
     def _with(self, groups: set[str]) -> tuple[list[list], list[list]]:
@@ -539,7 +530,7 @@ class Wrapper:
 
     def regions(self) -> list[str]:
         """The content regions that pages of the host have, first choice first."""
-        return _regions((path, known[1] - known[2]) for path, known in self.slots.items())
+        return _regions((path, known[2] - known[3]) for path, known in self.slots.items())
 
     def region_of(self, page: Page) -> str | None:
         """The first of the host's regions in which this page has text; if none has any, one that the page has empty."""
@@ -552,8 +543,7 @@ class Wrapper:
             return False
         if region:
             return True
-        n, size, links, text = self.slots.get(path, [1, 1, 0, None])
-        return links * 2 <= size and not (n >= 3 and text is not None)
+        return path not in self.slots or _nature(self.slots[path]) == 0
 
 
 @lru_cache(1 << 16)

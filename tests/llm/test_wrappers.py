@@ -118,3 +118,21 @@ def test_attribute_values_of_any_length():
     assert wrappers.Page(f"<p>a <b x=\"{'y' * 70_000} > c").slots[0][0] == "p"  # no closing quote: plain text
     for source in ("<a \"<" * 40_000, "<a 'x' \"" * 40_001, "<a '<b \"' <c \"" * 30_000, "<a" + "\"'" * 50_000, f"<a {'x' * 2000}\"" * 501):
         wrappers.Page(source)
+
+
+def test_template_is_told_by_different_pages_not_rows_and_at_any_length(spark):
+    notice = "This notice is the same on every page. " * 30
+    page = lambda words: f"<body><div><section><p>{notice}</p></section><h1>{words}</h1></div></body>"
+    got = _texts(spark, [page(f"Story {i}") for i in range(6)])
+    assert [got[i].text for i in range(6)] == [f"Story {i}" for i in range(6)]
+    for copies in (1, 2, 6):  # copies of one page say nothing about its template
+        got = _texts(spark, [page("Story") + f"<script>track({i})</script>" for i in range(copies)])
+        assert [got[i].text for i in range(copies)] == [f"{notice.strip()}\nStory"] * copies
+    # the same by paths alone, for pages that do not match
+    whole = None
+    for i in range(6):
+        part = wrappers.Wrapper.of(wrappers.Page(page(f"Story {i}")))
+        whole = part if whole is None else whole.merge(part).merge(part)
+    assert [whole.is_content(f"body/div/{x}", None) for x in ("section/p", "h1", "unknown")] == [False, True, True]
+    one = wrappers.Wrapper.of(wrappers.Page(page("Story")))
+    assert all(one.merge(one).merge(one).is_content(f"body/div/{x}", None) for x in ("section/p", "h1"))
