@@ -22,7 +22,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_tree.score(read(spark, sf_dir, "documents"))
+    return suffix_tree.score(read(spark, sf_dir, "documents"), depth=None, support=2)
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
