@@ -30,11 +30,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "literal")
 
-#: Weight of a name part; a name scores the largest weight among its parts.
+#: Weight of a name part; a name scores the largest weight among its parts.  The least one lets a
+#: random literal of two kinds of characters reach THRESHOLD.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pass": 0.7,
     "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9,
-    "auth": 0.6, "bearer": 0.8, "private": 0.6, "key": 0.5, "dsn": 0.6, "cookie": 0.5, "signature": 0.5,
+    "auth": 0.7, "bearer": 0.8, "private": 0.7, "key": 0.7, "dsn": 0.7, "cookie": 0.7, "signature": 0.7,
 }
 THRESHOLD = 0.55
 

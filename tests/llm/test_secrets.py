@@ -56,3 +56,16 @@ def test_redaction_leaves_clean_rows_alone(spark):
     assert texts[0] == (None, None) and texts[2] == ("clean text", 10)
     assert texts[3] == ("a [SECRET] b", len("a [SECRET] b"))
     assert not secrets.scan(texts[3][0])[0]
+
+
+def test_every_listed_name_can_have_a_finding():
+    rng = random.Random(11)
+    for part in secrets.SENSITIVE:
+        for name in (part, f"my_{part}", f"{part.upper()}_2"):
+            for signs in ("abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz-_!", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"):
+                literal = signs[0] + signs[-1] + "".join(rng.choice(signs) for _ in range(38))
+                for text in (f'{name} = "{literal}"', f"x: 1\n{name}: {literal}\n"):
+                    assert literal not in secrets.redact(text), text
+    for text in ('session_cookie = "k3v9q0x7m2z8w5t1r6y4p0aj"', 'dsn = "db://app:qwxzvkjhgfdptrm@host/main"', 'signing_key = "0F9A37C2B8D4E1650F3A92C7B1D8E4560A9F3C7E2B8D4165F0A39C72B18D4E65"'):
+        assert secrets.literal_spans(text), text
+    assert secrets.literal_spans('key: primary-button\nsort_key = "created_at"\ncache_key: user_profile\nauthor: someone-with-a-long-name\n') == []
