@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import shared_table
+from lodestar.llm.dedup import link
+from lodestar.llm.token_counts import count_tokens
 
 #: Words as in the other operators of the package: runs of anything but ASCII white space.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -70,6 +72,38 @@ def _pack_shard(capacity: int):
     return run
 
 
+def measured(docs: DataFrame, spec_path: str, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, cluster (near-duplicate component), size (tokens of the tokenizer file).
+
+    Rows without an id are linked as documents named by a hash of their text.
+    A text without words has no cluster.  Texts are not shuffled here.
+    """
+    text = F.coalesce(text_col, F.lit(""))
+    doc_id = F.col(id_col).cast("long")
+    named = docs.select(doc_id.alias("doc_id"), F.col(source_col).cast("string").alias("source"), text.alias("text"), F.coalesce(doc_id, F.xxhash64(text)).alias("linked_id"))
+    linked = link(named, width, percent, "linked_id").where("n_shingles > 0").select(F.col("doc_id").alias("linked_id"), F.col("component_id").alias("cluster")).distinct()
+    sizes = count_tokens(named, spec_path, keep=("source", "linked_id"))
+    return sizes.join(linked, "linked_id", "left").select("doc_id", "source", "cluster", F.col("n_tokens").alias("size"))
+
+
+def _by_columns(docs: DataFrame, id_col: str, source_col: str, cluster_col: str, size_col: str) -> DataFrame:
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), cluster_col, (F.col(size_col) + 1).cast("long").alias("length"))
+    return rows.select("doc_id", "source", F.coalesce(cluster_col, F.xxhash64("doc_id", "source")).alias("cluster"), "length")
+
+
+def _by_words(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    lowered = F.translate(F.coalesce(text_col, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.filter(F.split(lowered, SPACES), lambda w: w != "")
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("words")
+    ).select(
+        "doc_id",
+        "source",
+        F.when(F.size("words") > 0, F.xxhash64("words")).otherwise(F.xxhash64("doc_id", "source")).alias("cluster"),
+        (F.size("words") + 1).cast("long").alias("length"),
+    )
+
+
 def pack_documents(
     docs: DataFrame,
     capacity: int = 2048,
@@ -77,6 +111,8 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    cluster_col: str | None = None,
+    size_col: str | None = None,
 ) -> DataFrame:
     """One row per piece: bin_id, slot, doc_id, piece, start_token, n_tokens, bin_tokens.
 
@@ -88,17 +124,14 @@ def pack_documents(
     repeated rows are packed each.  An empty table gives no rows.  Other
     columns are not read.  Only lengths and hashes are shuffled, to shards of
     about ``shard_pieces`` pieces, so no source or cluster lands in one task.
+
+    With ``cluster_col`` and ``size_col`` (longs, see :func:`measured`) the
+    cluster is that column's value, where it is null the row's id and source,
+    tokens are as many as the size says, and the text is not read.
     """
-    lowered = F.translate(F.coalesce(text_col, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.filter(F.split(lowered, SPACES), lambda w: w != "")
-    sizes = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("words")
-    ).select(
-        "doc_id",
-        "source",
-        F.when(F.size("words") > 0, F.xxhash64("words")).otherwise(F.xxhash64("doc_id", "source")).alias("cluster"),
-        (F.size("words") + 1).cast("long").alias("length"),
-    )
+    if (cluster_col is None) != (size_col is None):
+        raise ValueError("cluster_col and size_col go together")
+    sizes = _by_columns(docs, id_col, source_col, cluster_col, size_col) if cluster_col else _by_words(docs, id_col, text_col, source_col)
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(capacity).cast("long"))
     pieces = shared_table(
         sizes.select("doc_id", "source", "cluster", "length", F.posexplode(starts).alias("piece", "start_token")).select(

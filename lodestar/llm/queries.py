@@ -38,7 +38,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(read(spark, sf_dir, "documents"))
+    docs = packing.measured(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, cluster_col="cluster", size_col="size")
 
 
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -326,8 +326,8 @@ class TextCounter:
 _COUNTERS: dict[str, TextCounter] = {}
 
 
-def count_tokens(docs: DataFrame, spec_path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
+def count_tokens(docs: DataFrame, spec_path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit), and the columns in ``keep``.
 
     ``spec_path`` is a tokenizer JSON file that the driver can read; its text
     (a few MB) is sent to the workers.  Counts are those of the tokenizers
@@ -346,8 +346,9 @@ def count_tokens(docs: DataFrame, spec_path: str, limit: int = 2048, id_col: str
             column = batch.column(text_col)
             tokens = counter(column.to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(id_col), pc.binary_length(column).cast(pa.int64()), pa.array(tokens), pa.array(tokens > limit)],
-                names=[id_col, "n_bytes", "n_tokens", "over_limit"],
+                [batch.column(id_col), pc.binary_length(column).cast(pa.int64()), pa.array(tokens), pa.array(tokens > limit), *map(batch.column, keep)],
+                names=[id_col, "n_bytes", "n_tokens", "over_limit", *keep],
             )
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, f"{id_col} long, n_bytes long, n_tokens long, over_limit boolean")
+    kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return id_text(docs, id_col, text_col, *keep).mapInArrow(run, f"{id_col} long, n_bytes long, n_tokens long, over_limit boolean{kept}")

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 from lodestar.llm import packing
+from lodestar.llm.queries import op8_best_fit_packing
 from tests.llm.helpers import empty_docs, odd_docs
 
 
@@ -50,3 +51,19 @@ def test_every_token_is_packed_once_without_conflict(spark):
         text = "no id at all here" if doc_id is None else texts[doc_id] or ""
         assert sum(r.n_tokens for r in held) == copies * (len(text.split()) + 1)
     assert packing.pack_documents(empty_docs(spark)).count() == 0
+
+
+def test_near_copies_and_texts_without_blanks(spark, scratch_dir):
+    rng = random.Random(8)
+    words = [rng.choice("abcdefghij") + rng.choice("klmnopqrst") for _ in range(200)]
+    near = [" ".join(words[:i] + [f"changed{i}"] + words[i + 1 :]) for i in range(0, 120, 10)]
+    texts = [*near, near[3], "", None, "漢字仮名" * 3000]
+    rows = [(i, t, f"s{i}") for i, t in enumerate(texts)] + [(None, near[5], "none"), (None, near[5], "none either")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{scratch_dir}/documents.parquet")
+    out = op8_best_fit_packing(spark, scratch_dir).collect()
+    copies = [r.bin_id for r in out if r.doc_id is None or r.doc_id < 13]
+    assert len(copies) == 15 and len(set(copies)) == 15
+    cut = [r for r in out if r.doc_id == 15]
+    assert len(cut) > 1 and max(r.n_tokens for r in cut) == 2048
+    assert [r.start_token for r in sorted(cut, key=lambda r: r.piece)] == [2048 * i for i in range(len(cut))]
+    assert [r.n_tokens for r in out if r.doc_id in (13, 14)] == [1, 1]
