@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import byte_bpe, dedup, fingerprint, packing, quality, secrets, suffix_tree, token_counts, topk, wrappers
+from lodestar.llm import (
+    byte_bpe,
+    dedup,
+    fingerprint,
+    line_dedup,
+    packing,
+    quality,
+    secrets,
+    spelling,
+    suffix_tree,
+    token_counts,
+    token_links,
+    topk,
+    wrappers,
+)
 from lodestar.llm.common import read
 
 
@@ -50,6 +64,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(read(spark, sf_dir, "documents"), slip=97, min_chars=5, min_count=3, factor=2)
+
+
+def op13_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
@@ -61,6 +87,9 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_top_k": op9_top_k,
     "op10_quality": op10_quality,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_links": op13_token_links,
 }
 
 ORACLE_SQL = {
@@ -103,4 +132,20 @@ ORACLE_SQL = {
             select *, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank from hits
         ) where rank <= 5
     """,
+    "op11_line_dedup": """
+        with lines as (
+            select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+            from documents
+        ), keyed as (
+            select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+            from lines
+        ), common as (
+            select key from keyed where length(key) >= 1 group by key having count(distinct doc_id) >= 10
+        )
+        select doc_id, count(*) as n_lines, count(c.key) as n_dropped,
+            sha256(coalesce(string_agg(case when c.key is null then line end, chr(10) order by pos), '')) as kept_sha256
+        from keyed left join common c using (key) group by doc_id
+    """,
 }
