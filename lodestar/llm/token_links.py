@@ -1,16 +1,16 @@
 """Alignment of two tokenizers over a corpus, and how often their ids are linked.
 
 Both libraries report the span of every token.  Places where a token of each
-ends are coarse cuts; spans do not tell apart tokens that end inside one
-character (byte-level pieces, byte-fallback tokens), so a segment that holds
-such tokens is refined by the decoded bytes of its tokens.
+ends cut the text into groups.  Spans give these places coarsely: several
+tokens that lie in one character (byte-level pieces, byte-fallback tokens)
+cannot be told apart by them, and their ends are refined by the decoded bytes.
 
 A text is tokenized fragment by fragment: neither tokenizer has a token that
 runs over a blank between two visible characters (checked when the files are
 read), so fragments cut there give the tokens of the whole text, and a
-fragment is aligned once for all its occurrences.  The pairs of a block of
-documents are counted within the task; what is shuffled is one row per block
-and pair, not per document or occurrence.
+fragment is aligned once for all its occurrences in a block of documents.  The
+pairs of a block are counted within the task; what is shuffled is one row per
+block and pair, not per document or occurrence.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import itertools
 import json
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import id_text, shared_table, slices
 
 BLOCK_BYTES = 8 << 20
+LARGE_GROUP = 4096
 _MARK = "▁"
-_NONE = np.empty(0, np.int64)
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -44,51 +44,52 @@ def _byte_of_char() -> dict[str, int]:
 
 
 @dataclass
-class Fragment:
-    """One fragment's alignment; ``pairs`` are a-id << 32 | b-id, ``times`` the links of each."""
-
-    whole: bool  # both token sequences decode to the fragment
-    n_a: int = 0
-    n_b: int = 0
-    n_groups: int = 0
-    groups: str = ""
-    pairs: np.ndarray = field(default_factory=lambda: _NONE)
-    times: np.ndarray = field(default_factory=lambda: _NONE)
-
-
-def cut_ends(spans_a: list[int], spans_b: list[int], sizes_a: list[int], sizes_b: list[int]) -> list[tuple[int, int]]:
-    """(tokens of A, tokens of B) up to each common end, in order.
-
-    ``spans`` hold the end of every token in bytes as the libraries report it,
-    that of the whole character for tokens that end inside one; ``sizes`` the
-    number of decoded bytes.  A coarse cut is an end that both report, after
-    the last token reporting it; it counts if the decoded bytes reach it, which
-    they do not where the next token begins inside that character.  A segment
-    between coarse cuts with several tokens on both sides is refined by the
-    ends of the decoded bytes.
+class Aligned:
+    """Figures of each fragment, its groups as text, and its links as (first, pair, times); a pair is a-id << 32 | b-id."""
+
+    whole: np.ndarray  # both token sequences decode to the fragment
+    figures: np.ndarray  # n_a, n_b, n_groups, n_links; zeros if not whole
+    groups: list[bytes]  # each group ends in a semicolon
+    first: np.ndarray
+    pair: np.ndarray
+    times: np.ndarray
+
+
+def token_ends(spans: np.ndarray, clear: np.ndarray, decoded: np.ndarray) -> np.ndarray:
+    """End of every token in bytes: that of its span where the span is clear, else that of the decoded bytes.
+
+    A span is not clear if its token ends inside a character, so that the next
+    one begins before it ends or it is empty itself.
     """
-    last_a = {end: i + 1 for i, end in enumerate(spans_a)}
-    last_b = {end: i + 1 for i, end in enumerate(spans_b)}
-    ends_a, ends_b = [0, *itertools.accumulate(sizes_a)], [0, *itertools.accumulate(sizes_b)]
-    cuts, at_a, at_b = [], 0, 0
-    for end in sorted(last_a.keys() & last_b.keys()):
-        to_a, to_b = last_a[end], last_b[end]
-        if ends_a[to_a] != end or ends_b[to_b] != end:
-            continue
-        if to_a - at_a > 1 and to_b - at_b > 1:
-            inner_a = {ends_a[i]: i for i in range(at_a + 1, to_a)}
-            inner_b = {ends_b[i]: i for i in range(at_b + 1, to_b)}
-            cuts += [(inner_a[e], inner_b[e]) for e in sorted(inner_a.keys() & inner_b.keys())]
-        cuts.append((to_a, to_b))
-        at_a, at_b = to_a, to_b
-    return cuts
+    return np.where(clear, spans, decoded)
+
+
+def links_of(ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, n_groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, pair, times) in order of groups; ids of large groups are counted first, so that equal pairs are one."""
+    n_a, n_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
+    large = n_a * n_b > LARGE_GROUP
+    small = ~large[group_a]
+    of, repeated = group_a[small], n_b[group_a[small]]
+    step = np.arange(repeated.sum()) - np.repeat(np.cumsum(repeated) - repeated, repeated)
+    group = np.repeat(of, repeated)
+    pair = np.repeat(ids_a[small], repeated) << 32 | ids_b[np.searchsorted(group_b, group) + step]
+    times = np.ones(len(pair), np.int64)
+    if large.any():
+        parts = [(group, pair, times)]
+        for g in np.flatnonzero(large).tolist():
+            x, times_x = np.unique(ids_a[slice(*np.searchsorted(group_a, [g, g + 1]))], return_counts=True)
+            y, times_y = np.unique(ids_b[slice(*np.searchsorted(group_b, [g, g + 1]))], return_counts=True)
+            found = (x[:, None] << 32 | y[None, :]).ravel()
+            parts.append((np.full(len(found), g), found, (times_x[:, None] * times_y[None, :]).ravel()))
+        group, pair, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(group, kind="stable")
+        group, pair, times = group[order], pair[order], times[order]
+    return group, pair, times
 
 
 class Aligner:
     """Aligns fragments by a byte-level tokenizers JSON (A) and a sentencepiece model (B)."""
 
-    MOST_HELD = 200_000
-
     def __init__(self, spec: bytes, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
@@ -97,17 +98,18 @@ class Aligner:
         self.a = Tokenizer.from_str(spec.decode())
         self.a.encode_special_tokens = True
         bytes_of = _byte_of_char()
-        self.bytes_a: dict[int, bytes] = {}
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
+        vocab = self.a.get_vocab(with_added_tokens=True)
+        self.bytes_a = [b""] * (max(vocab.values()) + 1)
+        for token, i in vocab.items():
             known = all(c in bytes_of for c in token)
             self.bytes_a[i] = bytes(bytes_of[c] for c in token) if known else token.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.bytes_b = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)
-        ]
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array([len(t) for t in side], np.int64) for side in (self.bytes_a, self.bytes_b))
         self.cuttable = self._keeps_blanks_first(json.loads(spec), pieces, model)
-        self.held: dict[str, Fragment] = {}
+        shown = max(len(self.bytes_a), len(self.bytes_b))
+        self.shown = pa.array([f"{i}{sign}".encode() for i in range(shown) for sign in ",|;"], pa.large_binary())
 
     @staticmethod
     def _keeps_blanks_first(spec: dict, pieces: list[str], model: bytes) -> bool:
@@ -128,45 +130,78 @@ class Aligner:
             and not any(_MARK in p.lstrip(_MARK) for p in pieces)
         )
 
-    def add(self, fragments: list[str]) -> list[Fragment]:
-        """The alignment of each fragment; all begin with a blank."""
-        new = [f for f in fragments if f not in self.held]
-        if len(self.held) + len(new) > self.MOST_HELD:
-            self.held, new = {}, fragments
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
+    def _tokens(self, fragments: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """For A and for B: tokens of each fragment, ids, begins and ends of the spans."""
+        parts: tuple[list, list] = ([], [])
+        for at in range(0, len(fragments), 4096):
+            part = fragments[at : at + 4096]
             encoded = self.a.encode_batch(part, add_special_tokens=False)
+            ids = [e.ids for e in encoded]
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = itertools.chain.from_iterable(itertools.chain.from_iterable(e.offsets for e in encoded))
+            spans = np.fromiter(flat, np.int64, 2 * n.sum())
+            parts[0].append((n, np.fromiter(itertools.chain.from_iterable(ids), np.int64, n.sum()), spans[::2], spans[1::2]))
             protos = self.b.encode([f[1:] for f in part], return_type="proto", num_threads=1)
-            for f, a, b in zip(part, encoded, protos, strict=True):
-                self.held[f] = self._align(f, a, b)
-        return [self.held[f] for f in fragments]
-
-    def _align(self, text: str, a, b) -> Fragment:
-        raw = text.encode()
-        ids_a, ids_b = a.ids, [p.id for p in b.pieces]
-        parts_a, parts_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
-            return Fragment(False)
-        if len(raw) == len(text):
-            spans_a = [end for _, end in a.offsets]
-        else:
-            byte_at = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])]).tolist()
-            spans_a = [byte_at[end] for _, end in a.offsets]
-        spans_b = [p.end + 1 for p in b.pieces]  # A's text has one blank more in front
-        cuts = cut_ends(spans_a, spans_b, [len(p) for p in parts_a], [len(p) for p in parts_b])
-        shown, pairs, times, at_a, at_b = [], [], [], 0, 0
-        for to_a, to_b in cuts:
-            group_a, group_b = ids_a[at_a:to_a], ids_b[at_b:to_b]
-            shown.append(f"{','.join(map(str, group_a))}|{','.join(map(str, group_b))}")
-            distinct_a, times_a = np.unique(np.array(group_a, np.int64), return_counts=True)
-            distinct_b, times_b = np.unique(np.array(group_b, np.int64), return_counts=True)
-            pairs.append(((distinct_a << 32)[:, None] | distinct_b[None, :]).ravel())
-            times.append((times_a[:, None] * times_b[None, :]).ravel())
-            at_a, at_b = to_a, to_b
-        distinct, where = np.unique(np.concatenate(pairs), return_inverse=True)
-        total = np.zeros(len(distinct), np.int64)
-        np.add.at(total, where, np.concatenate(times))
-        return Fragment(True, len(ids_a), len(ids_b), len(cuts), ";".join(shown), distinct, total)
+            n = np.fromiter((len(p.pieces) for p in protos), np.int64, len(part))
+            flat = (x for p in protos for t in p.pieces for x in (t.id, t.begin, t.end))
+            spans = np.fromiter(flat, np.int64, 3 * n.sum())
+            parts[1].append((n, spans[::3], spans[1::3], spans[2::3]))
+        return tuple([np.concatenate(x) for x in zip(*side, strict=True)] for side in parts)
+
+    def add(self, fragments: list[str]) -> Aligned:
+        """The alignment of each fragment; all begin with a blank."""
+        if not fragments:
+            none = np.empty(0, np.int64)
+            return Aligned(none.astype(bool), none.reshape(0, 4), [], np.zeros(1, np.int64), none, none)
+        (n_a, ids_a, begin_a, end_a), (n_b, ids_b, begin_b, end_b) = self._tokens(fragments)
+        data = "".join(fragments).encode()
+        raw = np.frombuffer(data, np.uint8)
+        chars = np.concatenate([np.flatnonzero((raw & 0xC0) != 0x80), [len(raw)]])  # first byte of every character
+        count = np.fromiter(map(len, fragments), np.int64, len(fragments))
+        starts = chars[np.concatenate([[0], np.cumsum(count)])]
+        whole = np.ones(len(fragments), bool)
+        sides = []
+        for n, ids, size, text in ((n_a, ids_a, self.size_a, self.bytes_a), (n_b, ids_b, self.size_b, self.bytes_b)):
+            of = np.repeat(np.arange(len(n)), n)
+            total = np.concatenate([[0], np.cumsum(size[ids])])
+            bounds = total[np.concatenate([[0], np.cumsum(n)])]
+            joined = b"".join(map(text.__getitem__, ids.tolist()))
+            if joined != data or not np.array_equal(bounds, starts):
+                whole &= [joined[a:b] == data[c:d] for a, b, c, d in zip(bounds, bounds[1:], starts, starts[1:], strict=False)]
+            sides.append((of, total[1:] + (starts[:-1] - bounds[:-1])[of]))
+        (of_a, decoded_a), (of_b, decoded_b) = sides
+        keep_a, keep_b = whole[of_a], whole[of_b]
+
+        inside = np.concatenate([(of_a[1:] == of_a[:-1]) & (begin_a[1:] < end_a[:-1]), [False]])[: len(of_a)]
+        first_char = np.cumsum(count) - count
+        ends_a = token_ends(chars[first_char[of_a] + end_a], ~inside, decoded_a)[keep_a]
+        ends_b = token_ends(starts[of_b] + 1 + end_b, begin_b < end_b, decoded_b)[keep_b]  # A's text has one blank more in front
+        of_a, ids_a, of_b, ids_b = of_a[keep_a], ids_a[keep_a], of_b[keep_b], ids_b[keep_b]
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        of_group = np.searchsorted(starts, cuts) - 1
+        group, pair, times = links_of(ids_a, ids_b, group_a, group_b, len(cuts))
+        of_link = of_group[group]
+
+        def total_of(of: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+            return np.bincount(of, weights, len(fragments)).astype(np.int64)
+
+        figures = np.stack([total_of(of_a), total_of(of_b), total_of(of_group), total_of(of_link, times)], 1)
+        first = np.searchsorted(of_link, np.arange(len(fragments) + 1))
+        return Aligned(whole, figures, self._shown(len(fragments), of_group, ids_a, ids_b, group_a, group_b), first, pair, times)
+
+    def _shown(self, n: int, of_group: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> list[bytes]:
+        """Each fragment's groups as a1,a2|b1;"""
+        side = np.concatenate([group_a * 2, group_b * 2 + 1])
+        order = np.argsort(side, kind="stable")
+        ids, side = np.concatenate([ids_a, ids_b])[order], side[order]
+        last = np.concatenate([side[1:] != side[:-1], [True]])[: len(side)]
+        sign = np.where(last, 1 + side % 2, 0)
+        text = self.shown.take(pa.array(ids * 3 + sign))
+        offsets = np.frombuffer(text.buffers()[1], np.int64)[: len(ids) + 1]
+        data = text.buffers()[2].to_pybytes() if len(ids) else b""
+        bounds = offsets[np.searchsorted(of_group[side // 2], np.arange(n + 1))].tolist()
+        return [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
 @lru_cache(maxsize=1)
@@ -241,25 +276,19 @@ def block_of(aligner: Aligner, ids: list, texts: list[str]) -> Block:
     found = aligner.add(pieces.dictionary.to_pylist())
 
     held = np.searchsorted(starts, rows)  # fragments of a document: held[i] to held[i + 1]
-    whole = np.array([f.whole for f in found], bool)[which] if found else np.empty(0, bool)
-    bad = np.concatenate([[0], np.cumsum(~whole)])
+    bad = np.concatenate([[0], np.cumsum(~found.whole[which])])
     good_doc = (bad[held[1:]] == bad[held[:-1]]) & (held[1:] > held[:-1])
-    figures = np.array([[f.n_a, f.n_b, f.n_groups, int(f.times.sum())] for f in found], np.int64).reshape(len(found), 4)
-    sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(figures[which], 0)])
+    sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(found.figures[which], 0)])
     sums = (sums[held[1:]] - sums[held[:-1]]) * good_doc[:, None]
-    shown = [f.groups for f in found]
     out = []
     for i, doc_id in enumerate(ids):
-        groups = ";".join([shown[k] for k in which[held[i] : held[i + 1]].tolist()]) if good_doc[i] else ""
-        out.append((doc_id, *sums[i].tolist(), hashlib.sha256(groups.encode()).hexdigest() if good_doc[i] else ""))
-
-    counts = np.array([len(f.pairs) for f in found], np.int64)
-    every = np.concatenate([f.pairs for f in found]) if found else _NONE
-    links = np.concatenate([f.times for f in found]) if found else _NONE
-    begin = np.cumsum(counts) - counts
-    keys, number = np.unique(every, return_inverse=True)
+        groups = b"".join([found.groups[k] for k in which[held[i] : held[i + 1]].tolist()])[:-1] if good_doc[i] else b""
+        out.append((doc_id, *sums[i].tolist(), hashlib.sha256(groups).hexdigest() if good_doc[i] else ""))
+
+    begin, counts, links = found.first[:-1], np.diff(found.first), found.times
+    keys, number = np.unique(found.pair, return_inverse=True)
     doc_of = np.repeat(np.arange(len(ids)), np.diff(held))
-    keep = good_doc[doc_of] if len(doc_of) else np.empty(0, bool)
+    keep = good_doc[doc_of]
     doc_of, used = doc_of[keep], which[keep]
     lengths = counts[used]
     at = np.repeat(begin[used] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())

@@ -128,9 +128,16 @@ def test_empty_tables(spark):
     assert found(token_links.align(only_empty, A, B)) == [(1, 0, 0, 0, 0, 0, 0, ""), (None, 0, 0, 0, 0, 0, 0, "")]
 
 
-def test_decoded_bytes_refine_segments_that_spans_do_not_cut():
-    # one character of three bytes: A has 2 + 1 bytes, B has three byte tokens, all spans end with the character
-    assert token_links.cut_ends([1, 4, 4], [1, 4, 4, 4], [1, 2, 1], [1, 1, 1, 1]) == [(1, 1), (2, 3), (3, 4)]
-    assert token_links.cut_ends([4], [2, 4], [4], [2, 2]) == [(1, 2)]
-    # A's second token begins inside the first character: its end is no cut
-    assert token_links.cut_ends([3, 6, 6], [3, 6], [2, 3, 1], [3, 3]) == [(3, 2)]
+def test_large_groups_are_counted_by_distinct_ids(spark, monkeypatch, libraries):
+    text = "it's 漢字漢字 e\u0301te\u0301 " * 3 + "a" * 300
+    want = expected(libraries, [(1, text)])[0]
+    for limit in (0, 1, 3, 4096):
+        monkeypatch.setattr(token_links, "LARGE_GROUP", limit)
+        assert found(token_links.align(spark.createDataFrame([(1, text)], "doc_id long, text string"), A, B)) == want
+
+
+def test_decoded_bytes_refine_spans():
+    import numpy as np
+
+    # the second token begins inside the first one's character: its end is that of the decoded bytes
+    assert token_links.token_ends(np.array([3, 6, 6]), np.array([False, False, True]), np.array([2, 5, 6])).tolist() == [2, 5, 6]
