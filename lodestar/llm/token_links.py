@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import id_text, shared_table, slices
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 LARGE_GROUP = 4096
+ADDED = 32_768  # fragments aligned at a time
 _MARK = "▁"
 
 
@@ -54,6 +55,18 @@ class Aligned:
     pair: np.ndarray
     times: np.ndarray
 
+    def with_more(self, *others: Aligned) -> Aligned:
+        every = (self, *others)
+        counts = np.concatenate([np.diff(x.first) for x in every])
+        return Aligned(
+            np.concatenate([x.whole for x in every]),
+            np.concatenate([x.figures for x in every]),
+            [g for x in every for g in x.groups],
+            np.concatenate([[0], np.cumsum(counts)]),
+            np.concatenate([x.pair for x in every]),
+            np.concatenate([x.times for x in every]),
+        )
+
 
 def token_ends(spans: np.ndarray, clear: np.ndarray, decoded: np.ndarray) -> np.ndarray:
     """End of every token in bytes: that of its span where the span is clear, else that of the decoded bytes.
@@ -88,7 +101,13 @@ def links_of(ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b:
 
 
 class Aligner:
-    """Aligns fragments by a byte-level tokenizers JSON (A) and a sentencepiece model (B)."""
+    """Aligns fragments by a byte-level tokenizers JSON (A) and a sentencepiece model (B).
+
+    Fragments met before are remembered; the memory is cleared when full, which
+    costs time but changes nothing.
+    """
+
+    MOST_HELD = 500_000
 
     def __init__(self, spec: bytes, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -109,6 +128,8 @@ class Aligner:
         self.size_a, self.size_b = (np.array([len(t) for t in side], np.int64) for side in (self.bytes_a, self.bytes_b))
         self.cuttable = self._keeps_blanks_first(json.loads(spec), pieces, model)
         shown = max(len(self.bytes_a), len(self.bytes_b))
+        self.held: dict[str, int] = {}
+        self.known = self.add([])
         self.shown = pa.array([f"{i}{sign}".encode() for i in range(shown) for sign in ",|;"], pa.large_binary())
 
     @staticmethod
@@ -130,6 +151,18 @@ class Aligner:
             and not any(_MARK in p.lstrip(_MARK) for p in pieces)
         )
 
+    def look_up(self, fragments: list[str]) -> tuple[Aligned, np.ndarray]:
+        """The alignments held, and the place of each of the distinct ``fragments`` in them."""
+        new = [f for f in fragments if f not in self.held]
+        if len(self.held) + len(new) > self.MOST_HELD:
+            self.held, self.known, new = {}, self.add([]), fragments
+        if new:
+            n = len(self.held)
+            self.held.update(zip(new, range(n, n + len(new)), strict=True))
+            parts = [self.add(new[at : at + ADDED]) for at in range(0, len(new), ADDED)]
+            self.known = self.known.with_more(*parts)
+        return self.known, np.fromiter(map(self.held.__getitem__, fragments), np.int64, len(fragments))
+
     def _tokens(self, fragments: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """For A and for B: tokens of each fragment, ids, begins and ends of the spans."""
         parts: tuple[list, list] = ([], [])
@@ -273,25 +306,32 @@ def block_of(aligner: Aligner, ids: list, texts: list[str]) -> Block:
     offsets = np.concatenate([starts, [len(data)]]).astype(np.int64)
     pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
     which = pieces.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    found = aligner.add(pieces.dictionary.to_pylist())
+    found, place = aligner.look_up(pieces.dictionary.to_pylist())
 
     held = np.searchsorted(starts, rows)  # fragments of a document: held[i] to held[i + 1]
-    bad = np.concatenate([[0], np.cumsum(~found.whole[which])])
+    bad = np.concatenate([[0], np.cumsum(~found.whole[place][which])])
     good_doc = (bad[held[1:]] == bad[held[:-1]]) & (held[1:] > held[:-1])
-    sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(found.figures[which], 0)])
+    sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(found.figures[place][which], 0)])
     sums = (sums[held[1:]] - sums[held[:-1]]) * good_doc[:, None]
+    shown = [found.groups[k] for k in place.tolist()]
     out = []
     for i, doc_id in enumerate(ids):
-        groups = b"".join([found.groups[k] for k in which[held[i] : held[i + 1]].tolist()])[:-1] if good_doc[i] else b""
+        groups = b"".join([shown[k] for k in which[held[i] : held[i + 1]].tolist()])[:-1] if good_doc[i] else b""
         out.append((doc_id, *sums[i].tolist(), hashlib.sha256(groups).hexdigest() if good_doc[i] else ""))
 
-    begin, counts, links = found.first[:-1], np.diff(found.first), found.times
-    keys, number = np.unique(found.pair, return_inverse=True)
+    def spread(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """begin[0], .., begin[0] + lengths[0] - 1, begin[1], .."""
+        return np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+
+    counts = np.diff(found.first)[place]
+    taken = spread(found.first[place], counts)
+    links, begin = found.times[taken], np.cumsum(counts) - counts
+    keys, number = np.unique(found.pair[taken], return_inverse=True)
     doc_of = np.repeat(np.arange(len(ids)), np.diff(held))
     keep = good_doc[doc_of]
     doc_of, used = doc_of[keep], which[keep]
     lengths = counts[used]
-    at = np.repeat(begin[used] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+    at = spread(begin[used], lengths)
     both, where = np.unique(np.repeat(doc_of, lengths) * max(1, len(keys)) + number[at], return_inverse=True)
     times = np.bincount(where, links[at], len(both)).astype(np.int64)  # exact below 2**53
     docs, pair = np.divmod(both, max(1, len(keys)))

@@ -102,9 +102,10 @@ def odd_texts():
     return [" lead", "trail ", "▁mark", "mark▁ inside", " ", "\n", "é x", "é é я я 漢 漢 字", "a" * 5000, "é" * 3000, "漢" * 2000, *mixed, long]
 
 
-@pytest.mark.parametrize("block", [8 << 20, 300])
-def test_against_whole_texts(spark, monkeypatch, libraries, block):
+@pytest.mark.parametrize("block,held", [(8 << 20, 300_000), (300, 300_000), (2000, 50)])
+def test_against_whole_texts(spark, monkeypatch, libraries, block, held):
     monkeypatch.setattr(token_links, "BLOCK_BYTES", block)
+    monkeypatch.setattr(token_links.Aligner, "MOST_HELD", held)
     extra = [(100 + i, t, None, None, None, None, None, None, None) for i, t in enumerate(odd_texts())]
     docs = odd_docs(spark, extra=extra)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
