@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.scalar import col_of
+from lodestar.operators import sampling
 
 
 def select_range(df: DataFrame, first: str, last: str, *extra: str) -> DataFrame:
@@ -99,12 +100,8 @@ def sample_about(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
 
 
 def sample_exact(df: DataFrame, n: int, seed: int = 42, key: Sequence[str] | None = None) -> DataFrame:
-    """Exactly ``min(n, count)`` rows chosen by a seeded hash of ``key`` (default: all columns).
-
-    Plans as a distributed top-n (each partition keeps n, one task merges them).
-    """
-    cols = [F.col(c) for c in (key or df.columns)]
-    return df.orderBy(F.xxhash64(F.lit(seed), *cols)).limit(n)
+    """Exactly ``min(n, count)`` rows chosen by a seeded hash of ``key`` (default: all columns) (P17); see ``sampling``."""
+    return sampling.sample_exact(df, n, key, seed)
 
 
 def random_split(df: DataFrame, weights: Mapping[str, float], seed: int = 42) -> dict[str, DataFrame]:
@@ -117,18 +114,16 @@ def random_split(df: DataFrame, weights: Mapping[str, float], seed: int = 42) ->
 def hash_split(
     df: DataFrame, weights: Mapping[str, float], key: Sequence[str] | str, seed: int = 42
 ) -> dict[str, DataFrame]:
-    """Deterministic split on a 64-bit hash of ``key``: independent of partitioning and
-    re-runs; parts are disjoint and cover the input, and the cut points are exact to
-    2**-64 of the weights (P18, M35)."""
-    keys = [key] if isinstance(key, str) else list(key)
+    """Deterministic split on the portable row hash of ``key`` (``sampling.row_hash``): independent of
+    partitioning and re-runs; parts are disjoint and cover the input, and the cut points are exact to
+    2**-60 of the weights (P18)."""
     total = sum(Fraction(w) for w in weights.values())
-    h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
-    out, done, lo = {}, Fraction(0), -(2**63)
+    h = sampling.row_hash(key, seed)
+    out, done, lo = {}, Fraction(0), 0
     for name, weight in weights.items():
         done += Fraction(weight)
-        hi = round(done / total * 2**64) - 2**63
-        # a part ends below its cut; the last cut, 2**63, is past the largest hash
-        out[name] = df.where((h >= F.lit(lo)) & (h <= F.lit(hi - 1))) if hi > lo else df.where(F.lit(False))
+        hi = round(done / total * 2**sampling.HASH_BITS)
+        out[name] = df.where((h >= F.lit(lo)) & (h < F.lit(hi)))
         lo = hi
     return out
 

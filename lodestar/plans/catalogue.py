@@ -9,13 +9,14 @@ through ``conform`` so both engines emit the same types and rounding.
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.defaults import PROFILE_PROBABILITIES as PROBS
 from lodestar.functions import scalar as fx
-from lodestar.operators import geo, joins, rollups, setops, verbs, visagg, windows
+from lodestar.operators import geo, joins, rollups, sampling, setops, verbs, visagg, windows
 from lodestar.plans import standins as si
 from lodestar.plans.contract import conform, day_text, i8, r4, ts_text
 
@@ -1120,12 +1121,48 @@ def m04_simple_ols(spark, d):
 
 @register("m05_linear_summary", None)
 def m05_linear_summary(spark, d):
-    """Coefficients with standard errors, t and p values, R² and RMSE of the gain model."""
-    from lodestar.ml import models
+    """Coefficients with standard errors, t and p values, R², RMSE and residual quantiles of the gain model."""
+    from lodestar.ml import gram
 
-    g = si.flights(spark, d).withColumn("gain", F.col("depdelay") - F.col("arrdelay"))
-    m = models.fit_regressor(g, "gain ~ distance + depdelay + uniquecarrier", "linear")
-    return models.linear_summary(m, g)
+    return gram.linear_summary(_gain_table(spark, d), "gain", ["distance", "depdelay"], ["uniquecarrier"])
+
+
+#: Moments of two predictors x, z and a label y over the rows of ``pts`` that satisfy a condition.
+def _moments_sql(condition: str = "true") -> str:
+    return (
+        "SELECT count(*) AS n, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, var_pop(x) AS vx, var_pop(z) AS vz, var_pop(y) AS vy, "
+        f"covar_pop(x, z) AS cxz, covar_pop(x, y) AS cxy, covar_pop(z, y) AS czy FROM pts WHERE {condition}"
+    )
+
+
+_POINTS_SQL = ", pts AS (SELECT depdelay AS x, distance AS z, depdelay - arrdelay AS y FROM flights)"
+_OLS_SQL = (
+    _POINTS_SQL
+    + f", mo AS ({_moments_sql()}), fit AS (SELECT *, (cxy * vz - czy * cxz) / (vx * vz - cxz * cxz) AS bx, "
+    "(czy * vx - cxy * cxz) / (vx * vz - cxz * cxz) AS bz FROM mo), "
+    "lin AS (SELECT *, my - bx * mx - bz * mz AS b0, vy - bx * cxy - bz * czy AS mse, n * vx * (1 - cxz * cxz / (vx * vz)) AS sx, "
+    "n * vz * (1 - cxz * cxz / (vx * vz)) AS sz FROM fit) "
+)
+
+
+@register(
+    "m05_two_predictors",
+    W(si.FLIGHTS_SQL)
+    + _OLS_SQL
+    + ", res AS (SELECT "
+    + ", ".join(f"quantile_cont(y - b0 - bx * x - bz * z, {q}) AS q{i}" for i, q in enumerate((0, 0.25, 0.5, 0.75, 1)))
+    + " FROM pts, lin), rows AS (SELECT '(Intercept)' AS term, b0 AS estimate, "
+    "sqrt(mse * n / (n - 3) * (1 / n + (mx * mx * vz - 2 * mx * mz * cxz + mz * mz * vx) / (n * (vx * vz - cxz * cxz)))) AS std_error FROM lin "
+    "UNION ALL SELECT 'depdelay', bx, sqrt(mse * n / (n - 3) / sx) FROM lin UNION ALL SELECT 'distance', bz, sqrt(mse * n / (n - 3) / sz) FROM lin) "
+    f"SELECT term, {r4('estimate')} AS estimate, {r4('std_error')} AS std_error, {r4('estimate / std_error')} AS t_value, "
+    f"{r4('1 - mse / vy')} AS r2, {r4('sqrt(mse)')} AS rmse, {r4('q0')} AS res_min, {r4('q1')} AS res_q1, {r4('q2')} AS res_median, "
+    f"{r4('q3')} AS res_q3, {r4('q4')} AS res_max FROM rows, lin, res",
+)
+def m05_two_predictors(spark, d):
+    """Summary of the gain model on two predictors with the residual quantiles, against the closed form."""
+    from lodestar.ml import gram
+
+    return gram.linear_summary(_gain_table(spark, d), "gain", ["depdelay", "distance"]).drop("p_value")
 
 
 def _classifier_metrics(spark, d, kind: str) -> DataFrame:
@@ -1285,7 +1322,13 @@ def m21_out_of_time(spark, d):
     )
 
 
-@register("m22_glm_gaussian", None)
+@register(
+    "m22_glm_gaussian",
+    W(si.FLIGHTS_SQL)
+    + _OLS_SQL
+    + f"SELECT '(Intercept)' AS term, {r4('b0')} AS estimate FROM lin UNION ALL SELECT 'depdelay', {r4('bx')} FROM lin "
+    f"UNION ALL SELECT 'distance', {r4('bz')} FROM lin",
+)
 def m22_glm_gaussian(spark, d):
     """Gaussian GLM without penalty; coefficients equal the least-squares fit."""
     from lodestar.ml import models
@@ -1301,11 +1344,72 @@ def m22_glm_gaussian(spark, d):
 
 @register("m23_penalty_path", None)
 def m23_penalty_path(spark, d):
-    """Penalty path of a linear model chosen on a held-out part."""
-    from lodestar.ml import search
+    """Elastic-net path of a linear model with carrier levels, chosen on a held-out part, from one scan."""
+    from lodestar.ml import gram
 
-    _, table = search.penalty_path(_gain_table(spark, d), "gain ~ depdelay + distance + uniquecarrier", [0.0, 0.01, 0.1, 1.0])
-    return table
+    g = _gain_table(spark, d)
+    held = sampling.fold_of(["year", "depdelay", "arrdelay"], 5) == 0
+    return gram.penalty_path(g, "gain", ["depdelay", "distance"], ["uniquecarrier"], [0.0, 0.01, 0.1, 1.0], held, 0.5)[1]
+
+
+_KEYED_POINTS_SQL = (
+    ", pts AS (SELECT l.l_quantity AS x, p.p_retailprice AS z, l.l_quantity - CAST(p.p_size AS DOUBLE) AS y, "
+    f"{sampling.hash_sql(['l_orderkey', 'l_linenumber'])} AS h FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"
+)
+
+
+def _keyed_gain(spark, d):
+    li, p = si.table(spark, d, "lineitem"), si.table(spark, d, "part")
+    return li.join(p, li["l_partkey"] == p["p_partkey"]).select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("depdelay"), F.col("p_retailprice").alias("distance"),
+        (F.col("l_quantity") - F.col("p_size")).alias("gain"),
+    )
+
+
+def _ridge_sql(source: str) -> str:
+    """Ridge on two predictors for each penalty of ``pen`` from the moments in ``source``: bx, bz, b0 beside the moments."""
+    return (
+        "SELECT *, my - bx * mx - bz * mz AS b0 FROM (SELECT *, ((1 + penalty) * rx - rho * rz) / ((1 + penalty) ** 2 - rho * rho) / sqrt(vx) AS bx, "
+        "((1 + penalty) * rz - rho * rx) / ((1 + penalty) ** 2 - rho * rho) / sqrt(vz) AS bz FROM "
+        f"(SELECT *, cxy / sqrt(vx) AS rx, czy / sqrt(vz) AS rz, cxz / sqrt(vx * vz) AS rho FROM {source}, pen))"
+    )
+
+
+_PENALTIES = [i / 25 for i in range(50)]
+_PEN_SQL = "pen AS (SELECT i / 25 AS penalty FROM range(50) t(i))"
+
+
+@register(
+    "m23_ridge_path",
+    "WITH " + _KEYED_POINTS_SQL[2:] + f", {_PEN_SQL}, mo AS ({_moments_sql('h % 5 <> 0')}), fit AS ({_ridge_sql('mo')}) "
+    f"SELECT penalty, {r4('any_value(bx)')} AS bx, {r4('any_value(bz)')} AS bz, {r4('any_value(b0)')} AS b0, "
+    f"{r4('sqrt(avg((y - b0 - bx * x - bz * z) ** 2))')} AS rmse FROM fit JOIN (SELECT x, z, y FROM pts WHERE h % 5 = 0) ON true GROUP BY penalty",
+)
+def m23_ridge_path(spark, d):
+    """Ridge path of 50 penalties from one scan, coefficients and held-out RMSE against the closed form."""
+    from lodestar.ml import gram
+
+    g = _keyed_gain(spark, d)
+    held = sampling.fold_of(["l_orderkey", "l_linenumber"], 5) == 0
+    fits, table = gram.penalty_path(g, "gain", ["depdelay", "distance"], [], _PENALTIES, held)
+    wide = gram.coefficient_table(g, fits).groupBy("penalty").pivot("term", ["depdelay", "distance", "(Intercept)"]).agg(F.first("estimate"))
+    return wide.toDF("penalty", "bx", "bz", "b0").join(table.select("penalty", "rmse"), "penalty")
+
+
+@register(
+    "m24_ridge_folds",
+    "WITH " + _KEYED_POINTS_SQL[2:] + ", pen AS (SELECT unnest([0.0, 0.1, 1.0]::DOUBLE[]) AS penalty), "
+    + ", ".join(f"mo{k} AS ({_moments_sql(f'h % 3 <> {k}')}), fit{k} AS ({_ridge_sql(f'mo{k}')})" for k in range(3))
+    + ", ".join(["", "fits AS (" + " UNION ALL ".join(f"SELECT {k} AS fold, * FROM fit{k}" for k in range(3)) + ") "])
+    + f"SELECT penalty, CAST(fold AS BIGINT) AS fold, count(*) AS n, {r4('sqrt(avg((pts.y - b0 - bx * pts.x - bz * pts.z) ** 2))')} AS rmse "
+    "FROM fits JOIN pts ON pts.h % 3 = fold GROUP BY penalty, fold",
+)
+def m24_ridge_folds(spark, d):
+    """Three-fold cross-validation of a ridge path from one scan; each fold is left out by subtraction."""
+    from lodestar.ml import gram
+
+    fold = sampling.fold_of(["l_orderkey", "l_linenumber"], 3)
+    return gram.cross_validate(_keyed_gain(spark, d), "gain", ["depdelay", "distance"], [], [0.0, 0.1, 1.0], fold)
 
 
 @register("m24_cv_logistic", None)
@@ -1403,25 +1507,64 @@ def m33_compare_classifiers(spark, d):
 
 
 # ================================================================ sampling
-@register("p16_bernoulli_sample", None)
+_LINE_KEY = ["l_orderkey", "l_linenumber"]
+_LINES = (
+    "SELECT "
+    + ", ".join(f"{i8(c)} AS {c}" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    + ", "
+    + ", ".join(f"{r4(c)} AS {c}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    + f", l_returnflag, l_linestatus, {day_text('l_shipdate')} AS shipped FROM lineitem "
+)
+
+
+def _lines(spark, d):
+    li = si.table(spark, d, "lineitem")
+    return li.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", F.to_date("l_shipdate").alias("shipped"),
+    )
+
+
+@register("p16_bernoulli_sample", _LINES + f"WHERE {sampling.hash_sql(_LINE_KEY, 7)} < {round(Fraction(0.01) * 2**sampling.HASH_BITS)}")
 def p16_bernoulli_sample(spark, d):
-    """Bernoulli 1 % sample of the line items."""
-    return verbs.bernoulli_sample(si.table(spark, d, "lineitem"), 0.01, seed=7)
+    """Bernoulli 1 % sample of the line items by a hash that any engine repeats."""
+    return sampling.hash_sample(_lines(spark, d), 0.01, _LINE_KEY, seed=7)
 
 
-@register("p17_sample_exact", None)
+_LINE_ORDER = (
+    "lineitem.l_orderkey, lineitem.l_partkey, lineitem.l_suppkey, lineitem.l_linenumber, lineitem.l_quantity, lineitem.l_extendedprice, "
+    "lineitem.l_discount, lineitem.l_tax, l_returnflag, l_linestatus, l_shipdate"
+)
+
+
+@register("p17_sample_exact", _LINES + f"ORDER BY {sampling.hash_sql(_LINE_KEY, 7)}, {_LINE_ORDER} LIMIT 500")
 def p17_sample_exact(spark, d):
-    """Exactly 500 line items chosen by a seeded hash."""
-    return verbs.sample_exact(si.table(spark, d, "lineitem"), 500, seed=7)
+    """Exactly 500 line items, those of the smallest hashes; equal keys by all columns."""
+    return verbs.sample_exact(_lines(spark, d), 500, seed=7, key=_LINE_KEY)
 
 
-@register("p18_split", None)
+@register(
+    "p18_split",
+    f"SELECT CASE WHEN {sampling.hash_sql(['o_orderkey'], 7)} < {round(Fraction(0.8) / (Fraction(0.8) + Fraction(0.2)) * 2**sampling.HASH_BITS)} "
+    "THEN 'train' ELSE 'test' END AS part, count(*) AS n FROM orders GROUP BY 1",
+)
 def p18_split(spark, d):
     """Seeded 80 / 20 hash split of the orders; part sizes."""
     parts = verbs.hash_split(si.table(spark, d, "orders"), {"train": 0.8, "test": 0.2}, "o_orderkey", seed=7)
     return setops.tagged_union({k: rollups.row_count(v) for k, v in parts.items()}, "part")
 
 
+@register(
+    "m35_exact_split",
+    f"SELECT {i8('o_orderkey')} AS o_orderkey, CASE WHEN row_number() OVER (ORDER BY {sampling.hash_sql(['o_orderkey'], 7)}) "
+    "<= floor(0.7 * count(*) OVER () + 0.5) THEN 'train' ELSE 'test' END AS part FROM orders",
+)
+def m35_exact_split(spark, d):
+    """70 / 30 split of the orders into parts of exact sizes."""
+    orders = si.table(spark, d, "orders").select("o_orderkey")
+    return setops.tagged_union(sampling.split_by_weights(orders, {"train": Fraction(7, 10), "test": Fraction(3, 10)}, "o_orderkey", seed=7), "part")
+
+
 # ================================================================ verbs
 @register(
     "p01_select_range",
@@ -1913,7 +2056,7 @@ def s27_typed_codes(spark, d):
     return files.read_csv(spark, path, files.schema_from_codes(names, "iicdDi"))
 
 
-@register("s14_bucketed_table", _ORDERS + " WHERE o_custkey % 2 = 0")
+@register("s14_bucketed_table", _ORDERS)
 def s14_bucketed_table(spark, d):
     """Orders saved as a table in buckets of the customer key, cached by its qualified name and read back."""
     import uuid
@@ -1922,7 +2065,7 @@ def s14_bucketed_table(spark, d):
 
     name = f"default.orders_{uuid.uuid4().hex}"
     catalog.save_table(_orders(spark, d), name, bucket_by=(8, ["o_custkey"]), sort_by=["o_custkey"])
-    return catalog.cache_table(spark, name).where(F.col("o_custkey") % 2 == 0)
+    return catalog.cache_table(spark, name)
 
 
 @register(
