@@ -1168,9 +1168,9 @@ def m05_two_predictors(spark, d):
 def _classifier_metrics(spark, d, kind: str) -> DataFrame:
     from lodestar.ml import evaluate, models
 
-    lab = _labelled(spark, d)
-    m = models.fit_classifier(lab, "label ~ n_chars + lang + source", kind)
-    scored = models.positive_probability(m.transform(lab))
+    parts = verbs.hash_split(_labelled(spark, d), {"train": 0.75, "valid": 0.25}, "doc_id")
+    m = models.fit_classifier(parts["train"], "label ~ n_chars + lang + source", kind)
+    scored = models.positive_probability(m.transform(parts["valid"]))
     a = evaluate.auc(scored, "score", "label").select("auc")
     acc = evaluate.accuracy_at(scored, "score", "label", 0.5)
     return a.withColumn("accuracy", acc.scalar())
@@ -1191,9 +1191,9 @@ def m11_perceptron(spark, d):
     """Perceptron whose input layer is the encoded width."""
     from lodestar.ml import evaluate, models
 
-    lab = _labelled(spark, d)
-    m = models.fit_perceptron(lab, "label ~ n_chars + lang + source", hidden=(15,))
-    scored = models.positive_probability(m.transform(lab))
+    parts = verbs.hash_split(_labelled(spark, d), {"train": 0.75, "valid": 0.25}, "doc_id")
+    m = models.fit_perceptron(parts["train"], "label ~ n_chars + lang + source", hidden=(15,))
+    scored = models.positive_probability(m.transform(parts["valid"]))
     return evaluate.auc(scored, "score", "label")
 
 
@@ -1414,11 +1414,19 @@ def m24_ridge_folds(spark, d):
 
 @register("m24_cv_logistic", None)
 def m24_cv_logistic(spark, d):
-    """Binomial GLM with 3-fold cross-validation, mean AUC per penalty."""
-    from lodestar.ml import search
+    """Binomial GLM with 3-fold cross-validation, AUC per penalty and fold, one scan per Newton step."""
+    from lodestar.ml import logistic_cv
 
-    _, table = search.cross_validated_logistic(_labelled(spark, d), "label ~ n_chars + lang + source", 3)
-    return table
+    return logistic_cv.cross_validate(_labelled(spark, d), "label", ["n_chars"], ["lang", "source"], [0.0, 0.01, 0.1], 3, "doc_id")
+
+
+@register(
+    "m24_fold_sizes",
+    W(si.TITANIC_SQL) + _LABELLED_SQL + f"SELECT CAST({sampling.hash_sql(['doc_id'])} % 3 AS BIGINT) AS fold, count(*) AS n FROM lab GROUP BY 1",
+)
+def m24_fold_sizes(spark, d):
+    """Sizes of the folds by the portable hash of the key."""
+    return rollups.group_count(_labelled(spark, d).select(sampling.fold_of("doc_id", 3).alias("fold")), "fold")
 
 
 @register("m25_pca", None)
@@ -1466,26 +1474,37 @@ def m28_grid_search(spark, d):
     from lodestar.ml import search
 
     g = _gain_table(spark, d)
-    parts = verbs.hash_split(g.withColumn("k", F.monotonically_increasing_id()), {"train": 0.8, "valid": 0.2}, ["year", "depdelay", "arrdelay", "distance"])
+    parts = verbs.hash_split(g, {"train": 0.8, "valid": 0.2}, ["year", "depdelay", "arrdelay", "distance"])
     return search.grid_search(
         parts["train"], parts["valid"], "gain ~ depdelay + distance", DecisionTreeRegressor(seed=42),
         {"maxDepth": [2, 4, 6], "maxBins": [16, 32]},
     )
 
 
+@register("m28_successive_halving", None)
+def m28_successive_halving(spark, d):
+    """The same grid by successive halving on nested hash samples."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from lodestar.ml import search
+
+    return search.halving_search(
+        _keyed_gain(spark, d), ["l_orderkey", "l_linenumber"], "gain ~ depdelay + distance", DecisionTreeRegressor(seed=42),
+        {"maxDepth": [2, 4, 6], "maxBins": [16, 32]},
+    )
+
+
 @register("m29_random_search", None)
 def m29_random_search(spark, d):
-    """Seeded random subset (4 of 12) of a tree grid, ranked by validation MSE."""
+    """Best row of a seeded random subset (4 of 12) of a tree grid, by validation MSE."""
     from pyspark.ml.regression import DecisionTreeRegressor
 
     from lodestar.ml import search
 
-    g = _gain_table(spark, d)
-    parts = verbs.hash_split(g, {"train": 0.8, "valid": 0.2}, ["year", "depdelay", "arrdelay", "distance"])
-    return search.grid_search(
-        parts["train"], parts["valid"], "gain ~ depdelay + distance", DecisionTreeRegressor(seed=42),
+    return search.halving_search(
+        _keyed_gain(spark, d), ["l_orderkey", "l_linenumber"], "gain ~ depdelay + distance", DecisionTreeRegressor(seed=42),
         {"maxDepth": [2, 3, 4, 5], "minInstancesPerNode": [1, 5, 20]}, max_models=4,
-    )
+    ).where("rank = 1")
 
 
 @register("m31_model_comparison", None)
