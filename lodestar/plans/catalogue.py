@@ -2036,7 +2036,7 @@ def s01_parquet(spark, d):
 
 @register("s02_csv", _ORDERS)
 def s02_csv(spark, d):
-    """Orders written as CSV with a header and read back with a declared schema."""
+    """Orders written as CSV with a header and read back with a declared schema."""
     from lodestar.sources import files
 
     path = _written(spark)
@@ -2101,3 +2101,78 @@ def s16_sql_parameters(spark, d):
     catalog.register(_orders(spark, d), name)
     text = f"SELECT o_orderstatus, count(*) AS n, sum(o_totalprice) AS total FROM {name} WHERE year = :year AND o_totalprice > :least GROUP BY o_orderstatus"
     return catalog.sql(spark, text, {"year": 1997, "least": 1000})
+
+
+@register(
+    "s05_yearly_landing",
+    "SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) FILTER (WHERE o_orderstatus <> 'P') AS n, "
+    f"count(*) FILTER (WHERE o_orderstatus = 'P') AS n_aside, {r4("sum(o_totalprice) FILTER (WHERE o_orderstatus <> 'P')")} AS total FROM orders GROUP BY 1",
+)
+def s05_yearly_landing(spark, d):
+    """Compressed yearly CSV files landed by the year in their names, one year twice; rows with a broken customer number are set aside."""
+    from lodestar.sources import landing
+
+    path = _written(spark)
+    broken = F.when(F.col("o_orderstatus") == "P", F.lit("no number")).otherwise(F.col("o_custkey").cast("string"))
+    orders = _orders(spark, d).withColumn("o_custkey", broken)
+    orders.write.partitionBy("year").option("header", True).option("compression", "bzip2").csv(f"{path}/files")
+    schema, pattern = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, day date", r"/year=(\d{4})/"
+    landing.land_years(spark, f"{path}/files", f"{path}/landed", schema, year_pattern=pattern)
+    done = landing.land_years(spark, f"{path}/files/year=1996", f"{path}/landed", schema, year_pattern=pattern)
+    totals = done.rows().groupBy("year").agg(F.sum("o_totalprice").alias("total"))
+    return done.counts().join(totals, "year")
+
+
+@register(
+    "s22_orc_decimal",
+    f"SELECT {i8('o_custkey')} AS o_custkey, count(*) AS n, {r4('sum(CAST(o_totalprice AS DECIMAL(12,2)))')} AS total, "
+    f"{r4('min(CAST(o_totalprice AS DECIMAL(12,2)))')} AS least, {r4('max(CAST(o_totalprice AS DECIMAL(12,2)))')} AS most FROM orders GROUP BY o_custkey",
+)
+def s22_orc_decimal(spark, d):
+    """Orders with exact decimal prices in an ORC table bucketed by customer, summed without a shuffle."""
+    import uuid
+
+    from lodestar.sources import catalog
+
+    name = f"default.orders_orc_{uuid.uuid4().hex}"
+    priced = _orders(spark, d).withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))
+    catalog.save_table(priced, name, bucket_by=(8, ["o_custkey"]), sort_by=["o_custkey"], fmt="orc")
+    price = F.col("o_totalprice")
+    return spark.table(name).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum(price).alias("total"), F.min(price).alias("least"), F.max(price).alias("most"))
+
+
+@register(
+    "s21_external_recovery",
+    f"SELECT {i8('year(o_orderdate)')} AS year, {i8('c_nationkey')} AS c_nationkey, count(*) AS n, {r4('sum(o_totalprice)')} AS total "
+    "FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2",
+)
+def s21_external_recovery(spark, d):
+    """External tables over a growing Parquet folder and over delimited text with header lines, joined by their statistics."""
+    import uuid
+
+    from lodestar.sources import external
+
+    path, tag = _written(spark), uuid.uuid4().hex
+    orders, columns = _orders(spark, d), "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, day date, year int"
+    orders.where("year < 1995").write.partitionBy("year").parquet(f"{path}/orders")
+    external.external_table(spark, f"default.ext_orders_{tag}", columns, f"{path}/orders", partition_by=["year"])
+    orders.where("year >= 1995").write.mode("append").partitionBy("year").parquet(f"{path}/orders")
+    grown = external.recover(spark, f"default.ext_orders_{tag}")
+    si.table(spark, d, "customer").select("c_custkey", "c_nationkey").write.option("header", True).option("sep", "|").csv(f"{path}/customer")
+    known = external.external_table(spark, f"default.ext_customer_{tag}", "c_custkey long, c_nationkey long", f"{path}/customer", "csv", options={"header": "true", "sep": "|"})
+    external.analyze(spark, f"default.ext_orders_{tag}", ["o_custkey", "year"])
+    external.analyze(spark, f"default.ext_customer_{tag}", ["c_custkey"])
+    joined = grown.join(known, grown["o_custkey"] == known["c_custkey"])
+    return joined.groupBy("year", "c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
+
+
+@register("s13_materialise", _ORDERS)
+def s13_materialise(spark, d):
+    """Orders computed once into the shared folder under a name, then read by it."""
+    import uuid
+
+    from lodestar.sources import catalog
+
+    name = f"orders_{uuid.uuid4().hex}"
+    catalog.materialise(_orders(spark, d), name)
+    return catalog.table(spark, name)
