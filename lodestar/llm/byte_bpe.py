@@ -21,11 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lodestar.llm.common import id_text, slices
-from lodestar.llm.shingles import mix
+from lodestar.llm.shingles import span_hashes
 from lodestar.llm.token_counts import NUMBER, SPACE, code_point_classes
 
-_STEP = np.uint64(0xD1342543DE82EF95)
-_STEP_BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 2**64))
 _BREAK = 0x110000  # after every text; not a code point
 _LETTERS, _NUMBERS, _SIGNS, _SPACES, _END = range(5)
 
@@ -221,15 +219,7 @@ class Codec:
         starts, ends = cut(points)
         if not len(starts):
             return np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        power = np.full(len(points), _STEP)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
-        back = np.full(len(points), _STEP_BACK)
-        back[0] = 1
-        np.multiply.accumulate(back, out=back)
-        hashes, where, inverse = np.unique((sums[ends] - sums[starts]) * back[starts], return_index=True, return_inverse=True)
+        hashes, where, inverse = np.unique(span_hashes(points.astype(np.uint64), starts, ends), return_index=True, return_inverse=True)
         if len(self.known) > self.MOST_PIECES:
             self._clear()
         listed = hashes.tolist()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_PLACE = np.uint64(0xD1342543DE82EF95)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -15,6 +16,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of ``symbols`` (unsigned 64-bit), given in order and without overlap.
+
+    Every symbol is mixed with its place in its span before the span is summed
+    up, so no pattern of symbols, such as a word and its mirror or complement,
+    cancels out; unlike spans meet with a probability of 2**-64.
+    """
+    n = len(symbols)
+    place = np.arange(1, n + 1, dtype=np.uint64)
+    if len(starts):
+        place[starts[0] :] -= np.repeat(starts, np.diff(starts, append=n)).astype(np.uint64)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(mix(symbols * _ODD + place * _PLACE), out=sums[1:])
+    return mix(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
+
+
 class MinHash:
     """``size`` minima of a set under fixed random linear permutations, 16 low-order bits of each."""
 
@@ -34,16 +51,14 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE = np.random.default_rng(7).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
-_STEP = np.uint64(0xD1342543DE82EF95)
-_STEP_BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 2**64))
 
 
 def word_hashes(column) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, first word of each row and one past the last) of an Arrow string column without nulls.
 
-    Words are runs of anything but x20, x09-x0D, with A-Z lower-cased.  A
-    word's hash is a polynomial over random byte values, taken from running
-    sums over the whole buffer, so no Python object is made for a word.
+    Words are runs of anything but x20, x09-x0D, with A-Z lower-cased.  Hashes
+    come from running sums over the whole buffer, so no Python object is made
+    for a word.
     """
     kind = np.int64 if column.type == "large_string" else np.int32
     offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -57,15 +72,7 @@ def word_hashes(column) -> tuple[np.ndarray, np.ndarray]:
     edge[rows] = True
     starts = np.flatnonzero(word & (edge[:-1] | np.concatenate([[True], ~word[:-1]])))
     ends = np.flatnonzero(word & (edge[1:] | np.concatenate([~word[1:], [True]]))) + 1
-    power = np.full(len(raw), _STEP, np.uint64)
-    power[0] = 1
-    np.multiply.accumulate(power, out=power)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * power, out=sums[1:])
-    back = np.full(len(raw), _STEP_BACK, np.uint64)
-    back[0] = 1
-    np.multiply.accumulate(back, out=back)
-    hashes = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    hashes = span_hashes(_BYTE[raw], starts, ends)
     return hashes, np.searchsorted(starts, rows)
 
 

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from lodestar.llm.common import id_text, slices
-from lodestar.llm.shingles import mix
+from lodestar.llm.shingles import span_hashes
 
 CHUNK = 256
 
@@ -296,15 +296,7 @@ class TextCounter:
         if not len(first):
             return special
         end = np.flatnonzero(~blank[:-1] & (starts[1:] | blank[1:])) + 1
-        power = np.full(len(points), np.uint64(0xD1342543DE82EF95))
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
-        back = np.full(len(points), np.uint64(pow(0xD1342543DE82EF95, -1, 2**64)))
-        back[0] = 1
-        np.multiply.accumulate(back, out=back)
-        hashes = (sums[end] - sums[first]) * back[first]
+        hashes = span_hashes(points.astype(np.uint64), first, end)
         distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.counts) > self.MOST_WORDS:
             self.counts.clear()
