@@ -219,7 +219,7 @@ class Codec:
         starts, ends = cut(points)
         if not len(starts):
             return np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        hashes, where, inverse = np.unique(span_hashes(points.astype(np.uint64), starts, ends), return_index=True, return_inverse=True)
+        hashes, where, inverse = np.unique(span_hashes(points, starts, ends), return_index=True, return_inverse=True)
         if len(self.known) > self.MOST_PIECES:
             self._clear()
         listed = hashes.tolist()

@@ -16,19 +16,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of ``symbols`` (unsigned 64-bit), given in order and without overlap.
+def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None, rows: int = 1 << 14) -> np.ndarray:
+    """A 64-bit hash of each span of ``symbols`` (or of what ``table`` has for them), given in order and without overlap.
 
     Every symbol is mixed with its place in its span before the span is summed
     up, so no pattern of symbols, such as a word and its mirror or complement,
-    cancels out; unlike spans meet with a probability of 2**-64.
+    cancels out; unlike spans meet with a probability of 2**-64.  ``rows`` at a
+    time, which stay in the processor's cache.
     """
     n = len(symbols)
-    place = np.arange(1, n + 1, dtype=np.uint64)
-    if len(starts):
-        place[starts[0] :] -= np.repeat(starts, np.diff(starts, append=n)).astype(np.uint64)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(mix(symbols * _ODD + place * _PLACE), out=sums[1:])
+    before = np.zeros(n, np.uint64)
+    if len(starts):
+        before[starts[0] :] = np.repeat(starts.astype(np.uint64) * _PLACE, np.diff(starts, append=n))
+    step, spare = np.arange(1, rows + 1, dtype=np.uint64) * _PLACE, np.empty(rows, np.uint64)
+    for at in range(0, n, rows):
+        part = symbols[at : at + rows]
+        x = part.astype(np.uint64) if table is None else table[part]
+        t = spare[: len(x)]
+        x *= _ODD
+        x += step[: len(x)]
+        np.subtract(before[at : at + rows], np.uint64(at * int(_PLACE) % 2**64), out=t)
+        x -= t
+        for shift, times in ((30, _MIX1), (27, _MIX2), (31, None)):
+            np.right_shift(x, np.uint64(shift), out=t)
+            x ^= t
+            if times is not None:
+                x *= times
+        out = sums[at + 1 : at + 1 + len(x)]
+        np.cumsum(x, out=out)
+        out += sums[at]
     return mix(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
 
 
@@ -72,7 +89,7 @@ def word_hashes(column) -> tuple[np.ndarray, np.ndarray]:
     edge[rows] = True
     starts = np.flatnonzero(word & (edge[:-1] | np.concatenate([[True], ~word[:-1]])))
     ends = np.flatnonzero(word & (edge[1:] | np.concatenate([~word[1:], [True]]))) + 1
-    hashes = span_hashes(_BYTE[raw], starts, ends)
+    hashes = span_hashes(raw, starts, ends, _BYTE)
     return hashes, np.searchsorted(starts, rows)
 
 

@@ -296,7 +296,7 @@ class TextCounter:
         if not len(first):
             return special
         end = np.flatnonzero(~blank[:-1] & (starts[1:] | blank[1:])) + 1
-        hashes = span_hashes(points.astype(np.uint64), first, end)
+        hashes = span_hashes(points, first, end)
         distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.counts) > self.MOST_WORDS:
             self.counts.clear()
