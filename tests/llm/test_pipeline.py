@@ -38,7 +38,7 @@ def test_stages_keep_what_they_should(spark):
 
 
 def test_every_number_has_a_query():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_packing_is_the_same_for_any_order(spark):
