@@ -71,39 +71,82 @@ def name_weight(name: str) -> float:
 
 def literal_shape(value: str) -> float:
     """0 to 1: length and variety of characters; words of prose and placeholders score low."""
-    if len(value) < 8 or any(c.isspace() for c in value) or len(set(value)) < 5:
+    return _shape(Counter(value), len(value))
+
+
+def _shape(counts: dict[str, int], length: int) -> float:
+    if length < 8 or len(counts) < 5 or any(c.isspace() for c in counts):
         return 0.0
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    kinds = sum((any(c.islower() for c in value), any(c.isupper() for c in value), any(c.isdigit() for c in value), not value.isalnum()))
+    total = sum(counts.values())
+    entropy = -sum(n / total * math.log2(n / total) for n in counts.values())
+    kinds = sum((any(c.islower() for c in counts), any(c.isupper() for c in counts), any(c.isdigit() for c in counts), not all(c.isalnum() for c in counts)))
     return min(1.0, entropy / 4) * (0.45 + 0.2 * min(kinds, 3) if kinds > 1 else 0.3)
 
 
+class _Value:
+    """What a name is bound to: how often each character occurs, the length, and the tree of its literals.
+
+    ``tree`` is a literal's (start, end), or a list of the trees it is put
+    together from.  Trees are shared between values, counts are not, so a
+    binding costs as much as its different characters, not its whole chain.
+    """
+
+    __slots__ = ("counts", "length", "tree")
+
+    def __init__(self, counts: dict[str, int], length: int, tree: tuple[int, int] | list):
+        self.counts, self.length, self.tree = counts, length, tree
+
+
+def _joined(parts: list[_Value]) -> _Value:
+    """The concatenation of ``parts``; a part named twice in one expression counts once."""
+    parts = list({id(p.tree): p for p in parts}.values())
+    if len(parts) == 1:
+        return parts[0]
+    counts = Counter(parts[0].counts)
+    for p in parts[1:]:
+        for c, n in p.counts.items():
+            counts[c] += n
+    length = sum(p.length for p in parts)
+    if length > 1 << 60:  # values that double from line to line: only the shares of characters matter
+        counts, length = Counter({c: max(1, n >> 30) for c, n in counts.items()}), length >> 30
+    return _Value(counts, length, [p.tree for p in parts])
+
+
 def literal_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name, directly, through other names or as part of a concatenation.
 
     A name bound twice keeps its latest binding; a chain of names resolves in
-    one step because every binding stores the literal positions it reached.
+    one step because every binding stores what it reached.  A literal is
+    reported once.  The time is linear in the text for a given alphabet: a line
+    adds the counts of its operands and visits only trees not reported yet.
     """
     found: list[Span] = []
-    bound: dict[str, list[tuple[int, int]]] = {}
+    bound: dict[str, _Value] = {}
+    told: dict[int, object] = {}  # reported trees by identity; held, so that an identity is not used again
     offset = 0
     for line in text.split("\n"):
         if "=" in line or ":" in line:
             for m in _PAIR.finditer(line):
-                places: list[tuple[int, int]] = []
+                parts: list[_Value] = []
                 at = offset + m.start("rhs")
                 for t in _TERM.finditer(m["rhs"]):
                     group = t.lastindex
                     if group == 3 and _PLAIN.fullmatch(t[3]) and t[3] in bound:
-                        places += bound[t[3]]
+                        parts.append(bound[t[3]])
                     else:
-                        places.append((at + t.start(group), at + t.end(group)))
-                places = list(dict.fromkeys(places))
-                bound[m["name"]] = places
-                if weight := name_weight(m["name"]):
-                    value = "".join(text[a:b] for a, b in places)
-                    if weight * literal_shape(value) >= THRESHOLD:
-                        found += [("literal", a, b) for a, b in places if b > a]
+                        parts.append(_Value(Counter(t[group]), len(t[group]), (at + t.start(group), at + t.end(group))))
+                value = bound[m["name"]] = _joined(parts) if parts else _Value({}, 0, [])
+                if (weight := name_weight(m["name"])) and weight * _shape(value.counts, value.length) >= THRESHOLD:
+                    open_trees = [value.tree]
+                    while open_trees:
+                        tree = open_trees.pop()
+                        if id(tree) in told:
+                            continue
+                        told[id(tree)] = tree
+                        if isinstance(tree, list):
+                            open_trees += tree
+                        elif tree[1] > tree[0]:
+                            found.append(("literal", *tree))
         offset += len(line) + 1
     return found
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from lodestar.llm import secrets
 from tests.llm.helpers import empty_docs, odd_docs
@@ -38,6 +39,65 @@ def test_long_texts_take_linear_time():
         secrets.scan(text)
 
 
+def plain_literals(text):
+    """The lexer with every binding's literals copied out in full."""
+    found, bound, offset = set(), {}, 0
+    for line in text.split("\n"):
+        for m in secrets._PAIR.finditer(line):
+            places, at = [], offset + m.start("rhs")
+            for t in secrets._TERM.finditer(m["rhs"]):
+                g = t.lastindex
+                places += bound[t[3]] if g == 3 and t[3] in bound else [(at + t.start(g), at + t.end(g))]
+            bound[m["name"]] = places = list(dict.fromkeys(places))
+            value = "".join(text[a:b] for a, b in places)
+            if secrets.name_weight(m["name"]) * secrets.literal_shape(value) >= secrets.THRESHOLD:
+                found |= {("literal", a, b) for a, b in places if b > a}
+        offset += len(line) + 1
+    return found
+
+
+def test_literals_equal_the_plain_lexer():
+    rng = random.Random(9)
+    names = ["a", "part", "db_password", "token", "color", "secret_key"]
+    for _ in range(1500):
+        lines = []
+        for k in range(rng.randint(1, 9)):
+            # each name is used once in an expression and never in its own, so that no literal meets itself
+            terms = [f'"{rng.choice("abXY19-+_")}{k}{rng.choice(["Qz7", "hello wo", "k29-Qm44zLw77", ""])}"' for _ in range(rng.randint(0, 2))]
+            terms += [rng.choice(names)] if rng.random() < 0.5 or not terms else []
+            rng.shuffle(terms)
+            lines.append(f"{rng.choice(names)} = {' + '.join(terms)}")
+        text = "\n".join(lines)
+        got = secrets.literal_spans(text)
+        assert set(got) == plain_literals(text), text
+        assert len(got) == len(set(got))
+
+
+def test_chains_take_linear_time():
+    """Growing, renamed and doubling chains: ten times the lines take about ten times as long."""
+
+    def seconds(make, n):
+        text = make(n)
+        start = time.perf_counter()
+        spans = secrets.literal_spans(text)
+        return time.perf_counter() - start, len(spans)
+
+    def grown(n):
+        return 'token = "Xk29-Qm44z"\n' + "".join(f'token = token + "x{i}"\n' for i in range(n))
+
+    def renamed(n):
+        return 'token_0 = "Xk29-Qm44z"\n' + "".join(f'token_{i + 1} = token_{i} + "x{i}"\n' for i in range(n))
+
+    def doubled(n):
+        return 'token = "Xk29-Qm44z"\npart = "Lw77"\n' + "part = part + token\ntoken = token + part\n" * n
+
+    for make in (grown, renamed, doubled):
+        few, _ = seconds(make, 3_000)
+        many, found = seconds(make, 30_000)
+        assert many < 40 * few + 1, (make.__name__, few, many)
+        assert found >= (2 if make is doubled else 30_000)
+
+
 def test_rows(spark):
     docs = odd_docs(spark, [None, "", "token = abcdefgh12345678 and more", "token = abcdefgh12345678 and more", "x" * 200_000 + " secret: 0123456789abcdef0123"])
     rows = secrets.find_secrets(docs).collect()
