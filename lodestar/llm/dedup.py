@@ -9,12 +9,13 @@ key are candidates, and links are confirmed on the full shingle sets.
 
 Equal sets are one class from the start.  No group of one key is expanded into
 its pairs.  Each document of a key is first compared with pivots.  What is
-alike by signature then makes families, and documents of one key in different
-families are met by a join that only lets alike pairs through.  Last, within a
-family that still has several components, the documents outside its largest
-component are compared with all others of the family in blocks: sets travel
-once a block, intersections come from one matrix product, and of all links
-between two components one is returned.
+alike by signature then makes families.  Documents of one key in different
+families meet in blocks of signatures, and of all alike pairs of two families
+one is returned, which makes the two one family.  Last, within a family that
+still has several components, the documents outside its largest component are
+compared with all others of the family in blocks: sets travel once a block,
+intersections come from one matrix product, and of all links between two
+components one is returned.  So no step makes a row per pair of a group.
 """
 
 from __future__ import annotations
@@ -36,9 +37,9 @@ CHUNKS, CHUNK, ERRORS = 10, 5, 1
 #: 0.8 and 50 values a pair falls below with a probability under 1e-6.
 LEAST_EQUAL = 25
 PIVOT_ROUNDS = 1
-#: Of two low-order bits of each value; at a similarity of 0.8 more differ with a probability under 1e-5.
-MOST_UNLIKE = 20
+#: A block holds about this many documents, and about this many shingles.
 BLOCK = 512
+BLOCK_ITEMS = 4 << 20
 
 
 def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -129,7 +130,7 @@ def link(docs: DataFrame, width: int = 2, percent: int = 80, id_col: str = "doc_
     rows = shared_table(keys.join(shared, "key"), "dedup-keys")
     reps = rows.select("rep").distinct()
     sets = shared_table(_sets(docs, reps, width, id_col, text_col), "dedup-sets")
-    signed = shared_table(_sketched(classes.join(reps, "rep", "left_semi")), "dedup-signed")
+    signed = shared_table(classes.join(reps, "rep", "left_semi").select("rep", "n", "signature"), "dedup-signed")
     labels = shared_table(reps.select("rep", F.col("rep").alias("label")), "dedup-labels")
     found: list[DataFrame] = []  # alike pairs
 
@@ -153,7 +154,7 @@ def link(docs: DataFrame, width: int = 2, percent: int = 80, id_col: str = "doc_
     families = _merged(reps.select("rep", F.col("rep").alias("label")), _all(found))
     across = confirmed(_across(rows, families, signed, percent))
     families = _merged(families, found[-1])
-    labels = _merged(labels, across.unionByName(_within(families, labels, sets, percent)))
+    labels = _merged(labels, across.unionByName(_within(families, labels, signed, sets, percent)))
 
     named = worded.select("doc_id", "same").distinct().join(classes.select("same", "rep"), "same").join(labels, "rep", "left")
     named = named.groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("named"))
@@ -194,73 +195,111 @@ def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _sketched(classes: DataFrame) -> DataFrame:
-    """(rep, n, signature, bit0, bit1): the two low-order bits of the values, each in one long."""
-    weights = np.uint64(1) << np.arange(CHUNKS * CHUNK, dtype=np.uint64)
+def _across(rows: DataFrame, families: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for any two families with alike documents under one key at least one alike pair.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(batch.num_rows, -1).astype(np.uint64)
-                bits = [pa.array((((values >> np.uint64(i)) & np.uint64(1)) * weights).sum(1, dtype=np.uint64).view(np.int64)) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "n", "signature")), *bits], names=["rep", "n", "signature", "bit0", "bit1"])
+    The documents outside the key's largest family meet all documents of the
+    key, so a large family does not meet itself.  A key of one block a side is
+    one row; the blocks of a larger one meet in pairs.
+    """
+    held = rows.join(families.toDF("rep", "label"), "rep")
+    counts = held.groupBy("key", "label").agg(F.count("*").alias("count"))
+    mixed = counts.groupBy("key").agg(F.count("*").alias("several"), F.sum("count").alias("n"), F.max(F.struct("count", "label")).alias("m")).where("several > 1")
+    mixed = shared_table(mixed.select("key", F.col("m.label").alias("most"), *_block_counts(F.col("m.count") / BLOCK, (F.col("n") - F.col("m.count")) / BLOCK)), "dedup-mixed")
+    # the size goes with the signature, most significant byte first
+    item = F.concat("signature", F.unhex(F.lpad(F.hex("n"), 16, "0")))
+    held = held.join(mixed, "key").join(signed.select("rep", item.alias("item")), "rep").withColumn("side", F.when(F.col("label") == F.col("most"), 0).otherwise(1))
+    one = (F.col("blocks0") == 1) & (F.col("blocks1") == 1)
+    columns = [("reps", "rep"), ("labels", "label"), ("items", "item")]
+    whole = held.where(one).groupBy("key").agg(
+        *(F.collect_list(F.when(F.col("side") == 1, F.col(c))).alias(f"{name}_a") for name, c in columns),
+        *(F.collect_list(c).alias(f"{name}_b") for name, c in columns),
+    )
+    met = _meetings(held.where(~one), mixed.where(~one), "key").unionByName(whole.drop("key"))
+    return met.mapInArrow(_blocks_alike(percent), "a long, b long")
 
-    return classes.select("rep", "n", "signature").mapInArrow(run, "rep long, n long, signature binary, bit0 long, bit1 long")
 
+def _block_counts(side0: Column, side1: Column) -> list[Column]:
+    return [F.greatest(F.lit(1), F.ceil(c)).cast("int").alias(name) for name, c in (("blocks0", side0), ("blocks1", side1))]
 
-def _across(rows: DataFrame, families: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a key, are in different families and may be alike.
 
-    One side of each pair lies outside the key's largest family, so a large
-    family is not joined with itself.
-    """
-    held = rows.join(families.toDF("rep", "family"), "rep")
-    counts = held.groupBy("key", "family").count()
-    mixed = counts.groupBy("key").agg(F.count("*").alias("several"), F.max(F.struct("count", "family")).alias("m")).where("several > 1")
-    held = held.join(mixed.select("key", F.col("m.family").alias("most")), "key").join(signed.drop("signature"), "rep")
-    x = held.where("family <> most").select("key", *(F.col(c).alias(f"x_{c}") for c in ("rep", "family", "n", "bit0", "bit1")))
-    y = held.select("key", *(F.col(c).alias(f"y_{c}") for c in ("rep", "family", "n", "bit0", "bit1")))
-    unlike = [F.col(f"x_bit{i}").bitwiseXOR(F.col(f"y_bit{i}")) for i in (0, 1)]
-    may = (F.col("x_family") != F.col("y_family")) & _sizes_allow(F.col("x_n"), F.col("y_n"), percent) & (F.bit_count(unlike[0].bitwiseOR(unlike[1])) <= MOST_UNLIKE)
-    pairs = x.join(y, (x["key"] == y["key"]) & may)
-    return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
-
-
-def _within(families: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links between different components of a family, one at least for any two that are linked.
+def _meetings(members: DataFrame, groups: DataFrame, group: str) -> DataFrame:
+    """(reps_a, labels_a, items_a, reps_b, labels_b, items_b): every block of side 1 with every block of its group.
 
-    Members of the family's largest component (side 0) and all others (side 1)
-    are dealt to blocks of about BLOCK by a hash; every block of side 1 meets
-    every block of its family.  Families of two have been compared already.
+    ``members`` (``group``, side, rep, label, item, blocks0, blocks1) are dealt
+    to the blocks of their side by a hash; ``groups`` (``group``, blocks0,
+    blocks1) name the meetings.
     """
-    member = families.toDF("rep", "family").join(labels, "rep")
-    counts = member.groupBy("family", "label").count()
-    open_ones = counts.groupBy("family").agg(F.count("*").alias("several"), F.sum("count").alias("n"), F.max(F.struct("count", "label")).alias("m"))
-    open_ones = open_ones.where("several > 1 and n > 2").select(
-        "family",
-        F.col("m.label").alias("most"),
-        F.ceil(F.col("m.count") / BLOCK).cast("int").alias("blocks0"),
-        F.ceil((F.col("n") - F.col("m.count")) / BLOCK).cast("int").alias("blocks1"),
-    )
-    open_ones = shared_table(open_ones, "dedup-families")
-    member = member.join(open_ones, "family").withColumn("side", F.when(F.col("label") == F.col("most"), 0).otherwise(1))
     place = F.pmod(F.xxhash64("rep"), F.when(F.col("side") == 0, F.col("blocks0")).otherwise(F.col("blocks1"))).cast("int")
-    dealt = member.withColumn("block", place).join(sets, "rep")
     blocks = shared_table(
-        dealt.groupBy("family", "side", "block").agg(F.collect_list("rep").alias("reps"), F.collect_list("label").alias("labels"), F.collect_list("set").alias("sets")),
+        members.withColumn("block", place).groupBy(group, "side", "block").agg(F.collect_list("rep").alias("reps"), F.collect_list("label").alias("labels"), F.collect_list("item").alias("items")),
         "dedup-blocks",
     )
 
     def upto(n: str) -> Column:
         return F.sequence(F.lit(0), F.col(n) - 1)
 
-    mine = open_ones.select("family", "blocks0", "blocks1", F.explode(upto("blocks1")).alias("block"))
-    side0 = mine.select("family", "block", F.explode(upto("blocks0")).alias("other")).withColumn("other_side", F.lit(0))
-    side1 = mine.select("family", "block", F.explode(F.sequence(F.col("block"), F.col("blocks1") - 1)).alias("other")).withColumn("other_side", F.lit(1))
-    left = blocks.where("side = 1").select("family", "block", *(F.col(c).alias(f"{c}_a") for c in ("reps", "labels", "sets")))
-    right = blocks.select("family", F.col("side").alias("other_side"), F.col("block").alias("other"), *(F.col(c).alias(f"{c}_b") for c in ("reps", "labels", "sets")))
-    met = side0.unionByName(side1).join(left, ["family", "block"]).join(right, ["family", "other_side", "other"])
-    return shared_table(met.select("reps_a", "labels_a", "sets_a", "reps_b", "labels_b", "sets_b").mapInArrow(_blocks_linked(percent), "a long, b long"), "dedup-links")
+    mine = groups.select(group, "blocks0", "blocks1", F.explode(upto("blocks1")).alias("block"))
+    side0 = mine.select(group, "block", F.explode(upto("blocks0")).alias("other")).withColumn("other_side", F.lit(0))
+    side1 = mine.select(group, "block", F.explode(F.sequence(F.col("block"), F.col("blocks1") - 1)).alias("other")).withColumn("other_side", F.lit(1))
+    left = blocks.where("side = 1").select(group, "block", *(F.col(c).alias(f"{c}_a") for c in ("reps", "labels", "items")))
+    right = blocks.select(group, F.col("side").alias("other_side"), F.col("block").alias("other"), *(F.col(c).alias(f"{c}_b") for c in ("reps", "labels", "items")))
+    met = side0.unionByName(side1).join(left, [group, "block"]).join(right, [group, "other_side", "other"])
+    return met.select("reps_a", "labels_a", "items_a", "reps_b", "labels_b", "items_b")
+
+
+def _first_pairs(row: dict, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch | None:
+    """Of the pairs (a, b) of a meeting's rows one for any two labels."""
+    if not len(a):
+        return None
+    _, first = np.unique(np.stack([np.array(row["labels_a"])[a], np.array(row["labels_b"])[b]]), axis=1, return_index=True)
+    a, b = np.array(row["reps_a"])[a[first]], np.array(row["reps_b"])[b[first]]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _blocks_alike(percent: int):
+    """One pair of alike signatures for any two different families of two blocks that have one."""
+
+    def side(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        joined = np.frombuffer(b"".join(items), np.uint8).reshape(len(items), -1)
+        return np.ascontiguousarray(joined[:, :-8]).view(np.uint16), np.ascontiguousarray(joined[:, -8:]).view(">i8")[:, 0].astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                (x, x_size), (y, y_size) = side(row["items_a"]), side(row["items_b"])
+                may = np.array(row["labels_a"])[:, None] != np.array(row["labels_b"])[None, :]
+                may &= 100 * np.minimum(x_size[:, None], y_size[None, :]) >= percent * np.maximum(x_size[:, None], y_size[None, :])
+                a, b = np.nonzero(may)
+                hit = np.zeros(len(a), bool)
+                for at in range(0, len(a), 1 << 16):
+                    part = slice(at, at + (1 << 16))
+                    hit[part] = (x[a[part]] == y[b[part]]).sum(1) >= LEAST_EQUAL
+                if (pairs := _first_pairs(row, a[hit], b[hit])) is not None:
+                    yield pairs
+
+    return run
+
+
+def _within(families: DataFrame, labels: DataFrame, signed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between different components of a family, one at least for any two that are linked.
+
+    Members of the family's largest component (side 0) and all others (side 1)
+    are dealt to blocks by a hash, so many that one holds about BLOCK documents
+    and BLOCK_ITEMS shingles.  Families of two have been compared already.
+    """
+    member = families.toDF("rep", "family").join(labels, "rep").join(signed.select("rep", "n"), "rep")
+    counts = member.groupBy("family", "label").agg(F.count("*").alias("count"), F.sum("n").alias("items"))
+    open_ones = counts.groupBy("family").agg(
+        F.count("*").alias("several"), F.sum("count").alias("n"), F.sum("items").alias("items"), F.max(F.struct("count", "label", "items")).alias("m")
+    )
+    side0 = F.greatest(F.col("m.count") / BLOCK, F.col("m.items") / BLOCK_ITEMS)
+    side1 = F.greatest((F.col("n") - F.col("m.count")) / BLOCK, (F.col("items") - F.col("m.items")) / BLOCK_ITEMS)
+    open_ones = shared_table(open_ones.where("several > 1 and n > 2").select("family", F.col("m.label").alias("most"), *_block_counts(side0, side1)), "dedup-families")
+    member = member.join(open_ones, "family").withColumn("side", F.when(F.col("label") == F.col("most"), 0).otherwise(1))
+    members = member.drop("n").join(sets.withColumnRenamed("set", "item"), "rep")
+    return shared_table(_meetings(members, open_ones, "family").mapInArrow(_blocks_linked(percent), "a long, b long"), "dedup-links")
 
 
 def _blocks_linked(percent: int):
@@ -274,8 +313,8 @@ def _blocks_linked(percent: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                x, x_row, x_size = side(row["sets_a"])
-                y, y_row, y_size = side(row["sets_b"])
+                x, x_row, x_size = side(row["items_a"])
+                y, y_row, y_size = side(row["items_b"])
                 common = np.intersect1d(x, y)
                 both = np.zeros((len(x_size), len(y_size)))
                 for at in range(0, len(common), 4096):
@@ -291,10 +330,8 @@ def _blocks_linked(percent: int):
                 x_label, y_label = np.array(row["labels_a"]), np.array(row["labels_b"])
                 union = x_size[:, None] + y_size[None, :] - both
                 a, b = np.nonzero((100 * both >= percent * union) & (x_label[:, None] != y_label[None, :]))
-                if len(a):
-                    _, first = np.unique(np.stack([x_label[a], y_label[b]]), axis=1, return_index=True)
-                    a, b = np.array(row["reps_a"])[a[first]], np.array(row["reps_b"])[b[first]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                if (pairs := _first_pairs(row, a, b)) is not None:
+                    yield pairs
 
     return run
 
