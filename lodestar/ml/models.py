@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -166,6 +166,19 @@ def pca(df: DataFrame, features: str, k: int):
     return model, table
 
 
+def gaussian_bayes(df: DataFrame, columns: list[str], label: str) -> DataFrame:
+    """Gaussian naive Bayes as a table: class, feature, mean, variance and log prior.
+
+    Rows with a null in a column or the label are left out; labels are 0, 1, ...
+    """
+    known = df.dropna(subset=[*columns, label])
+    vectors = VectorAssembler(inputCols=columns, outputCol="__x").transform(known)
+    model = NaiveBayes(featuresCol="__x", labelCol=label, modelType="gaussian").fit(vectors)
+    theta, sigma, prior = model.theta.toArray(), model.sigma.toArray(), model.pi.toArray()
+    rows = [(c, f, float(theta[c, i]), float(sigma[c, i]), float(prior[c])) for c in range(len(prior)) for i, f in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "class long, feature string, mean double, variance double, log_prior double")
+
+
 def one_vs_rest_gbt(
     df: DataFrame, features: str, label: str, step: float = 0.1, col_rate: str = "0.7", seed: int = 42,
     rounds: int = BOOSTING_ROUNDS, depth: int = BOOSTING_DEPTH,

@@ -2176,3 +2176,114 @@ def s13_materialise(spark, d):
     name = f"orders_{uuid.uuid4().hex}"
     catalog.materialise(_orders(spark, d), name)
     return catalog.table(spark, name)
+
+
+_BAYES_SQL = ", known AS (SELECT CAST(label AS BIGINT) AS class, n_chars / 1000.0 AS thousands, CAST(quality AS DOUBLE) AS quality FROM lab WHERE label IS NOT NULL AND n_chars IS NOT NULL AND quality IS NOT NULL) "
+
+
+@register(
+    "m10_gaussian_bayes",
+    W(si.TITANIC_SQL) + _LABELLED_SQL + _BAYES_SQL
+    + " UNION ALL ".join(
+        f"SELECT {i8('class')} AS class, '{c}' AS feature, {r4(f'avg({c})')} AS mean, {r4(f'var_pop({c})')} AS variance, "
+        f"{r4('ln(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM known))')} AS log_prior FROM known GROUP BY class"
+        for c in ("thousands", "quality")
+    ),
+)
+def m10_gaussian_bayes(spark, d):
+    """Class means, variances and priors of a Gaussian naive Bayes fit."""
+    from lodestar.ml import models
+
+    lab = _labelled(spark, d).select("label", (F.col("n_chars") / 1000.0).alias("thousands"), F.col("quality").cast("double").alias("quality"))
+    return models.gaussian_bayes(lab, ["thousands", "quality"], "label")
+
+
+@register(
+    "m25_pca_two",
+    "WITH m AS (SELECT var_samp(l_quantity) AS a, var_samp(l_extendedprice / 1000.0) AS b, covar_samp(l_quantity, l_extendedprice / 1000.0) AS c FROM lineitem), "
+    "e AS (SELECT a + b AS total, sqrt((a - b) * (a - b) + 4 * c * c) AS gap FROM m) "
+    f"SELECT {i8('1')} AS component, {r4('(total + gap) / (2 * total)')} AS explained_variance FROM e "
+    f"UNION ALL SELECT {i8('2')} AS component, {r4('(total - gap) / (2 * total)')} AS explained_variance FROM e",
+)
+def m25_pca_two(spark, d):
+    """Explained variance of two principal components, whose closed form SQL has."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from lodestar.ml import models
+
+    lines = si.table(spark, d, "lineitem").select(F.col("l_quantity").cast("double").alias("quantity"), (F.col("l_extendedprice") / 1000.0).cast("double").alias("price"))
+    vectors = VectorAssembler(inputCols=["quantity", "price"], outputCol="features").transform(lines)
+    return models.pca(vectors, "features", 2)[1]
+
+
+@register(
+    "m30_saved_model",
+    W(si.FLIGHTS_SQL)
+    + ", g AS (SELECT year, depdelay, depdelay - arrdelay AS gain FROM flights), "
+    "fit AS (SELECT regr_slope(gain, depdelay) AS b, regr_intercept(gain, depdelay) AS a FROM g WHERE year <= 1998) "
+    f"SELECT {i8('year')} AS year, count(*) AS n, {r4('avg(gain)')} AS mean_actual, {r4('avg(fit.a + fit.b * depdelay)')} AS mean_pred FROM g, fit WHERE year > 1998 GROUP BY year",
+)
+def m30_saved_model(spark, d):
+    """Gain model saved to the shared folder, loaded again and scored on later years."""
+    import uuid
+
+    from lodestar.ml import models
+    from lodestar.ml.features import training_table
+    from lodestar.session import checkpoint_dir
+
+    g = training_table(si.flights(spark, d).select("year", "depdelay", (F.col("depdelay") - F.col("arrdelay")).alias("gain")))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/gain-model-{uuid.uuid4().hex}"
+    models.save(models.fit_regressor(g.where(F.col("year") <= 1998), "gain ~ depdelay", "linear"), path)
+    scored = models.load(path).transform(g.where(F.col("year") > 1998))
+    return scored.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.avg("gain").alias("mean_actual"), F.avg("prediction").alias("mean_pred"))
+
+
+_STATUS_ROWS = [("O", "open"), ("F", "filled"), ("P", None), (None, "unknown")]
+
+
+@register(
+    "s18_ddl_insert",
+    "WITH s(code, meaning) AS (VALUES ('O', 'open'), ('F', 'filled'), ('P', NULL), (NULL, 'unknown')), "
+    "u(priority, urgent) AS (VALUES ('1-URGENT', 'yes'), ('2-HIGH', 'yes')) "
+    f"SELECT meaning, coalesce(urgent, 'no') AS urgent, count(o_orderkey) AS n, {r4('sum(o_totalprice)')} AS total "
+    "FROM s LEFT JOIN orders ON o_orderstatus = code LEFT JOIN u ON priority = o_orderpriority GROUP BY 1, 2",
+)
+def s18_ddl_insert(spark, d):
+    """A database and a table of literal rows with NULLs, joined with orders and uploaded rows, then dropped."""
+    import uuid
+
+    from lodestar.sources import catalog
+
+    mark = uuid.uuid4().hex
+    catalog.create_database(spark, f"codes_{mark}")
+    catalog.create_table(spark, f"codes_{mark}.status", "code STRING, meaning STRING")
+    catalog.insert_rows(spark, f"codes_{mark}.status", _STATUS_ROWS)
+    urgent = catalog.upload(spark, [("1-URGENT", "yes"), ("2-HIGH", "yes")], "priority string, urgent string")
+    orders = si.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderpriority").alias("priority"))
+    joined = catalog.table(spark, f"codes_{mark}.status").join(orders, F.col("o_orderstatus") == F.col("code"), "left").join(urgent, "priority", "left")
+    out = catalog.materialise(
+        joined.groupBy("meaning", F.coalesce("urgent", F.lit("no")).alias("urgent")).agg(F.count("o_orderkey").alias("n"), F.sum("o_totalprice").alias("total"))
+    )
+    catalog.drop_table(spark, f"codes_{mark}.status")
+    catalog.sql(spark, f"DROP DATABASE IF EXISTS codes_{mark}")
+    return out
+
+
+@register(
+    "s20_quoted_csv",
+    f"""SELECT {i8('c_custkey')} AS c_custkey, c_name || ', "' || c_mktsegment || '"' AS label FROM customer""",
+)
+def s20_quoted_csv(spark, d):
+    """Labels with separators and quotes in them through an external table of quoted text."""
+    import uuid
+
+    from lodestar.session import checkpoint_dir
+    from lodestar.sources import catalog
+
+    name = f"customers_{uuid.uuid4().hex}"
+    options = {"sep": ",", "quote": '"', "escape": '"'}
+    catalog.create_table(spark, name, "c_custkey BIGINT, label STRING", "csv", f"{checkpoint_dir(spark).rstrip('/')}/{name}", options)
+    label = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"')).alias("label")
+    si.table(spark, d, "customer").select(F.col("c_custkey").cast("long"), label).write.insertInto(name)
+    spark.catalog.refreshTable(name)
+    return catalog.table(spark, name)

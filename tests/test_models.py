@@ -48,3 +48,10 @@ def test_auc_rank_sum_vs_evaluator_on_documents(spark):
     lab = si.titanic(spark, SF_SMALL).where(F.col("label").isNotNull())
     a = evaluate.auc(lab, "n_chars", "label").first()["auc"]
     assert a == pytest.approx(evaluate.auc_evaluator(lab, "n_chars", "label"), abs=1e-12)
+
+
+def test_gaussian_bayes_leaves_out_nulls(spark):
+    rows = [(0.0, 1.0), (0.0, 3.0), (1.0, 10.0), (1.0, None), (None, 5.0)]
+    tab = models.gaussian_bayes(spark.createDataFrame(rows, "y double, x double"), ["x"], "y").orderBy("class").collect()
+    assert [(r["class"], r["feature"], r["mean"]) for r in tab] == [(0, "x", 2.0), (1, "x", 10.0)]
+    assert tab[0]["variance"] == pytest.approx(1.0, abs=1e-6)

@@ -137,3 +137,13 @@ def test_route_lookup_is_served_from_one_bucket(spark):
         spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     expected = summary.where((F.col("origin") == 3) & (F.col("dest") == 7)).count()
     assert hit.count() == expected
+
+
+def test_ddl_query_leaves_no_database(spark):
+    from lodestar.plans.catalogue import CATALOGUE
+    from tests.conftest import SF_SMALL
+
+    before = spark.sql("SHOW DATABASES").count()
+    out = CATALOGUE["s18_ddl_insert"][0](spark, SF_SMALL)
+    assert spark.sql("SHOW DATABASES").count() == before
+    assert out.where("meaning = 'unknown'").select("n").collect() == [(0,)]
