@@ -58,6 +58,14 @@ OUTSIDE_WORDS = frozenset(
     "banner cookie cookies notice consent gdpr popup modal overlay comment comments commentlist reply replies respond discussion disqus share sharing social related "
     "recommended subscribe newsletter signup login search form widget skip pagination pager toolbar copyright".split()
 )
+#: Words that say where or how a box is, not what is in it: with an outside word they make an outside name ("site-footer", "comment-list").
+PLACE_WORDS = frozenset(
+    "area article articles bar block body bottom box container content entry first global group inner item items last left link links list main mobile outer "
+    "page panel post posts primary recent right secondary section site stories story text title top unit user wrap wrapper".split()
+)
+#: With one of these a "header" is the article's own.
+ARTICLE_WORDS = frozenset("article content entry post section story".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
@@ -74,18 +82,34 @@ _WORDS = re.compile(r"[a-z]+")
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
+@lru_cache(1 << 16)
+def _name_words(name: str) -> tuple[frozenset[str], bool]:
+    """The words of one class, id or role, and whether the whole name is that of an outside part: "related", not "related-work"."""
+    words = frozenset(_WORDS.findall(name))
+    hits = words & OUTSIDE_WORDS
+    own = hits == {"header"} and words & ARTICLE_WORDS
+    return words, bool(hits) and not own and words - hits <= PLACE_WORDS
+
+
 def _mark(name: str, attributes: str) -> str:
-    """A tag with its class, id and role words; digits, which number pages, are left out."""
+    """A tag with its class, id and role words, and "!" if one of the names is outside; digits, which number pages, are left out.
+
+    A heading is never outside by its names: they are often made from its text.
+    """
     words = set()
     if "=" in attributes:
         for m in _ATTRIBUTE.finditer(attributes):
-            words.update(_WORDS.findall((m[2] or m[3] or m[4] or "").lower()))
+            for part in (m[2] or m[3] or m[4] or "").lower().split():
+                found, outside = _name_words(part)
+                words |= found
+                if outside and name not in HEADINGS:
+                    words.add("!")
     return name + "".join(f".{w}" for w in sorted(words))
 
 
 def _outside(mark: str) -> bool:
     name, *words = mark.split(".")
-    return name in OUTSIDE_TAGS or any(w in OUTSIDE_WORDS for w in words)
+    return name in OUTSIDE_TAGS or "!" in words
 
 
 @lru_cache(1 << 16)

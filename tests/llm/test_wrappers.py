@@ -136,3 +136,15 @@ def test_template_is_told_by_different_pages_not_rows_and_at_any_length(spark):
     assert [whole.is_content(f"body/div/{x}", None) for x in ("section/p", "h1", "unknown")] == [False, True, True]
     one = wrappers.Wrapper.of(wrappers.Page(page("Story")))
     assert all(one.merge(one).merge(one).is_content(f"body/div/{x}", None) for x in ("section/p", "h1"))
+
+
+def test_article_parts_named_after_their_subject_stay(spark):
+    def page(i):
+        article = f'<h1>Title {i}</h1><h2 id="related-work">Work near {i}</h2><section class="search-methods"><p>Methods {i}</p></section>'
+        article += f'<div class="social-history"><p>History {i}</p></div><div class="article-header"><p>By {i}</p></div>'
+        article += f'<div class="related">See {i}</div><div class="share-bar">Share {i}</div><div id="comment-list-2"><p>First {i}</p></div>'
+        return f'<body><div class="site-header">Site {i}</div><article>{article}</article><div class="cookie-notice">Cookies {i}</div></body>'
+
+    got = _texts(spark, [page(i) for i in range(4)])
+    for i in range(4):
+        assert got[i].text == "\n".join(f"{x} {i}" for x in ("Title", "Work near", "Methods", "History", "By"))
