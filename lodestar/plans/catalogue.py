@@ -1296,12 +1296,19 @@ def _gain_table(spark, d):
     )
 
 
+def _gain_rows(spark, d, *columns):
+    """The gain table for models that read it several times: the five-way join runs once."""
+    from lodestar.session import written_rows
+
+    return written_rows(_gain_table(spark, d).select(*columns), "gain")
+
+
 @register("m20_residual_hist", None)
 def m20_residual_hist(spark, d):
     """Residuals of the gain model and their 30-bin histogram."""
     from lodestar.ml import evaluate, models
 
-    g = _gain_table(spark, d)
+    g = _gain_rows(spark, d, "depdelay", "distance", "gain")
     m = models.fit_regressor(g, "gain ~ depdelay + distance", "linear")
     res = evaluate.residuals(m.transform(g), "gain")
     return visagg.histogram(res, "residual", 30)
@@ -1312,7 +1319,7 @@ def m21_out_of_time(spark, d):
     """Fit on years up to 1998, score later years; metrics per period."""
     from lodestar.ml import evaluate, models
 
-    g = _gain_table(spark, d)
+    g = _gain_rows(spark, d, "year", "uniquecarrier", "distance", "depdelay", "gain")
     train, later = g.where(F.col("year") <= 1998), g.where(F.col("year") > 1998)
     m = models.fit_regressor(train, "gain ~ depdelay + distance + uniquecarrier", "linear")
     return setops.tagged_union(
@@ -1333,7 +1340,7 @@ def m22_glm_gaussian(spark, d):
     """Gaussian GLM without penalty; coefficients equal the least-squares fit."""
     from lodestar.ml import models
 
-    g = _gain_table(spark, d)
+    g = _gain_rows(spark, d, "depdelay", "distance", "gain")
     m = models.fit_regressor(g, "gain ~ depdelay + distance", "glm_gaussian")
     glm = m.stages[-1]
     rows = [("(Intercept)", float(glm.intercept))] + [
@@ -1473,7 +1480,7 @@ def m28_grid_search(spark, d):
 
     from lodestar.ml import search
 
-    g = _gain_table(spark, d)
+    g = _gain_rows(spark, d, "year", "depdelay", "arrdelay", "distance", "gain")
     parts = verbs.hash_split(g, {"train": 0.8, "valid": 0.2}, ["year", "depdelay", "arrdelay", "distance"])
     return search.grid_search(
         parts["train"], parts["valid"], "gain ~ depdelay + distance", DecisionTreeRegressor(seed=42),
@@ -1512,7 +1519,7 @@ def m31_model_comparison(spark, d):
     """Train and test MSE of linear, GLM and tree models."""
     from lodestar.ml import search
 
-    g = _gain_table(spark, d)
+    g = _gain_rows(spark, d, "year", "depdelay", "arrdelay", "distance", "gain")
     parts = verbs.hash_split(g, {"train": 0.8, "test": 0.2}, ["year", "depdelay", "arrdelay", "distance"])
     return search.compare_regressors(parts["train"], parts["test"], "gain ~ depdelay + distance", "gain")
 
