@@ -225,9 +225,10 @@ def tips_by_payment(trips: DataFrame, tip_range=TIP_RANGE) -> DataFrame:
 
 
 def od_rollups(trips: DataFrame, origin: str = "pickup_gid", dest: str = "dropoff_gid") -> DataFrame:
-    """Seventeen measures at the grains origin-destination-hour, origin-destination and origin, in one scan.
+    """Seventeen measures at the grains origin-destination-hour, origin-destination and origin.
 
-    Trips without a destination count at the origin grain only; there the
+    The trips are read twice: for the means and counts, and for the counts of
+    each trip time, from which the percentiles are taken.  Trips without a destination count at the origin grain only; there the
     destination's coordinates have no meaning and are NULL.
     """
     t = trips.where(F.col(origin).isNotNull()).withColumns(
@@ -236,7 +237,6 @@ def od_rollups(trips: DataFrame, origin: str = "pickup_gid", dest: str = "dropof
     measures = {
         "n": F.count(F.lit(1)),
         "trip_time_mean": F.avg("trip_time"),
-        **{f"trip_time_p{int(p * 100)}": F.percentile("trip_time", p) for p in (0.25, 0.5, 0.75)},
         "trip_dist_mean": F.avg("trip_distance"),
         "trip_dist_sd": F.stddev_samp("trip_distance"),
         **{c: F.avg(c) for c in ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")},
@@ -246,11 +246,22 @@ def od_rollups(trips: DataFrame, origin: str = "pickup_gid", dest: str = "dropof
         "fare_amount": F.avg("fare_amount"),
         "tip_amount": F.avg("tip_amount"),
     }
-    grains = {"od_hour": [origin, dest, "pickup_hour"], "od": [origin, dest], "origin": [origin]}
-    out = rollups.grain_rollup(t, grains, measures)
+    finest = [origin, dest, "pickup_hour"]
+    grains = {"od_hour": finest, "od": [origin, dest], "origin": [origin]}
+    means = rollups.grain_rollup(t, grains, measures)
+    # percentiles from narrow rows of their own: beside the means every row, once per grain, would be sorted in the map tasks
+    times = rollups.group_count(t, [*finest, "trip_time"], "__c")
+    quartiles = (0.25, 0.5, 0.75)
+    found = rollups.grain_rollup(times, grains, {"__q": F.percentile("trip_time", F.array(*map(F.lit, quartiles)), F.col("__c"))})
     at_origin = F.col("grain") == "origin"
-    out = out.where(at_origin | F.col(dest).isNotNull())
-    return out.withColumns({c: F.when(~at_origin, F.col(c)) for c in ("dropoff_latitude", "dropoff_longitude")})
+    means, found = (x.where(at_origin | F.col(dest).isNotNull()) for x in (means, found))
+    out = joins.null_safe_join(means, found, [*finest, "grain"])
+    columns = []
+    for c in means.columns:
+        columns.append(F.when(~at_origin, F.col(c)).alias(c) if c in ("dropoff_latitude", "dropoff_longitude") else F.col(c))
+        if c == "trip_time_mean":
+            columns += [F.col("__q")[i].alias(f"trip_time_p{int(p * 100)}") for i, p in enumerate(quartiles)]
+    return out.select(*columns)
 
 
 def od_trip_profile(trips: DataFrame, origin: int, dest: int, probs: Sequence[float] = PROFILE_PROBABILITIES) -> DataFrame:
