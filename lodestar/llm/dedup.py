@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import id_text, shared_table, slices
+from lodestar.llm.common import few, id_text, shared_table, slices
 from lodestar.llm.components import components
 from lodestar.llm.shingles import MinHash, mix, shingle_sets
 
@@ -36,6 +36,7 @@ CHUNKS, CHUNK, ERRORS = 10, 5, 1
 #: Least number of equal signature values of a pair that is compared in full.  At a similarity of
 #: 0.8 and 50 values a pair falls below with a probability under 1e-6.
 LEAST_EQUAL = 25
+#: Pivots of a key.
 PIVOT_ROUNDS = 1
 #: A block holds about this many documents, and about this many shingles.
 BLOCK = 512
@@ -126,35 +127,31 @@ def link(docs: DataFrame, width: int = 2, percent: int = 80, id_col: str = "doc_
     classes = shared_table(classes, "dedup-classes")
 
     keys = chunk_keys(classes)
-    shared = keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key")
+    pivots = F.array_distinct(F.array(*(F.min_by("rep", _order(turn)) for turn in range(PIVOT_ROUNDS))))
+    shared = keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), pivots.alias("pivots")).where("low < high").select("key", "pivots")
     rows = shared_table(keys.join(shared, "key"), "dedup-keys")
-    reps = rows.select("rep").distinct()
+    n_rows = rows.count()
+    reps = shared_table(few(rows.select("rep").distinct(), n_rows), "dedup-reps")
     sets = shared_table(_sets(docs, reps, width, id_col, text_col), "dedup-sets")
-    signed = shared_table(classes.join(reps, "rep", "left_semi").select("rep", "n", "signature"), "dedup-signed")
-    labels = shared_table(reps.select("rep", F.col("rep").alias("label")), "dedup-labels")
-    found: list[DataFrame] = []  # alike pairs
+    signed = shared_table(few(classes.join(reps, "rep", "left_semi").select("rep", "n", "signature"), n_rows), "dedup-signed")
+    alone = reps.select("rep", F.col("rep").alias("label"))
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """(a, b) of the pairs that are linked; size and signature first, then the full sets."""
+    def confirmed(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(a, b) of the pairs that are alike by size and signature, and of those that are linked by their full sets."""
         a = signed.select("rep", "n", "signature").toDF("a", "n_a", "signature_a")
         b = signed.select("rep", "n", "signature").toDF("b", "n_b", "signature_b")
-        near = pairs.distinct().join(a, "a").join(b, "b").where(_sizes_allow(F.col("n_a"), F.col("n_b"), percent))
-        near = shared_table(near.mapInArrow(_alike, "a long, b long").distinct(), "dedup-alike")
-        found.append(near)
+        near = few(few(pairs.distinct(), n_rows).join(a, "a"), n_rows).join(b, "b").where(_sizes_allow(F.col("n_a"), F.col("n_b"), percent))
+        near = shared_table(few(near, n_rows).mapInArrow(_alike, "a long, b long"), "dedup-alike")
         whole = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-        return shared_table(whole.mapInArrow(_linked(percent), "a long, b long").distinct(), "dedup-links")
-
-    for turn in range(PIVOT_ROUNDS):
-        labelled = rows.join(labels, "rep")
-        pivot = F.min(F.struct(_order(turn).alias("o"), "rep", "label")).alias("p")
-        mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), pivot).where("low < high")
-        mixed = mixed.select("key", F.col("p.rep").alias("pivot"), F.col("p.label").alias("pivot_label"))
-        pairs = labelled.join(mixed, "key").where("label <> pivot_label")
-        labels = _merged(labels, confirmed(pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))))
-    families = _merged(reps.select("rep", F.col("rep").alias("label")), _all(found))
-    across = confirmed(_across(rows, families, signed, percent))
-    families = _merged(families, found[-1])
-    labels = _merged(labels, across.unionByName(_within(families, labels, signed, sets, percent)))
+        return near, shared_table(whole.mapInArrow(_linked(percent), "a long, b long"), "dedup-links")
+
+    pairs = rows.select("rep", F.explode("pivots").alias("pivot")).where("rep <> pivot")
+    alike, links = confirmed(pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")))
+    families = _merged(alone, alike, n_rows)
+    alike, across = confirmed(_across(rows.drop("pivots"), n_rows, families, signed, percent))
+    families = _merged(families, alike, n_rows)
+    labels = _merged(alone, links.unionByName(across), n_rows)
+    labels = _merged(labels, _within(families, labels, n_rows, signed, sets, percent), n_rows)
 
     named = worded.select("doc_id", "same").distinct().join(classes.select("same", "rep"), "same").join(labels, "rep", "left")
     named = named.groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("named"))
@@ -163,8 +160,8 @@ def link(docs: DataFrame, width: int = 2, percent: int = 80, id_col: str = "doc_
 
 
 def _order(turn: int):
-    """The pivot of a key is its least document by this: by id at first, then by other orders."""
-    return F.lit(0).cast("long") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+    """A pivot of a key is its least document by this: by id at first, then by other orders."""
+    return F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,41 +171,35 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= LEAST_EQUAL))
 
 
-def _all(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
-
-
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(rep, label) after joining what ``links`` (a, b) connect."""
+def _merged(labels: DataFrame, links: DataFrame, rows: int) -> DataFrame:
+    """(rep, label), at most ``rows``, after joining what ``links`` (a, b) connect."""
     if links.isEmpty():
         return labels
     ends = links.join(labels.toDF("a", "label_a"), "a").join(labels.toDF("b", "label_b"), "b")
-    roots = components(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct())
+    roots = components(few(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(), rows))
     moved = labels.join(roots, labels["label"] == roots["node"], "left").select("rep", F.coalesce("root", "label").alias("label"))
-    return shared_table(moved, "dedup-labels")
+    return shared_table(few(moved, rows), "dedup-labels")
 
 
 def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _across(rows: DataFrame, families: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+def _across(rows: DataFrame, n_rows: int, families: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """(a, b): for any two families with alike documents under one key at least one alike pair.
 
     The documents outside the key's largest family meet all documents of the
     key, so a large family does not meet itself.  A key of one block a side is
     one row; the blocks of a larger one meet in pairs.
     """
-    held = rows.join(families.toDF("rep", "label"), "rep")
-    counts = held.groupBy("key", "label").agg(F.count("*").alias("count"))
-    mixed = counts.groupBy("key").agg(F.count("*").alias("several"), F.sum("count").alias("n"), F.max(F.struct("count", "label")).alias("m")).where("several > 1")
-    mixed = shared_table(mixed.select("key", F.col("m.label").alias("most"), *_block_counts(F.col("m.count") / BLOCK, (F.col("n") - F.col("m.count")) / BLOCK)), "dedup-mixed")
+    held = few(rows.join(families.toDF("rep", "label"), "rep"), n_rows)
+    counts = few(held.groupBy("key", "label").agg(F.count("*").alias("count")), n_rows)
+    mixed = counts.groupBy("key").agg(F.count("*").alias("several"), F.sum("count").alias("n"), F.max("count").alias("m"), F.max_by("label", "count").alias("most")).where("several > 1")
+    mixed = shared_table(few(mixed.select("key", "most", *_block_counts(F.col("m") / BLOCK, (F.col("n") - F.col("m")) / BLOCK)), n_rows), "dedup-mixed")
     # the size goes with the signature, most significant byte first
     item = F.concat("signature", F.unhex(F.lpad(F.hex("n"), 16, "0")))
-    held = held.join(mixed, "key").join(signed.select("rep", item.alias("item")), "rep").withColumn("side", F.when(F.col("label") == F.col("most"), 0).otherwise(1))
+    held = few(held.join(mixed, "key"), n_rows).join(signed.select("rep", item.alias("item")), "rep")
+    held = few(held, n_rows).withColumn("side", F.when(F.col("label") == F.col("most"), 0).otherwise(1))
     one = (F.col("blocks0") == 1) & (F.col("blocks1") == 1)
     columns = [("reps", "rep"), ("labels", "label"), ("items", "item")]
     whole = held.where(one).groupBy("key").agg(
@@ -282,22 +273,23 @@ def _blocks_alike(percent: int):
     return run
 
 
-def _within(families: DataFrame, labels: DataFrame, signed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _within(families: DataFrame, labels: DataFrame, n_rows: int, signed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between different components of a family, one at least for any two that are linked.
 
     Members of the family's largest component (side 0) and all others (side 1)
     are dealt to blocks by a hash, so many that one holds about BLOCK documents
     and BLOCK_ITEMS shingles.  Families of two have been compared already.
     """
-    member = families.toDF("rep", "family").join(labels, "rep").join(signed.select("rep", "n"), "rep")
-    counts = member.groupBy("family", "label").agg(F.count("*").alias("count"), F.sum("n").alias("items"))
+    member = few(families.toDF("rep", "family").join(labels, "rep").join(signed.select("rep", "n"), "rep"), n_rows)
+    counts = few(member.groupBy("family", "label").agg(F.count("*").alias("count"), F.sum("n").alias("items")), n_rows)
     open_ones = counts.groupBy("family").agg(
         F.count("*").alias("several"), F.sum("count").alias("n"), F.sum("items").alias("items"), F.max(F.struct("count", "label", "items")).alias("m")
     )
     side0 = F.greatest(F.col("m.count") / BLOCK, F.col("m.items") / BLOCK_ITEMS)
     side1 = F.greatest((F.col("n") - F.col("m.count")) / BLOCK, (F.col("items") - F.col("m.items")) / BLOCK_ITEMS)
-    open_ones = shared_table(open_ones.where("several > 1 and n > 2").select("family", F.col("m.label").alias("most"), *_block_counts(side0, side1)), "dedup-families")
-    member = member.join(open_ones, "family").withColumn("side", F.when(F.col("label") == F.col("most"), 0).otherwise(1))
+    open_ones = open_ones.where("several > 1 and n > 2").select("family", F.col("m.label").alias("most"), *_block_counts(side0, side1))
+    open_ones = shared_table(few(open_ones, n_rows), "dedup-families")
+    member = few(member.join(open_ones, "family"), n_rows).withColumn("side", F.when(F.col("label") == F.col("most"), 0).otherwise(1))
     members = member.drop("n").join(sets.withColumnRenamed("set", "item"), "rep")
     return shared_table(_meetings(members, open_ones, "family").mapInArrow(_blocks_linked(percent), "a long, b long"), "dedup-links")
 

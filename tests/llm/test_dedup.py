@@ -122,3 +122,27 @@ def test_missed_pairs_are_as_rare_as_said():
     met = (equal.sum(2) >= dedup.CHUNK - dedup.ERRORS).any(1)
     assert (~met).mean() < 2e-5
     assert (equal.sum((1, 2)) < dedup.LEAST_EQUAL).mean() < 2e-5
+
+
+def test_small_tables_take_few_tasks(spark):
+    """However many partitions shuffles are given, rounds over few edges and steps over few keys are few tasks."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    cores = spark.sparkContext.defaultParallelism
+    many = 12 * cores
+    edges = spark.createDataFrame([(i, i + 1 + i % 3) for i in range(900)], "a long, b long")
+    docs = spark.createDataFrame(copies(5, 60), "doc_id long, text string")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", many)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert len(components(edges).inputFiles()) <= cores
+        spark.sparkContext.setJobGroup("few-tasks", "")
+        dedup.link(docs, 2, 80)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("few-tasks")]
+    stages = {s for j in jobs if j for s in j.stageIds}
+    infos = [i for i in map(tracker.getStageInfo, stages) if i and i.numCompletedTasks]
+    assert sum(i.numTasks >= many for i in infos) <= len(infos) // 5
